@@ -171,12 +171,14 @@ SINGLE_RULES: dict[str, tuple[str, dict]] = {
             "type": "custom_sql",
             # Every copy but the first: the other side of the self-join is one
             # row per repeated text, so a group is never paired with itself.
+            # Both sides compute the digest first and shuffle that, not the text.
             "query": """
-                SELECT d.doc_id, f.first_id FROM documents d
+                SELECT d.doc_id, f.first_id
+                FROM (SELECT doc_id, sha2(text, 256) AS digest FROM documents) d
                 JOIN (
                     SELECT sha2(text, 256) AS digest, MIN(doc_id) AS first_id
                     FROM documents GROUP BY sha2(text, 256) HAVING COUNT(*) > 1
-                ) f ON sha2(d.text, 256) = f.digest AND d.doc_id > f.first_id
+                ) f ON d.digest = f.digest AND d.doc_id > f.first_id
             """,
         },
     ),

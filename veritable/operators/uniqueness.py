@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veritable.functions.columns import column_type
+
 _KEY = "__unique_key"
+_REPEATED = "__repeated_key"
 _COPIES = "__copies"
 _DIGEST_BYTES = 32
 
@@ -20,7 +23,7 @@ def group_key(df: DataFrame, column: str) -> Column:
     collation (where different bytes may be equal), are grouped as they are.
     """
     value = F.col(column)
-    kind = df.select(value).schema[0].dataType
+    kind = column_type(df, column)
     binary_text = isinstance(kind, T.StringType) and kind.isUTF8BinaryCollation()
     if not binary_text and not isinstance(kind, T.BinaryType):
         return value
@@ -35,12 +38,11 @@ def _copies(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(group_key(df, column).alias(_KEY)).agg(F.count(F.lit(1)).alias(_COPIES))
 
 
-def duplicate_counts(df: DataFrame, column: str, total: str, failed: str) -> DataFrame:
-    """One row: the number of rows, and of rows whose value occurs again."""
-    repeated = F.when(F.col(_COPIES) > 1, F.col(_COPIES))
-    return _copies(df, column).agg(
-        F.coalesce(F.sum(_COPIES), F.lit(0)).alias(total),
-        F.coalesce(F.sum(repeated), F.lit(0)).alias(failed),
+def duplicate_counts(df: DataFrame, column: str) -> DataFrame:
+    """One row: ``total`` rows, and ``failed`` rows whose value occurs again."""
+    return _copies(df, column).selectExpr(
+        f"coalesce(sum({_COPIES}), 0L) AS total",
+        f"coalesce(sum(CASE WHEN {_COPIES} > 1 THEN {_COPIES} END), 0L) AS failed",
     )
 
 
@@ -51,5 +53,8 @@ def duplicated_rows(df: DataFrame, column: str) -> DataFrame:
     Spark broadcasts it when it turns out small and otherwise can split the
     left side of a hot key between tasks.
     """
-    repeated = _copies(df, column).filter(F.col(_COPIES) > 1).select(_KEY)
-    return df.join(repeated, group_key(df, column).eqNullSafe(F.col(_KEY)), "left_semi")
+    repeated = _copies(df, column).filter(F.col(_COPIES) > 1).select(F.col(_KEY).alias(_REPEATED))
+    # The key travels as a column: as a join expression it would be computed
+    # again for partitioning, for sorting and for every comparison.
+    keyed = df.withColumn(_KEY, group_key(df, column))
+    return keyed.join(repeated, F.col(_KEY).eqNullSafe(F.col(_REPEATED)), "left_semi").drop(_KEY)

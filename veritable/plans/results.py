@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,46 +32,58 @@ RESULT_SCHEMA = T.StructType(
 )
 
 
+_RULE_COLUMNS = ("rule_id", "rule_type", "column_name", "severity", "description", "failed_records")
+
+
 def long_form(
     counts: DataFrame,
     rules: Sequence[Rule],
-    failed: Sequence[str],
+    failed: Sequence[Column],
     total: str,
     dataset: str,
     run_id: str,
     run_timestamp: dt.datetime,
 ) -> DataFrame:
-    """Turn the one-row frame of counts into one row per rule, in rule order."""
+    """Turn the one-row frame of counts into one row per rule, in rule order.
+
+    A query can return more rows than the dataset holds (a fan-out join);
+    passed_records and pass_rate then go below zero, by definition.
+    """
     entries = F.array(
         *[
             F.struct(
-                F.lit(rule.id).alias("rule_id"),
-                F.lit(rule.type).alias("rule_type"),
-                F.lit(rule.column).cast("string").alias("column_name"),
-                F.lit(rule.severity).alias("severity"),
-                F.lit(rule.description).cast("string").alias("description"),
-                F.col(name).alias("failed_records"),
+                *[
+                    F.lit(value)
+                    for value in (rule.id, rule.type, rule.column, rule.severity, rule.description)
+                ],
+                count,
             )
-            for rule, name in zip(rules, failed, strict=True)
+            for rule, count in zip(rules, failed, strict=True)
         ]
     )
-    total_records, failed_records = F.col(total), F.col("failed_records")
-    # A query can return more rows than the dataset holds (a fan-out join);
-    # passed and pass_rate then go below zero, by definition.
-    passed_records = total_records - failed_records
-    return counts.select(total, F.inline(entries)).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(run_timestamp).cast("timestamp").alias("run_timestamp"),
-        F.lit(run_timestamp.date().isoformat()).alias("run_date"),
-        F.lit(dataset).alias("dataset"),
-        "rule_id",
-        "rule_type",
-        "column_name",
-        "severity",
-        "description",
-        total_records.alias("total_records"),
-        failed_records,
-        passed_records.alias("passed_records"),
-        F.coalesce(passed_records / F.nullif(total_records, F.lit(0)), F.lit(1.0)).alias("pass_rate"),
-        F.when(failed_records == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+    return (
+        counts.select(F.col(total).alias("total_records"), F.inline(entries).alias(*_RULE_COLUMNS))
+        .select(
+            F.lit(run_id).alias("run_id"),
+            F.lit(run_timestamp).cast("timestamp").alias("run_timestamp"),
+            F.lit(run_timestamp.date().isoformat()).alias("run_date"),
+            F.lit(dataset).alias("dataset"),
+            "*",
+        )
+        .selectExpr(
+            "run_id",
+            "run_timestamp",
+            "run_date",
+            "dataset",
+            "rule_id",
+            "rule_type",
+            "CAST(column_name AS STRING) AS column_name",
+            "severity",
+            "CAST(description AS STRING) AS description",
+            "total_records",
+            "failed_records",
+            "total_records - failed_records AS passed_records",
+            "coalesce((total_records - failed_records) / nullif(total_records, 0), 1D) AS pass_rate",
+            "CASE WHEN failed_records = 0 THEN 'PASS' ELSE 'FAIL' END AS status",
+        )
     )

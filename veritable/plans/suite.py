@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritable.operators.queries import temp_views, violation_count, violations
-from veritable.operators.row_level import failure_counts, rejected_rows
+from veritable.operators.row_level import rejected_rows, valid_counts
 from veritable.operators.uniqueness import duplicate_counts, duplicated_rows
 from veritable.plans.parsing import parse_rules
 from veritable.plans.results import RESULT_SCHEMA, long_form
@@ -53,9 +53,9 @@ class CheckSuite:
         if not self.rules:
             return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
         with temp_views(df.sparkSession, {self.dataset: df}):
-            counts, columns = self._counts(df)
+            counts, failed = self._counts(df)
         return long_form(
-            counts, self.rules, columns, _TOTAL, self.dataset, self.run_id, self.run_timestamp
+            counts, self.rules, failed, _TOTAL, self.dataset, self.run_id, self.run_timestamp
         )
 
     def failing_rows(self, df: DataFrame, rule_id: str) -> DataFrame:
@@ -74,36 +74,35 @@ class CheckSuite:
                 return violations(df.sparkSession, rule, self.dataset)
             return rejected_rows(df, rule)
 
-    def _counts(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
-        """One row: the total and one failure count per rule."""
-        names = [f"failed_{i}" for i in range(len(self.rules))]
-        todo = dict(zip(names, self.rules, strict=True))
-        row_level = {name: rule for name, rule in todo.items() if not rule.dataset_level}
-        first_unique = next((name for name, rule in todo.items() if rule.type == UNIQUE), None)
-        if row_level or first_unique is None:
-            base = df.agg(
-                F.count(F.lit(1)).alias(_TOTAL),
-                *failure_counts(list(row_level.values()), list(row_level)),
-            )
-            done = set(row_level)
+    def _counts(self, df: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """A one-row frame, and over it each rule's number of failures."""
+        names = {rule.id: f"n{i}" for i, rule in enumerate(self.rules)}
+        row_level = [rule for rule in self.rules if not rule.dataset_level]
+        uniques = [rule for rule in self.rules if rule.type == UNIQUE]
+        if row_level or not uniques:
+            counted = valid_counts(row_level, [names[rule.id] for rule in row_level])
+            base, in_base = df.agg(F.count(F.lit(1)).alias(_TOTAL), *counted), row_level
         else:
             # The group sizes of a unique rule add up to the total already.
-            base = duplicate_counts(df, todo[first_unique].column, _TOTAL, first_unique)
-            done = {first_unique}
-        columns = [
-            F.col(name) if name in done else self._subquery(df, rule).alias(name)
-            for name, rule in todo.items()
-        ]
-        return base.select(_TOTAL, *columns), names
+            first = uniques[0]
+            base, in_base = duplicate_counts(df, first.column), [first]
+            base = base.withColumnRenamed("failed", names[first.id])
+
+        others = [rule for rule in self.rules if rule not in in_base]
+        counts = base.select("*", *[self._subquery(df, rule).alias(names[rule.id]) for rule in others])
+        return counts, [self._failed(rule, names[rule.id]) for rule in self.rules]
 
     def _subquery(self, df: DataFrame, rule: Rule) -> Column:
         if rule.type == UNIQUE:
-            one_row = duplicate_counts(df, rule.column, _TOTAL, "failed").select("failed")
-        else:
-            one_row = violation_count(df.sparkSession, rule)
+            return duplicate_counts(df, rule.column).select("failed").scalar()
+        return violation_count(df.sparkSession, rule).scalar()
+
+    @staticmethod
+    def _failed(rule: Rule, name: str) -> Column:
+        if not rule.dataset_level:
+            return F.expr(f"{_TOTAL} - {name}")
         # An empty dataset passes every rule, whatever a query would return.
-        failed = F.when(F.col(_TOTAL) == 0, F.lit(0)).otherwise(one_row.scalar())
-        return F.coalesce(failed, F.lit(0)).cast("bigint")
+        return F.expr(f"CASE WHEN {_TOTAL} = 0 THEN 0L ELSE coalesce({name}, 0L) END")
 
     @staticmethod
     def _refuse_stream(df: DataFrame) -> None:
