@@ -1,0 +1,43 @@
+import contextlib
+import datetime as dt
+import io
+import re
+
+import veritable as v
+
+WHEN = dt.datetime(2024, 3, 1, 12, 30, 15, 123456, tzinfo=dt.timezone.utc)
+
+
+def verdicts(df, rules, dataset="data"):
+    """rule id -> result row."""
+    return {row["rule_id"]: row for row in v.evaluate(df, dataset, rules).collect()}
+
+
+def failed(df, rule, dataset="data"):
+    """Failure count of one rule, checked against the rows it returns."""
+    spec = {"id": "r", **rule}
+    count = verdicts(df, [spec], dataset)["r"]["failed_records"]
+    assert v.failing_rows(df, dataset, spec).count() == count
+    return count
+
+
+def plan(df):
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        df.explain("formatted")
+    return shown.getvalue()
+
+
+def scan_count(df):
+    return len(re.findall(r"^\(\d+\) Scan ", plan(df), re.MULTILINE))
+
+
+def jobs_started(spark, action):
+    """Spark jobs run by ``action``, and what it returned."""
+    group = f"group-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        value = action()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), value

@@ -1,0 +1,130 @@
+"""Row-level predicates and their edge cases."""
+
+import datetime as dt
+import decimal
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+
+from tests.helpers import failed, verdicts
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    rows = [(1, 1.0, "1"), (5, 5.0, "5"), (9, float("nan"), "x"), (None, None, None)]
+    return spark.createDataFrame(rows, "i INT, f DOUBLE, s STRING")
+
+
+def test_not_null(numbers):
+    assert failed(numbers, {"type": "not_null", "column": "i"}) == 1
+    # NaN and empty text are values.
+    assert failed(numbers, {"type": "not_null", "column": "f"}) == 1
+    assert failed(numbers.na.fill(""), {"type": "not_null", "column": "s"}) == 0
+
+
+@pytest.mark.parametrize(
+    ("bounds", "expected"),
+    [
+        ({"min": 5}, 2),
+        ({"max": 5}, 2),
+        ({"min": 1, "max": 9}, 1),
+        ({"min": 2, "max": 8}, 3),
+        ({}, 1),
+        ({"min": None}, 4),
+        ({"min": 0, "max": None}, 4),
+        ({"min": 1.5}, 2),
+    ],
+)
+def test_min_max_is_inclusive_and_bounds_are_optional(numbers, bounds, expected):
+    assert failed(numbers, {"type": "min_max", "column": "i", **bounds}) == expected
+
+
+def test_min_max_places_nan_above_every_number(numbers):
+    assert failed(numbers, {"type": "min_max", "column": "f", "min": 0}) == 1
+    assert failed(numbers, {"type": "min_max", "column": "f", "max": 100}) == 2
+    assert failed(numbers, {"type": "min_max", "column": "f", "min": 0, "max": 100}) == 2
+
+
+def test_min_max_with_a_text_bound_on_a_timestamp(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-01' AS t UNION ALL SELECT TIMESTAMP '2024-06-01'")
+    assert failed(df, {"type": "min_max", "column": "t", "min": "2024-02-01"}) == 1
+
+
+def test_min_max_on_dates_and_decimals(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS d, 1.50 AS n UNION ALL SELECT NULL, 2.50")
+    assert failed(df, {"type": "min_max", "column": "d", "max": dt.date(2024, 1, 1)}) == 1
+    assert failed(df, {"type": "min_max", "column": "n", "max": decimal.Decimal("1.50")}) == 1
+
+
+def test_number_bound_on_text_follows_ansi_mode(spark, numbers):
+    rule = {"type": "min_max", "column": "s", "min": 2}
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        failed(numbers, rule)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert failed(numbers, rule) == 3
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize(
+    ("values", "expected"),
+    [([1, 5], 2), ([], 4), ([1, None], 3), (5, 3), ([1, 5, 9], 1), (list(range(50)), 1)],
+)
+def test_allowed_values(numbers, values, expected):
+    assert failed(numbers, {"type": "allowed_values", "column": "i", "values": values}) == expected
+
+
+def test_regex_is_an_unanchored_find_and_null_fails(spark):
+    df = spark.createDataFrame([("xay",), ("y",), (None,)], "s STRING")
+    assert failed(df, {"type": "regex", "column": "s", "pattern": "a"}) == 2
+    assert failed(df, {"type": "regex", "column": "s", "pattern": "^a"}) == 3
+
+
+def test_regex_on_a_number_matches_its_text(numbers):
+    assert failed(numbers, {"type": "regex", "column": "i", "pattern": "^[15]$"}) == 2
+
+
+def test_sql_expression_over_several_columns(numbers):
+    assert failed(numbers, {"type": "sql_expression", "expression": "i <= 5 AND s <> 'x'"}) == 2
+
+
+def test_sql_expression_must_be_boolean(numbers):
+    with pytest.raises(AnalysisException, match="DATATYPE_MISMATCH"):
+        verdicts(numbers, [{"id": "r", "type": "sql_expression", "expression": "i + 1"}])
+
+
+@pytest.mark.parametrize("expression", ["sum(i) > 1", "row_number() OVER (ORDER BY i) > 1"])
+def test_sql_expression_sees_one_row_only(numbers, expression):
+    with pytest.raises(AnalysisException):
+        verdicts(numbers, [{"id": "r", "type": "sql_expression", "expression": expression}])
+
+
+def test_sql_expression_may_use_a_subquery_over_the_dataset(numbers):
+    rule = {"type": "sql_expression", "expression": "i < (SELECT max(i) FROM data)"}
+    assert failed(numbers, rule) == 2
+
+
+def test_session_udf_in_an_expression(spark, numbers):
+    spark.udf.register("is_small", lambda x: x is not None and x < 6, "boolean")
+    assert failed(numbers, {"type": "sql_expression", "expression": "is_small(i)"}) == 2
+
+
+def test_struct_field_as_column(spark):
+    df = spark.sql("SELECT named_struct('b', 1) AS a UNION ALL SELECT named_struct('b', NULL)")
+    assert failed(df, {"type": "not_null", "column": "a.b"}) == 1
+    assert failed(df, {"type": "min_max", "column": "a.b", "min": 0}) == 1
+    assert failed(df, {"type": "unique", "column": "a.b"}) == 0
+
+
+def test_column_names_that_need_quoting(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "`my col` INT")
+    assert failed(df, {"type": "not_null", "column": "my col"}) == 1
+    assert failed(df, {"type": "unique", "column": "my col"}) == 2
+    dotted = spark.createDataFrame([("a",), ("a",)], "`x.y` STRING")
+    assert failed(dotted, {"type": "unique", "column": "`x.y`"}) == 2
+
+
+def test_unknown_column_is_an_error_even_when_empty(spark):
+    with pytest.raises(AnalysisException):
+        verdicts(spark.createDataFrame([], "x INT"), [{"id": "r", "type": "not_null", "column": "y"}])

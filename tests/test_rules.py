@@ -1,0 +1,90 @@
+"""The rule record, the registry, and checks made before planning."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import veritable as v
+from tests.helpers import verdicts
+from veritable.plans.parsing import parse_rules
+
+
+def test_parse_splits_fields_from_params():
+    rule = v.Rule.parse({"id": "a", "type": "min_max", "column": "x", "min": 1, "note": "kept"})
+    assert (rule.id, rule.type, rule.column) == ("a", "min_max", "x")
+    assert dict(rule.params) == {"min": 1, "note": "kept"}
+
+
+def test_parse_defaults():
+    rule = v.Rule.parse({"id": "a", "type": "sql_expression", "expression": "true"})
+    assert (rule.column, rule.severity, rule.description) == (None, "error", "")
+    assert v.Rule.parse(rule) is rule
+
+
+def test_any_severity_text_is_kept():
+    assert v.Rule.parse({"id": "a", "type": "not_null", "severity": "info"}).severity == "info"
+
+
+@pytest.mark.parametrize("missing", ["id", "type"])
+def test_id_and_type_are_required(missing):
+    spec = {"id": "a", "type": "not_null"}
+    del spec[missing]
+    with pytest.raises(KeyError):
+        v.Rule.parse(spec)
+
+
+@pytest.mark.parametrize(
+    "spec",
+    [
+        {"type": "not_null"},
+        {"type": "unique"},
+        {"type": "min_max", "min": 1},
+        {"type": "allowed_values", "column": "x"},
+        {"type": "allowed_values", "values": [1]},
+        {"type": "regex", "column": "x"},
+        {"type": "sql_expression"},
+        {"type": "sql_expression", "expression": ""},
+        {"type": "custom_sql"},
+        {"type": "custom_sql", "query": ""},
+        {"type": "no_such_type", "column": "x"},
+        {"type": "not_null", "column": "x", "severity": None},
+    ],
+)
+def test_incomplete_rules_are_refused_even_for_an_empty_dataset(spark, spec):
+    empty = spark.createDataFrame([], "x INT")
+    with pytest.raises(ValueError, match="broken|Unknown"):
+        v.evaluate(empty, "data", [{"id": "broken", **spec}])
+
+
+def test_duplicate_ids_are_refused():
+    specs = [{"id": "a", "type": "not_null", "column": c} for c in "xy"]
+    with pytest.raises(ValueError, match="Duplicate rule id 'a'"):
+        parse_rules(specs)
+
+
+def test_row_predicate_of_a_dataset_rule_is_refused(spark):
+    with pytest.raises(ValueError, match="dataset-level"):
+        v.valid_rows(v.Rule("a", "unique", "x"))
+    with pytest.raises(ValueError, match="Unknown rule type"):
+        v.valid_rows(v.Rule("a", "nope", "x"))
+
+
+def test_custom_row_check(spark):
+    @v.row_check("even", requires=("column",))
+    def even(rule):
+        return F.col(rule.column) % 2 == 0
+
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x INT")
+    assert verdicts(df, [{"id": "e", "type": "even", "column": "x"}])["e"]["failed_records"] == 2
+    with pytest.raises(ValueError, match="requires a 'column'"):
+        parse_rules([{"id": "e", "type": "even"}])
+
+
+def test_dataset_level_names_are_reserved():
+    with pytest.raises(ValueError, match="dataset-level"):
+        v.register_row_check("unique", lambda rule: F.lit(True))
+
+
+def test_valid_rows_is_never_null(spark):
+    df = spark.createDataFrame([("a",), (None,)], "x STRING")
+    rule = v.Rule("r", "regex", "x", params={"pattern": "a"})
+    assert [r[0] for r in df.select(v.valid_rows(rule)).collect()] == [True, False]

@@ -1,0 +1,137 @@
+"""Sources and sinks."""
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+
+import veritable as v
+from tests.helpers import plan
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    return spark.createDataFrame([(1, "a", 1.5, True), (2, "b", None, False)], "i INT, s STRING, d DOUBLE, b BOOLEAN")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "CSV", "Json"])
+def test_round_trip(spark, sample, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    v.write_table(sample, path, fmt)
+    back = v.read_table(spark, path, fmt).select(*sample.columns)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, sample.collect()))
+
+
+def test_csv_is_the_default_source_with_header_and_inferred_types(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("i,d,s,t,b\n1,1.5,x,2024-01-01 00:00:00,true\n2,,y,2024-01-02 00:00:00,false\n")
+    df = v.read_table(spark, str(tmp_path / "f.csv"))
+    assert dict(df.dtypes) == {"i": "int", "d": "double", "s": "string", "t": "timestamp", "b": "boolean"}
+
+
+def test_json_lines_with_nesting(spark, tmp_path):
+    (tmp_path / "f.json").write_text('{"a": {"b": 1}, "c": [1, 2]}\n{"a": {"b": 2}}\n')
+    df = v.read_table(spark, str(tmp_path / "f.json"), "json")
+    assert df.selectExpr("sum(a.b)").first()[0] == 3
+
+
+def test_a_schema_spares_the_inference_pass(spark, sample, tmp_path):
+    path = str(tmp_path / "t")
+    v.write_table(sample, path, "csv")
+    df = v.read_table(spark, path, "csv", schema="i BIGINT, s STRING, d DOUBLE, b BOOLEAN")
+    assert df.dtypes[0] == ("i", "bigint")
+    assert df.count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["orc", "delta", ""])
+def test_unsupported_formats(spark, sample, tmp_path, fmt):
+    with pytest.raises(ValueError, match="Unsupported format .*csv.*json.*parquet"):
+        v.read_table(spark, str(tmp_path), fmt)
+    with pytest.raises(ValueError, match="Unsupported format"):
+        v.write_table(sample, str(tmp_path / "t"), fmt)
+    assert not (tmp_path / "t").exists()
+
+
+def test_modes(spark, sample, tmp_path):
+    path = str(tmp_path / "t")
+    for mode, expected in (("append", 2), ("append", 4), ("overwrite", 2), ("ignore", 2)):
+        v.write_table(sample, path, mode=mode)
+        assert v.read_table(spark, path, "parquet").count() == expected
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        v.write_table(sample, path, mode="error")
+
+
+def test_partitioned_write_makes_one_file_per_partition(sample, tmp_path):
+    path = tmp_path / "t"
+    v.write_table(sample.repartition(4), str(path), partition_by=["s"])
+    assert sorted(p.name for p in path.iterdir() if p.is_dir()) == ["s=a", "s=b"]
+    assert len(list(path.glob("s=*/*.parquet"))) == 2
+
+
+@pytest.mark.parametrize("partition_by", [None, [], ()])
+def test_unpartitioned_write(sample, tmp_path, partition_by):
+    v.write_table(sample.repartition(4), str(tmp_path / "t"), partition_by=partition_by)
+    assert len(list((tmp_path / "t").glob("*.parquet"))) == 1
+
+
+def test_file_count_is_free_to_choose(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 4)
+    v.write_table(rows, str(tmp_path / "three"), num_files=3)
+    v.write_table(rows, str(tmp_path / "own"), num_files=None)
+    assert len(list((tmp_path / "three").glob("*.parquet"))) == 3
+    assert len(list((tmp_path / "own").glob("*.parquet"))) == 4
+
+
+def test_overwrite_replaces_every_partition(spark, sample, tmp_path):
+    path = str(tmp_path / "t")
+    v.write_table(sample, path, partition_by=["s"])
+    v.write_table(sample.filter("s = 'a'"), path, mode="overwrite", partition_by=["s"])
+    assert [r["s"] for r in v.read_table(spark, path, "parquet").collect()] == ["a"]
+
+
+def test_uri_and_directory_paths(spark, sample, tmp_path):
+    v.write_table(sample, f"file://{tmp_path}/t")
+    assert v.read_table(spark, (tmp_path / "t").as_uri(), "parquet").count() == 2
+    one_file = next(Path(tmp_path / "t").glob("*.parquet"))
+    assert v.read_table(spark, str(one_file), "parquet").count() == 2
+
+
+# --- what reaches the Parquet scan ---
+
+
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("wide"))
+    df = spark.range(100).selectExpr(
+        "id", "CAST(id AS DOUBLE) AS f", "CAST(id AS STRING) AS s", "date_add(DATE '2024-01-01', CAST(id AS INT)) AS d"
+    )
+    v.write_table(df, path, mode="overwrite")
+    return v.read_table(spark, path, "parquet")
+
+
+def test_only_the_rule_columns_are_read(wide):
+    rules = [
+        {"id": "a", "type": "not_null", "column": "s"},
+        {"id": "b", "type": "min_max", "column": "id", "min": 0},
+    ]
+    assert "ReadSchema: struct<id:bigint,s:string>" in plan(v.evaluate(wide, "data", rules))
+
+
+@pytest.mark.parametrize(
+    ("rule", "pushed"),
+    [
+        ({"type": "not_null", "column": "s"}, "IsNull(s)"),
+        ({"type": "min_max", "column": "id", "min": 5, "max": 90}, "LessThan(id,5)),GreaterThan(id,90)"),
+        ({"type": "min_max", "column": "f", "min": 5}, "LessThan(f,5.0)"),
+        ({"type": "min_max", "column": "d", "max": dt.date(2024, 2, 1)}, "GreaterThan(d,2024-02-01)"),
+        ({"type": "custom_sql", "query": "SELECT * FROM data WHERE s = '7'"}, "EqualTo(s,7)"),
+    ],
+)
+def test_failing_rows_filter_at_the_scan(wide, rule, pushed):
+    rows = v.failing_rows(wide, "data", {"id": "r", **rule})
+    assert pushed in plan(rows)
+
+
+def test_a_maximum_on_floats_is_not_pushed_down_because_of_nan(wide):
+    rows = v.failing_rows(wide, "data", {"id": "r", "type": "min_max", "column": "f", "max": 5})
+    assert "GreaterThan" not in plan(rows)
+    assert rows.count() == 94
