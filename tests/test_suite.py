@@ -72,9 +72,11 @@ def test_schema_is_fixed_whatever_the_rules(dirty, rules):
     assert results.count() == len(rules)
 
 
+@pytest.mark.parametrize("shared_scan", [False, True])
 @pytest.mark.parametrize("rules", [RULES, RULES[1:2], RULES[7:]])
-def test_empty_dataset_passes_everything(spark, rules):
-    for row in v.evaluate(spark.createDataFrame([], SCHEMA), "data", rules).collect():
+def test_empty_dataset_passes_everything(spark, rules, shared_scan):
+    empty = spark.createDataFrame([], SCHEMA)
+    for row in v.evaluate(empty, "data", rules, shared_scan=shared_scan).collect():
         assert (row["total_records"], row["failed_records"], row["passed_records"]) == (0, 0, 0)
         assert (row["pass_rate"], row["status"]) == (1.0, "PASS")
 
@@ -129,6 +131,25 @@ def test_row_rules_share_one_scan(spark, tmp_path, dirty):
     assert scan_count(v.evaluate(data, "data", RULES)) == 3
 
 
+def test_unique_rules_can_share_a_scan(spark, tmp_path, dirty):
+    path = str(tmp_path / "t")
+    v.write_table(dirty, path)
+    data = v.read_table(spark, path, "parquet")
+    uniques = [{"id": f"once_{c}", "type": "unique", "column": c} for c in data.columns]
+    uniques.append({"id": "once_again", "type": "unique", "column": "key"})
+    mixed = [*uniques[:2], *RULES, *uniques[2:]]
+    for rules, apart, together in ((uniques, 6, 1), (mixed, 9, 3)):
+        separate, shared = (v.evaluate(data, "data", rules, "r", WHEN, shared_scan=s) for s in (False, True))
+        assert (scan_count(separate), scan_count(shared)) == (apart, together)
+        assert separate.collect() == shared.collect()
+
+
+def test_more_unique_rules_than_one_scan_takes(dirty):
+    rules = [{"id": f"u{i}", "type": "unique", "column": dirty.columns[i % 5]} for i in range(40)]
+    separate, shared = (v.evaluate(dirty, "data", rules, "r", WHEN, shared_scan=s) for s in (False, True))
+    assert separate.collect() == shared.collect()
+
+
 def test_many_rules_at_once(dirty):
     rules = [{"id": f"r{i}", "type": "min_max", "column": "cost", "min": i - 50} for i in range(150)]
     rows = v.evaluate(dirty, "data", rules).collect()

@@ -67,6 +67,29 @@ def test_failing_rows_keep_every_column_and_copy(spark):
     assert sorted(r["id"] for r in rows.collect()) == [1, 2, 4, 5]
 
 
+def test_stored_keys_give_the_same_rows_without_shuffling_the_dataset(spark, tmp_path):
+    path = str(tmp_path / "data")
+    rows = [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None), (6, "z" * 99), (7, "z" * 99)]
+    v.write_table(spark.createDataFrame(rows, "id INT, x STRING"), path)
+    df = v.read_table(spark, path, "parquet")
+    found = v.failing_rows(df, "data", {"id": "r", **RULE}, keys_path=str(tmp_path / "keys"))
+    assert sorted(r["id"] for r in found.collect()) == [1, 2, 4, 5, 6, 7]
+    shown = plan(found)
+    assert "BroadcastHashJoin" in shown
+    assert "hashpartitioning" not in shown
+
+
+def test_stored_keys_too_large_to_broadcast_are_shuffled(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 500 AS x", "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        found = v.failing_rows(df, "data", {"id": "r", **RULE}, keys_path=str(tmp_path / "keys"))
+        assert "SortMergeJoin" in plan(found)
+        assert found.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_text_is_not_shuffled_to_be_counted(spark):
     df = spark.range(10).select(F.repeat(F.col("id").cast("string"), 200).alias("x"))
     shown = plan(v.evaluate(df, "data", [{"id": "r", **RULE}]))

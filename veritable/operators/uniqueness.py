@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritable.functions.columns import column_type
+from veritable.sources.tables import read_table, write_table
 
 _KEY = "__unique_key"
 _REPEATED = "__repeated_key"
 _COPIES = "__copies"
+_SET = "__grouping_set"
 _DIGEST_BYTES = 32
 
 
@@ -32,28 +36,54 @@ def group_key(df: DataFrame, column: str) -> Column:
     )
 
 
-def _copies(df: DataFrame, column: str) -> DataFrame:
-    # NULLs form one group, as they do in GROUP BY. Counting map-side first
-    # means a hot value reaches its reducer as one row per task.
-    return df.groupBy(group_key(df, column).alias(_KEY)).agg(F.count(F.lit(1)).alias(_COPIES))
-
+def duplicate_counts(df: DataFrame, columns: Mapping[str, str], total: str) -> DataFrame:
+    """One row: the number of rows, and per name the rows whose value repeats.
 
-def duplicate_counts(df: DataFrame, column: str) -> DataFrame:
-    """One row: ``total`` rows, and ``failed`` rows whose value occurs again."""
-    return _copies(df, column).selectExpr(
-        f"coalesce(sum({_COPIES}), 0L) AS total",
-        f"coalesce(sum(CASE WHEN {_COPIES} > 1 THEN {_COPIES} END), 0L) AS failed",
+    ``columns`` maps output names to columns. NULLs form one group, as they do
+    in GROUP BY. Groups are counted map-side first, so a hot value reaches its
+    reducer as one row per task. Several columns share one scan by way of
+    grouping sets, at the price of shuffling them all at once.
+    """
+    keys = [f"{_KEY}_{i}" for i in range(len(columns))]
+    keyed = df.select(
+        *[group_key(df, column).alias(key) for key, column in zip(keys, columns.values(), strict=True)]
+    )
+    copies = F.count(F.lit(1)).alias(_COPIES)
+    if len(keys) == 1:
+        groups = keyed.groupBy(*keys).agg(copies).withColumn(_SET, F.lit(0))
+    else:
+        each_alone = [[F.col(key)] for key in keys]
+        groups = keyed.groupingSets(each_alone, *keys).agg(copies, F.grouping_id().alias(_SET))
+    # grouping_id() has a bit for every column that is not part of the set.
+    full = 2 ** len(keys) - 1
+    set_ids = [full - 2 ** (len(keys) - 1 - i) for i in range(len(keys))]
+    return groups.selectExpr(
+        f"coalesce(sum(CASE WHEN {_SET} = {set_ids[0]} THEN {_COPIES} END), 0L) AS {total}",
+        *[
+            f"coalesce(sum(CASE WHEN {_SET} = {set_id} AND {_COPIES} > 1 THEN {_COPIES} END), 0L) AS {name}"
+            for name, set_id in zip(columns, set_ids, strict=True)
+        ],
     )
 
 
-def duplicated_rows(df: DataFrame, column: str) -> DataFrame:
+def duplicated_rows(df: DataFrame, column: str, keys_path: str | None = None) -> DataFrame:
     """All rows whose value occurs more than once.
 
-    A semi-join against the repeated keys: one row per key on the right, so
-    Spark broadcasts it when it turns out small and otherwise can split the
-    left side of a hot key between tasks.
+    A semi-join against the repeated keys, one row per key. Where the right
+    side is large, Spark can split the left side of a hot key between tasks.
+    With ``keys_path`` the repeated keys are stored there first: Spark then
+    knows their size when it plans the join, and broadcasts them if they are
+    few, without shuffling the dataset at all.
     """
-    repeated = _copies(df, column).filter(F.col(_COPIES) > 1).select(F.col(_KEY).alias(_REPEATED))
+    repeated = (
+        df.groupBy(group_key(df, column).alias(_REPEATED))
+        .agg(F.count(F.lit(1)).alias(_COPIES))
+        .filter(F.col(_COPIES) > 1)
+        .select(_REPEATED)
+    )
+    if keys_path is not None:
+        write_table(repeated, keys_path, mode="error", num_files=None)
+        repeated = read_table(df.sparkSession, keys_path, "parquet", repeated.schema)
     # The key travels as a column: as a join expression it would be computed
     # again for partitioning, for sorting and for every comparison.
     keyed = df.withColumn(_KEY, group_key(df, column))

@@ -45,8 +45,10 @@ def run_job(
     path, mode = destination["path"], destination.get("write_mode", WRITE_MODE)
     fmt = check_format(destination.get("format", DESTINATION_FORMAT))
 
-    data = read_table(spark, source["path"], source.get("format", SOURCE_FORMAT), source.get("schema"))
-    results = suite.evaluate(data)
+    source_fmt = check_format(source.get("format", SOURCE_FORMAT))
+    data = read_table(spark, source["path"], source_fmt, source.get("schema"))
+    # Text has to be parsed whole by every scan, so the unique rules share one.
+    results = suite.evaluate(data, shared_scan=source_fmt != "parquet")
     write_table(results, path, fmt, mode, destination.get("partition_by", PARTITION_BY))
     if mode.lower() == "ignore":
         return results

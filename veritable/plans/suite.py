@@ -18,6 +18,7 @@ from veritable.plans.results import RESULT_SCHEMA, long_form
 from veritable.rules import CUSTOM_SQL, UNIQUE, Rule
 
 _TOTAL = "total"
+_SETS_PER_SCAN = 16
 
 
 class CheckSuite:
@@ -39,12 +40,16 @@ class CheckSuite:
         self.run_id = run_id or str(uuid.uuid4())
         self.run_timestamp = run_timestamp or dt.datetime.now(dt.timezone.utc)
 
-    def evaluate(self, df: DataFrame) -> DataFrame:
+    def evaluate(self, df: DataFrame, shared_scan: bool = False) -> DataFrame:
         """Results frame, one row per rule in rule order. Nothing runs yet.
 
-        Row-level rules share one global aggregate. Each remaining rule is an
-        uncorrelated scalar subquery next to it, so Spark runs them side by
-        side and the driver only ever sees one count per rule.
+        Row-level rules share one global aggregate. The other rules are
+        uncorrelated scalar subqueries next to it, so Spark runs them side by
+        side and the driver only ever sees the counts.
+
+        Every ``unique`` rule reads its own column, which costs no extra input
+        on a columnar table. ``shared_scan`` makes them read the input together
+        instead; choose it where reading is dear (text formats, joins).
 
         Acting on the frame twice evaluates the rules twice: write it first
         (as ``run_job`` does) and read the table.
@@ -53,15 +58,17 @@ class CheckSuite:
         if not self.rules:
             return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
         with temp_views(df.sparkSession, {self.dataset: df}):
-            counts, failed = self._counts(df)
+            counts, failed = self._counts(df, shared_scan)
         return long_form(
             counts, self.rules, failed, _TOTAL, self.dataset, self.run_id, self.run_timestamp
         )
 
-    def failing_rows(self, df: DataFrame, rule_id: str) -> DataFrame:
+    def failing_rows(self, df: DataFrame, rule_id: str, keys_path: str | None = None) -> DataFrame:
         """The rows behind one rule's ``failed_records``.
 
-        For ``custom_sql`` these are the rows (and columns) of the query.
+        For ``custom_sql`` these are the rows (and columns) of the query. For
+        ``unique``, ``keys_path`` names a new folder to store the repeated
+        values in, which lets Spark choose the join by their true size.
         """
         self._refuse_stream(df)
         rule = next((r for r in self.rules if r.id == rule_id), None)
@@ -69,34 +76,40 @@ class CheckSuite:
             raise ValueError(f"No rule {rule_id!r} in this suite")
         with temp_views(df.sparkSession, {self.dataset: df}):
             if rule.type == UNIQUE:
-                return duplicated_rows(df, rule.column)
+                return duplicated_rows(df, rule.column, keys_path)
             if rule.type == CUSTOM_SQL:
                 return violations(df.sparkSession, rule, self.dataset)
             return rejected_rows(df, rule)
 
-    def _counts(self, df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    def _counts(self, df: DataFrame, shared_scan: bool) -> tuple[DataFrame, list[Column]]:
         """A one-row frame, and over it each rule's number of failures."""
         names = {rule.id: f"n{i}" for i, rule in enumerate(self.rules)}
         row_level = [rule for rule in self.rules if not rule.dataset_level]
-        uniques = [rule for rule in self.rules if rule.type == UNIQUE]
-        if row_level or not uniques:
+        uniques = {names[rule.id]: rule.column for rule in self.rules if rule.type == UNIQUE}
+        size, todo = _SETS_PER_SCAN if shared_scan else 1, list(uniques.items())
+        grouped = [
+            duplicate_counts(df, dict(todo[start : start + size]), _TOTAL)
+            for start in range(0, len(todo), size)
+        ]
+        if row_level or not grouped:
             counted = valid_counts(row_level, [names[rule.id] for rule in row_level])
-            base, in_base = df.agg(F.count(F.lit(1)).alias(_TOTAL), *counted), row_level
+            base = df.agg(F.count(F.lit(1)).alias(_TOTAL), *counted)
         else:
             # The group sizes of a unique rule add up to the total already.
-            first = uniques[0]
-            base, in_base = duplicate_counts(df, first.column), [first]
-            base = base.withColumnRenamed("failed", names[first.id])
-
-        others = [rule for rule in self.rules if rule not in in_base]
-        counts = base.select("*", *[self._subquery(df, rule).alias(names[rule.id]) for rule in others])
+            base = grouped.pop(0)
+
+        structs = {
+            f"u{i}": frame.drop(_TOTAL).select(F.struct("*")).scalar() for i, frame in enumerate(grouped)
+        }
+        queries = {
+            names[rule.id]: violation_count(df.sparkSession, rule).scalar()
+            for rule in self.rules
+            if rule.type == CUSTOM_SQL
+        }
+        subqueries = [column.alias(name) for name, column in (structs | queries).items()]
+        counts = base.select("*", *subqueries).select("*", *[f"{name}.*" for name in structs])
         return counts, [self._failed(rule, names[rule.id]) for rule in self.rules]
 
-    def _subquery(self, df: DataFrame, rule: Rule) -> Column:
-        if rule.type == UNIQUE:
-            return duplicate_counts(df, rule.column).select("failed").scalar()
-        return violation_count(df.sparkSession, rule).scalar()
-
     @staticmethod
     def _failed(rule: Rule, name: str) -> Column:
         if not rule.dataset_level:
@@ -116,12 +129,15 @@ def evaluate(
     rules: Iterable[Rule | Mapping[str, Any]],
     run_id: str | None = None,
     run_timestamp: dt.datetime | None = None,
+    shared_scan: bool = False,
 ) -> DataFrame:
-    """Shorthand for ``CheckSuite(dataset, rules, ...).evaluate(df)``."""
-    return CheckSuite(dataset, rules, run_id, run_timestamp).evaluate(df)
+    """Shorthand for ``CheckSuite(dataset, rules, ...).evaluate(df, shared_scan)``."""
+    return CheckSuite(dataset, rules, run_id, run_timestamp).evaluate(df, shared_scan)
 
 
-def failing_rows(df: DataFrame, dataset: str, rule: Rule | Mapping[str, Any]) -> DataFrame:
-    """The rows that fail one rule."""
+def failing_rows(
+    df: DataFrame, dataset: str, rule: Rule | Mapping[str, Any], keys_path: str | None = None
+) -> DataFrame:
+    """The rows that fail one rule; see ``CheckSuite.failing_rows``."""
     suite = CheckSuite(dataset, [rule])
-    return suite.failing_rows(df, suite.rules[0].id)
+    return suite.failing_rows(df, suite.rules[0].id, keys_path)
