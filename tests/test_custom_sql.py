@@ -49,6 +49,16 @@ def test_rows_returned_are_failures(parcels, query, expected):
     assert verdicts(parcels, [{"id": "r", **sql(query)}])["r"]["failed_records"] == expected
 
 
+def test_many_queries_with_subqueries_of_their_own(parcels):
+    # More than Spark has subquery threads: they must not wait for each other.
+    rules = [
+        {"id": f"r{i}", **sql(f"SELECT * FROM data WHERE id > {i} AND id <= (SELECT MAX(id) FROM data WHERE id > {i})")}
+        for i in range(20)
+    ]
+    rows = verdicts(parcels, rules)
+    assert [rows[f"r{i}"]["failed_records"] for i in range(20)] == [max(5 - i, 0) for i in range(20)]
+
+
 def test_fan_out_goes_below_zero(parcels):
     row = verdicts(parcels, [{"id": "r", **sql("SELECT a.id FROM data a CROSS JOIN data b")}])["r"]
     assert (row["total_records"], row["failed_records"], row["passed_records"]) == (5, 25, -20)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,29 @@ RESULT_SCHEMA = T.StructType(
 _RULE_COLUMNS = ("rule_id", "rule_type", "column_name", "severity", "description", "failed_records")
 
 
+def side_by_side(parts: Sequence[DataFrame]) -> DataFrame:
+    """Put one-row frames of counts next to each other.
+
+    They meet in a union of (name, count) pairs, a handful per part. Its
+    branches are independent, so Spark starts their first stages together.
+    Scalar subqueries would do as well, but a query may hold subqueries of its
+    own, and enough waiting for each other exhaust Spark's subquery threads.
+    """
+    if len(parts) == 1:
+        return parts[0]
+    names = [name for part in parts for name in part.columns]
+    pairs = [
+        part.selectExpr(
+            "inline(array(" + ", ".join(f"struct('{name}' AS name, {name} AS n)" for name in part.columns) + "))"
+        )
+        for part in parts
+    ]
+    counts = reduce(DataFrame.union, pairs).selectExpr(
+        "map_from_entries(collect_list(struct(name, n))) AS counts"
+    )
+    return counts.selectExpr(*[f"counts['{name}'] AS {name}" for name in names])
+
+
 def long_form(
     counts: DataFrame,
     rules: Sequence[Rule],
@@ -62,7 +86,7 @@ def long_form(
         ]
     )
     return (
-        counts.select(F.col(total).alias("total_records"), F.inline(entries).alias(*_RULE_COLUMNS))
+        counts.select(F.expr(f"coalesce({total}, 0L)").alias("total_records"), F.inline(entries).alias(*_RULE_COLUMNS))
         .select(
             F.lit(run_id).alias("run_id"),
             F.lit(run_timestamp).cast("timestamp").alias("run_timestamp"),

@@ -14,7 +14,7 @@ from veritable.operators.queries import temp_views, violation_count, violations
 from veritable.operators.row_level import rejected_rows, valid_counts
 from veritable.operators.uniqueness import duplicate_counts, duplicated_rows
 from veritable.plans.parsing import parse_rules
-from veritable.plans.results import RESULT_SCHEMA, long_form
+from veritable.plans.results import RESULT_SCHEMA, long_form, side_by_side
 from veritable.rules import CUSTOM_SQL, UNIQUE, Rule
 
 _TOTAL = "total"
@@ -43,9 +43,9 @@ class CheckSuite:
     def evaluate(self, df: DataFrame, shared_scan: bool = False) -> DataFrame:
         """Results frame, one row per rule in rule order. Nothing runs yet.
 
-        Row-level rules share one global aggregate. The other rules are
-        uncorrelated scalar subqueries next to it, so Spark runs them side by
-        side and the driver only ever sees the counts.
+        Row-level rules share one global aggregate; each of the other rules is
+        an aggregate of its own. All of them meet in a union of counts, so
+        Spark runs them side by side in one job and collects nothing between.
 
         Every ``unique`` rule reads its own column, which costs no extra input
         on a columnar table. ``shared_scan`` makes them read the input together
@@ -85,35 +85,30 @@ class CheckSuite:
         """A one-row frame, and over it each rule's number of failures."""
         names = {rule.id: f"n{i}" for i, rule in enumerate(self.rules)}
         row_level = [rule for rule in self.rules if not rule.dataset_level]
-        uniques = {names[rule.id]: rule.column for rule in self.rules if rule.type == UNIQUE}
-        size, todo = _SETS_PER_SCAN if shared_scan else 1, list(uniques.items())
-        grouped = [
-            duplicate_counts(df, dict(todo[start : start + size]), _TOTAL)
-            for start in range(0, len(todo), size)
+        uniques = [(names[rule.id], rule.column) for rule in self.rules if rule.type == UNIQUE]
+        size = _SETS_PER_SCAN if shared_scan else 1
+        parts = [
+            duplicate_counts(df, dict(uniques[start : start + size]), _TOTAL)
+            for start in range(0, len(uniques), size)
         ]
-        if row_level or not grouped:
+        if row_level or not parts:
             counted = valid_counts(row_level, [names[rule.id] for rule in row_level])
-            base = df.agg(F.count(F.lit(1)).alias(_TOTAL), *counted)
-        else:
-            # The group sizes of a unique rule add up to the total already.
-            base = grouped.pop(0)
-
-        structs = {
-            f"u{i}": frame.drop(_TOTAL).select(F.struct("*")).scalar() for i, frame in enumerate(grouped)
-        }
-        queries = {
-            names[rule.id]: violation_count(df.sparkSession, rule).scalar()
+            parts.insert(0, df.agg(F.count(F.lit(1)).alias(_TOTAL), *counted))
+        # The group sizes of a unique rule add up to the total as well: whatever
+        # comes first provides it.
+        parts[1:] = [part.drop(_TOTAL) for part in parts[1:]]
+        parts += [
+            violation_count(df.sparkSession, rule).toDF(names[rule.id])
             for rule in self.rules
             if rule.type == CUSTOM_SQL
-        }
-        subqueries = [column.alias(name) for name, column in (structs | queries).items()]
-        counts = base.select("*", *subqueries).select("*", *[f"{name}.*" for name in structs])
-        return counts, [self._failed(rule, names[rule.id]) for rule in self.rules]
+        ]
+        failed = [self._failed(rule, names[rule.id]) for rule in self.rules]
+        return side_by_side(parts), failed
 
     @staticmethod
     def _failed(rule: Rule, name: str) -> Column:
         if not rule.dataset_level:
-            return F.expr(f"{_TOTAL} - {name}")
+            return F.expr(f"coalesce({_TOTAL} - {name}, 0L)")
         # An empty dataset passes every rule, whatever a query would return.
         return F.expr(f"CASE WHEN {_TOTAL} = 0 THEN 0L ELSE coalesce({name}, 0L) END")
 
