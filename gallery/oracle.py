@@ -293,6 +293,7 @@ def all_oracles() -> dict[str, str]:
         "suite_empty": results("orders", orders_suite("(SELECT * FROM orders WHERE o_totalprice < 0)")),
         "suite_custom_rule": results("customer", prefixes),
         "job_read_evaluate_write": results("orders", orders_suite()),
+        "job_csv_source": results("orders", orders_suite()),
         "severity_gate": (
             "SELECT COUNT(*) AS blocking_failures, COUNT(*) > 0 AS blocked "
             f"FROM ({results('orders', orders_suite())}) WHERE status = 'FAIL' AND severity = 'error'"
@@ -312,6 +313,7 @@ def all_oracles() -> dict[str, str]:
             f"SELECT {ORDER_KEYS} FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"
         ),
         "scan_csv": "SELECT * FROM customer",
+        "scan_csv_schema": "SELECT * FROM customer",
         "scan_json": "SELECT * FROM documents",
         "scan_parquet": "SELECT * FROM documents",
         "results_partitioned_append": history(),

@@ -296,6 +296,13 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.read_table(spark, path).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+def scan_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "scan-csv")
+    customer = table(spark, sf_dir, "customer")
+    v.write_table(customer, path, "csv", "overwrite", num_files=None)
+    return v.read_table(spark, path, schema=customer.schema)
+
+
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "scan-json")
     v.write_table(table(spark, sf_dir, "documents"), path, "JSON", "overwrite", num_files=None)
@@ -382,6 +389,13 @@ def job_read_evaluate_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.drop(*RUN_COLUMNS)
 
 
+def job_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "job-source")
+    v.write_table(table(spark, sf_dir, "orders"), path, "csv", num_files=None)
+    stored = v.run_job(spark, "orders", {"path": path}, {"path": scratch_path(spark, "job")}, ORDERS_SUITE)
+    return stored.drop(*RUN_COLUMNS)
+
+
 LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 ORDER_KEYS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -405,6 +419,7 @@ def all_queries() -> dict[str, Query]:
         suite_empty,
         suite_custom_rule,
         scan_csv,
+        scan_csv_schema,
         scan_json,
         scan_parquet,
         results_partitioned_append,
@@ -414,6 +429,7 @@ def all_queries() -> dict[str, Query]:
         run_summary,
         severity_gate,
         job_read_evaluate_write,
+        job_csv_source,
     ):
         found[query.__name__] = query
     return found
