@@ -79,6 +79,12 @@ SINGLE = {
         "l_discount",
         invalid("lineitem", "l_discount <= CAST(0.08 AS DOUBLE)"),
     ),
+    "rule_min_max_integer": (
+        "lineitem",
+        "min_max",
+        "l_linenumber",
+        invalid("lineitem", "l_linenumber BETWEEN 2 AND 6"),
+    ),
     "rule_min_max_null": ("labelled", "min_max", "quality", invalid(LABELLED, "quality >= 0")),
     "rule_min_max_null_bound": (
         "orders",
@@ -301,8 +307,12 @@ def all_oracles() -> dict[str, str]:
         "failing_rows_row_level": (
             f"SELECT {LINEITEM_KEYS} FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45"
         ),
+        "failing_rows_pushed_down": (
+            f"SELECT {LINEITEM_KEYS} FROM lineitem WHERE l_linenumber < 2 OR l_linenumber > 6"
+        ),
+        "failing_rows_regex": "SELECT * FROM pages WHERE NOT regexp_matches(url, '^https://')",
         "failing_rows_null_verdict": (
-            f"SELECT doc_id, text, lang, source, n_chars, quality FROM {LABELLED} "
+            f"SELECT doc_id, text, lang, source, n_chars FROM {LABELLED} "
             "WHERE quality IS NULL OR quality <> 1"
         ),
         "failing_rows_unique": (
@@ -317,6 +327,12 @@ def all_oracles() -> dict[str, str]:
         "scan_json": "SELECT * FROM documents",
         "scan_parquet": "SELECT * FROM documents",
         "results_partitioned_append": history(),
+        "results_csv_append": history(),
+        "results_json_append": history(),
+        "results_overwrite": f"SELECT * FROM ({history()}) WHERE run_id = 'run-c'",
+        "history_errors": (
+            f"SELECT * FROM ({history()}) WHERE status = 'FAIL' AND severity = 'error'"
+        ),
         "history_ordered": (
             "SELECT run_epoch, status, rule_id, run_id, ROW_NUMBER() OVER "
             "(PARTITION BY run_epoch ORDER BY status, rule_id, run_id) AS position "

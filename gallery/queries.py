@@ -40,6 +40,10 @@ SINGLE_RULES: dict[str, tuple[str, dict]] = {
     "rule_min_max_both": ("lineitem", {"type": "min_max", "column": "l_quantity", "min": 5, "max": 45}),
     "rule_min_max_min_only": ("customer", {"type": "min_max", "column": "c_acctbal", "min": 0}),
     "rule_min_max_max_only": ("lineitem", {"type": "min_max", "column": "l_discount", "max": 0.08}),
+    "rule_min_max_integer": (
+        "lineitem",
+        {"type": "min_max", "column": "l_linenumber", "min": 2, "max": 6},
+    ),
     "rule_min_max_null": ("labelled", {"type": "min_max", "column": "quality", "min": 0}),
     "rule_min_max_null_bound": (
         "orders",
@@ -337,11 +341,17 @@ RUNS = [
 ]
 
 
-def store_runs(spark: SparkSession, sf_dir: str) -> str:
+def store_runs(
+    spark: SparkSession,
+    sf_dir: str,
+    fmt: str = "parquet",
+    mode: str = "append",
+    partition_by: tuple[str, ...] = ("run_date",),
+) -> str:
     path = scratch_path(spark, "history")
     for run_id, when, name, rules in RUNS:
         results = v.evaluate(table(spark, sf_dir, name), name, rules, run_id, when)
-        v.write_table(results, path, partition_by=["run_date"])
+        v.write_table(results, path, fmt, mode, partition_by)
     return path
 
 
@@ -354,6 +364,24 @@ def results_partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_epoch(v.read_history(spark, store_runs(spark, sf_dir)))
 
 
+def results_csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_epoch(v.read_history(spark, store_runs(spark, sf_dir, "csv"), "csv"))
+
+
+def results_json_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_epoch(v.read_history(spark, store_runs(spark, sf_dir, "json"), "json"))
+
+
+def results_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = store_runs(spark, sf_dir, mode="overwrite", partition_by=())
+    return with_epoch(v.read_history(spark, path))
+
+
+def history_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = v.read_history(spark, store_runs(spark, sf_dir))
+    return with_epoch(history.filter("status = 'FAIL' AND severity = 'error'"))
+
+
 def history_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = v.read_history(spark, store_runs(spark, sf_dir), dataset="orders")
     same_instant = Window.partitionBy("run_timestamp").orderBy("status", "rule_id", "run_id")
@@ -403,7 +431,9 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # key: (single rule, columns to return)
 FAILING_ROWS: dict[str, tuple[str, list[str]]] = {
     "failing_rows_row_level": ("rule_min_max_both", LINEITEM_KEYS),
-    "failing_rows_null_verdict": ("rule_allowed_values_null", [*DOCUMENT_COLUMNS, "quality"]),
+    "failing_rows_pushed_down": ("rule_min_max_integer", LINEITEM_KEYS),
+    "failing_rows_regex": ("rule_regex_fail", ["page_id", "url", "html"]),
+    "failing_rows_null_verdict": ("rule_allowed_values_null", DOCUMENT_COLUMNS),
     "failing_rows_unique": ("rule_unique_fail", DOCUMENT_COLUMNS),
     "failing_rows_custom_sql": ("custom_sql_anti_join", ORDER_KEYS),
 }
@@ -423,6 +453,10 @@ def all_queries() -> dict[str, Query]:
         scan_json,
         scan_parquet,
         results_partitioned_append,
+        results_csv_append,
+        results_json_append,
+        results_overwrite,
+        history_errors,
         history_ordered,
         history_top,
         history_latest_run,

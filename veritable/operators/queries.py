@@ -42,17 +42,17 @@ def violation_count(spark: SparkSession, rule: Rule) -> DataFrame:
     return _wrapped(spark, rule, "SELECT COUNT(*) AS failed")
 
 
-def violations(spark: SparkSession, rule: Rule, dataset: str) -> DataFrame:
-    """The rows the query returns; none when the dataset itself is empty."""
-    return _wrapped(spark, rule, "SELECT *", f"WHERE EXISTS (SELECT 1 FROM {dataset})")
+def violations(spark: SparkSession, rule: Rule) -> DataFrame:
+    """The rows the query returns."""
+    return _wrapped(spark, rule, "SELECT *")
 
 
-def _wrapped(spark: SparkSession, rule: Rule, head: str, tail: str = "") -> DataFrame:
+def _wrapped(spark: SparkSession, rule: Rule, head: str) -> DataFrame:
     # As a subquery only a query parses: a statement with side effects is
     # refused. The line breaks keep a trailing comment inside.
     query = rule.params["query"].strip().rstrip(";")
     with temp_views(spark, _reference_tables(spark, rule)):
-        return spark.sql(f"{head} FROM (\n{query}\n) {tail}")
+        return spark.sql(f"{head} FROM (\n{query}\n)")
 
 
 def _reference_tables(spark: SparkSession, rule: Rule) -> dict[str, DataFrame]:

@@ -66,9 +66,10 @@ class CheckSuite:
     def failing_rows(self, df: DataFrame, rule_id: str, keys_path: str | None = None) -> DataFrame:
         """The rows behind one rule's ``failed_records``.
 
-        For ``custom_sql`` these are the rows (and columns) of the query. For
-        ``unique``, ``keys_path`` names a new folder to store the repeated
-        values in, which lets Spark choose the join by their true size.
+        For ``custom_sql`` these are the rows (and columns) of the query, also
+        where an empty dataset makes them count as no failure. For ``unique``,
+        ``keys_path`` names a new folder to store the repeated values in, which
+        lets Spark choose the join by their true size.
         """
         self._refuse_stream(df)
         rule = next((r for r in self.rules if r.id == rule_id), None)
@@ -78,7 +79,7 @@ class CheckSuite:
             if rule.type == UNIQUE:
                 return duplicated_rows(df, rule.column, keys_path)
             if rule.type == CUSTOM_SQL:
-                return violations(df.sparkSession, rule, self.dataset)
+                return violations(df.sparkSession, rule)
             return rejected_rows(df, rule)
 
     def _counts(self, df: DataFrame, shared_scan: bool) -> tuple[DataFrame, list[Column]]:
