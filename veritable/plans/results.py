@@ -32,7 +32,6 @@ RESULT_SCHEMA = T.StructType(
     ]
 )
 
-
 _RULE_COLUMNS = ("rule_id", "rule_type", "column_name", "severity", "description", "failed_records")
 
 
@@ -86,7 +85,10 @@ def long_form(
         ]
     )
     return (
-        counts.select(F.expr(f"coalesce({total}, 0L)").alias("total_records"), F.inline(entries).alias(*_RULE_COLUMNS))
+        counts.select(
+            F.expr(f"coalesce({total}, 0L)").alias("total_records"),
+            F.inline(entries).alias(*_RULE_COLUMNS),
+        )
         .select(
             F.lit(run_id).alias("run_id"),
             F.lit(run_timestamp).cast("timestamp").alias("run_timestamp"),
