@@ -40,6 +40,7 @@ def sql(query, **extra):
         ("WITH lost AS (SELECT * FROM data WHERE state = 'LOST') SELECT * FROM lost", 2),
         ("SELECT id, id FROM data ORDER BY id LIMIT 3", 3),
         ("SELECT * FROM data WHERE id = 1;  ", 1),
+        ("SELECT * FROM data WHERE state <> ';' ; ;\n", 5),
         ("SELECT * FROM data WHERE id = 1 -- only the first", 1),
         ("FROM data |> WHERE state = 'SENT'", 2),
         ("SELECT id FROM data EXCEPT SELECT id FROM data WHERE id < 4", 2),
@@ -60,9 +61,10 @@ def test_many_queries_with_subqueries_of_their_own(parcels):
 
 
 def test_fan_out_goes_below_zero(parcels):
-    row = verdicts(parcels, [{"id": "r", **sql("SELECT a.id FROM data a CROSS JOIN data b")}])["r"]
-    assert (row["total_records"], row["failed_records"], row["passed_records"]) == (5, 25, -20)
-    assert row["pass_rate"] == -4.0
+    query = "SELECT a.id FROM data a JOIN data b ON a.state = b.state"
+    row = verdicts(parcels, [{"id": "r", **sql(query)}])["r"]
+    assert (row["total_records"], row["failed_records"], row["passed_records"]) == (5, 9, -4)
+    assert row["pass_rate"] == -0.8
     assert row["status"] == "FAIL"
 
 

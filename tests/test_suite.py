@@ -104,6 +104,16 @@ def test_run_date_is_the_date_of_the_given_timestamp(dirty):
     assert v.evaluate(dirty, "data", RULES[:1], run_timestamp=late).first()["run_date"] == "2024-03-01"
 
 
+def test_run_timestamp_is_an_instant_whatever_the_default_type(spark, dirty):
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    try:
+        results = v.evaluate(dirty, "data", RULES[:1], run_timestamp=WHEN)
+        assert results.schema["run_timestamp"].dataType.simpleString() == "timestamp"
+        assert results.selectExpr("unix_seconds(run_timestamp)").first()[0] == int(WHEN.timestamp())
+    finally:
+        spark.conf.unset("spark.sql.timestampType")
+
+
 def test_run_identity_is_generated_once_per_suite(dirty):
     suite = v.CheckSuite("data", RULES[:2])
     first, second = suite.evaluate(dirty).collect(), suite.evaluate(dirty).collect()

@@ -50,7 +50,7 @@ def violations(spark: SparkSession, rule: Rule) -> DataFrame:
 def _wrapped(spark: SparkSession, rule: Rule, head: str) -> DataFrame:
     # As a subquery only a query parses: a statement with side effects is
     # refused. The line breaks keep a trailing comment inside.
-    query = rule.params["query"].strip().rstrip(";")
+    query = rule.params["query"].rstrip("; \t\r\n")
     with temp_views(spark, _reference_tables(spark, rule)):
         return spark.sql(f"{head} FROM (\n{query}\n)")
 

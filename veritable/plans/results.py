@@ -91,7 +91,7 @@ def long_form(
         )
         .select(
             F.lit(run_id).alias("run_id"),
-            F.lit(run_timestamp).cast("timestamp").alias("run_timestamp"),
+            F.lit(run_timestamp).cast(T.TimestampType()).alias("run_timestamp"),
             F.lit(run_timestamp.date().isoformat()).alias("run_date"),
             F.lit(dataset).alias("dataset"),
             "*",
