@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException, ParseException
 
 import veritable as v
-from tests.helpers import failed, verdicts
+from tests.helpers import failed, plan, verdicts
 
 
 @pytest.fixture(scope="module")
@@ -125,6 +125,25 @@ def test_dataset_view_is_dropped_and_an_existing_one_restored(spark, parcels):
         spark.catalog.dropTempView("data")
 
 
+@pytest.mark.parametrize("registered", [False, True])
+def test_cached_input_stays_cached_and_is_used(spark, parcels, registered):
+    cached = parcels.filter("id > 1").cache()
+    try:
+        assert cached.count() == 4
+        if registered:
+            cached.createOrReplaceTempView("data")
+        rule = {"id": "r", **sql("SELECT * FROM data WHERE state = 'SENT'")}
+        for _ in range(2):
+            results = v.evaluate(cached, "data", [rule])
+            # Once for the total and once for the query.
+            assert plan(results).count("InMemoryTableScan") >= 2
+            assert results.first()["failed_records"] == 2
+        assert spark.catalog.tableExists("data") is registered
+    finally:
+        cached.unpersist()
+        spark.catalog.dropTempView("data")
+
+
 def test_views_are_cleaned_up_after_an_error(spark, parcels):
     with pytest.raises(AnalysisException):
         v.evaluate(parcels, "data", [{"id": "r", **sql("SELECT nope FROM data")}])

@@ -100,9 +100,23 @@ def test_sql_expression_sees_one_row_only(numbers, expression):
         verdicts(numbers, [{"id": "r", "type": "sql_expression", "expression": expression}])
 
 
-def test_sql_expression_may_use_a_subquery_over_the_dataset(numbers):
-    rule = {"type": "sql_expression", "expression": "i < (SELECT max(i) FROM data)"}
-    assert failed(numbers, rule) == 2
+@pytest.mark.parametrize(
+    ("expression", "expected"),
+    [
+        ("i < (SELECT max(i) FROM data)", 2),
+        ("i IN (SELECT id FROM known)", 3),
+        ("i NOT IN (SELECT id FROM known)", 2),
+        ("EXISTS (SELECT 1 FROM known WHERE id = i)", 3),
+        ("i IN (SELECT id FROM known) OR s = 'x'", 2),
+        ("(SELECT max(id) FROM known WHERE id <= i) = i", 3),
+    ],
+)
+def test_sql_expression_may_use_subqueries_over_views(spark, numbers, expression, expected):
+    spark.range(3).createOrReplaceTempView("known")
+    try:
+        assert failed(numbers, {"type": "sql_expression", "expression": expression}) == expected
+    finally:
+        spark.catalog.dropTempView("known")
 
 
 def test_session_udf_in_an_expression(spark, numbers):

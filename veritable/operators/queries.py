@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veritable.rules import Rule
 from veritable.sources.tables import read_table
@@ -18,10 +19,17 @@ def temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator
     Plans analysed inside the block keep their resolved inputs, so the views
     may go as soon as the query text has been turned into a DataFrame.
     """
-    before = {name: _existing_view(spark, name) for name in frames}
+    before: dict[str, DataFrame | None] = {}
     try:
         for name, frame in frames.items():
-            frame.createOrReplaceTempView(name)
+            current = _existing_view(spark, name)
+            if current is not None and current.sameSemantics(frame):
+                continue
+            before[name] = current
+            # Dropping a view also drops cached data of the same plan. A filter
+            # that keeps every row tells the view from the caller's frame, and
+            # costs nothing: the optimizer removes it.
+            frame.where(F.lit(True)).createOrReplaceTempView(name)
         yield
     finally:
         for name, frame in before.items():
