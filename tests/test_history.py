@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 import veritable as v
+from tests.helpers import plan
 
 DAY1 = dt.datetime(2024, 1, 1, 8, 0, 0, 250000, tzinfo=dt.timezone.utc)
 DAY2 = DAY1 + dt.timedelta(days=1)
@@ -107,3 +108,16 @@ def test_gate_blocks_on_errors_only(history):
     assert gate("r3") == (0, False)
     assert gate("r2") == (0, False)
     assert gate("none") == (0, False)
+
+
+def test_reports_do_not_sort_twice(history):
+    top = plan(v.top_history(history, 3))
+    assert "TakeOrderedAndProject" in top
+    assert "rangepartitioning" not in top
+    assert "rangepartitioning" not in plan(v.run_summary(history))
+
+
+def test_one_dataset_is_filtered_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store(spark, path)
+    assert "EqualTo(dataset,others)" in plan(v.read_history(spark, path, dataset="others"))
