@@ -160,8 +160,12 @@ SINGLE_RULES: dict[str, tuple[str, dict]] = {
             "type": "custom_sql",
             "references": ["orders"],
             "query": """
-                SELECT l.* FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-                WHERE l.l_shipdate < o.o_orderdate
+                SELECT l.* FROM lineitem l
+                JOIN (
+                    SELECT o_orderkey, MAX(o_orderdate) AS ordered FROM orders
+                    WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey
+                ) o ON l.l_orderkey <=> o.o_orderkey
+                WHERE l.l_shipdate < o.ordered
             """,
         },
     ),

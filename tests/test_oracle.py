@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tests.helpers import plan
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 
@@ -43,6 +44,8 @@ def test_query_matches_sql(spark, duck, key):
     expected = duck.execute(oracle_sql()[key])
     names = [d[0] for d in expected.description]
     assert sorted(df.columns) == sorted(names)
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert unwanted not in plan(df)
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(names, expected.fetchall())
 
 

@@ -68,3 +68,16 @@ def test_anti_join_with_a_key_hot_on_both_sides(spark, shuffled_joins, key):
         assert split(with_null, dataset, rule["query"]) == (odd + 1, True)
     finally:
         spark.catalog.dropTempView(rule["references"][0])
+
+
+def test_join_with_a_key_hot_on_both_sides(spark, shuffled_joins):
+    lines = hot(spark, "l_orderkey").withColumn("l_shipdate", F.lit("2024-01-05").cast("date"))
+    orders = hot(spark, "o_orderkey").selectExpr("o_orderkey", "date_add(DATE '2024-01-01', CAST(id % 10 AS INT)) AS o_orderdate")
+    orders.createOrReplaceTempView("orders")
+    try:
+        # Every line of the hot order once, not once per copy of the order.
+        late = sum(1 for i in range(ROWS) if i % 3 == 0 or i % 10 > 4)
+        query = SINGLE_RULES["custom_sql_reference_join"][1]["query"]
+        assert split(lines, "lineitem", query) == (late, True)
+    finally:
+        spark.catalog.dropTempView("orders")
