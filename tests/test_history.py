@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 import veritable as v
 from tests.helpers import plan
 
-DAY1 = dt.datetime(2024, 1, 1, 8, 0, 0, 250000, tzinfo=dt.timezone.utc)
+DAY1 = dt.datetime(2024, 1, 1, 8, 0, 0, 250123, tzinfo=dt.timezone.utc)
 DAY2 = DAY1 + dt.timedelta(days=1)
 
 
@@ -63,7 +63,7 @@ def test_read_back_is_what_was_written(spark, tmp_path, fmt, partition_by):
     assert rows["r1", "ranged"]["run_date"] == "2024-01-01"
     assert rows["r1", "ranged"]["pass_rate"] == 2 / 3
     moments = history.selectExpr("unix_micros(run_timestamp) AS t").distinct().orderBy("t").collect()
-    assert [r["t"] for r in moments] == [int(d.timestamp()) * 1_000_000 + 250000 for d in (DAY1, DAY2)]
+    assert [r["t"] for r in moments] == [int(d.timestamp()) * 1_000_000 + 250123 for d in (DAY1, DAY2)]
 
 
 def test_only_one_dataset(spark, tmp_path):

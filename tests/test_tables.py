@@ -22,6 +22,19 @@ def test_round_trip(spark, sample, tmp_path, fmt):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, sample.collect()))
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_timestamps_keep_their_microseconds(spark, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    df = spark.sql("SELECT TIMESTAMP '2024-01-01 10:00:00.123456' AS t, TIMESTAMP_NTZ '2024-01-01 10:00:00.000001' AS n")
+    v.write_table(df, path, fmt)
+    assert v.read_table(spark, path, fmt, schema=df.schema).collect() == df.collect()
+
+
+def test_an_indented_json_array_is_not_json_lines(spark, tmp_path):
+    (tmp_path / "f.json").write_text('[\n  {"a": 1},\n  {"a": 2}\n]\n')
+    assert "_corrupt_record" in v.read_table(spark, str(tmp_path / "f.json"), "json").columns
+
+
 def test_csv_is_the_default_source_with_header_and_inferred_types(spark, tmp_path):
     (tmp_path / "f.csv").write_text("i,d,s,t,b\n1,1.5,x,2024-01-01 00:00:00,true\n2,,y,2024-01-02 00:00:00,false\n")
     df = v.read_table(spark, str(tmp_path / "f.csv"))

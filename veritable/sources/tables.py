@@ -11,7 +11,12 @@ from pyspark.sql.types import StructType
 # each of them is used with.
 FORMATS = ("csv", "json", "parquet")
 READ_OPTIONS = {"csv": {"header": "true"}, "json": {}, "parquet": {}}
-WRITE_OPTIONS = {"csv": {"header": "true"}, "json": {}, "parquet": {}}
+# Spark's text formats would cut timestamps off at milliseconds.
+TIMESTAMPS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+WRITE_OPTIONS = {"csv": {"header": "true", **TIMESTAMPS}, "json": TIMESTAMPS, "parquet": {}}
 
 
 def check_format(fmt: str) -> str:
