@@ -8,9 +8,9 @@ import veritable as v
 WHEN = dt.datetime(2024, 3, 1, 12, 30, 15, 123456, tzinfo=dt.timezone.utc)
 
 
-def verdicts(df, rules, dataset="data"):
+def verdicts(df, rules, dataset="data", **options):
     """rule id -> result row."""
-    return {row["rule_id"]: row for row in v.evaluate(df, dataset, rules).collect()}
+    return {row["rule_id"]: row for row in v.evaluate(df, dataset, rules, **options).collect()}
 
 
 def failed(df, rule, dataset="data"):

@@ -1,5 +1,7 @@
 """custom_sql: every returned row is a failure; views come and go cleanly."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.errors import AnalysisException, ParseException
 
@@ -144,6 +146,16 @@ def test_cached_input_stays_cached_and_is_used(spark, parcels, registered):
         spark.catalog.dropTempView("data")
 
 
+def test_threads_do_not_see_each_others_views(spark):
+    def run(size):
+        rule = {"id": "r", **sql("SELECT * FROM data")}
+        return [v.evaluate(spark.range(size), "data", [rule]).first()["failed_records"] for _ in range(3)]
+
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(run, range(1, 7))) == [[size] * 3 for size in range(1, 7)]
+    assert not spark.catalog.tableExists("data")
+
+
 def test_views_are_cleaned_up_after_an_error(spark, parcels):
     with pytest.raises(AnalysisException):
         v.evaluate(parcels, "data", [{"id": "r", **sql("SELECT nope FROM data")}])

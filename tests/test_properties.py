@@ -57,10 +57,10 @@ def expected(rows):
 
 
 @COMMON
-@given(ROWS)
-def test_counts_match_plain_python(spark, rows):
+@given(ROWS, st.booleans())
+def test_counts_match_plain_python(spark, rows, shared_scan):
     df = spark.createDataFrame(rows, "s STRING, f DOUBLE, i INT")
-    results = verdicts(df, RULES)
+    results = verdicts(df, RULES, shared_scan=shared_scan)
     assert {key: row["failed_records"] for key, row in results.items()} == expected(rows)
     for row in results.values():
         assert row["total_records"] == len(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -12,6 +13,10 @@ from veritable.rules import Rule
 from veritable.sources.tables import read_table
 
 
+# View names are shared by all threads of a session.
+_VIEWS = threading.RLock()
+
+
 @contextmanager
 def temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[None]:
     """Expose frames as temp views, and put back what was there before.
@@ -20,23 +25,24 @@ def temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator
     may go as soon as the query text has been turned into a DataFrame.
     """
     before: dict[str, DataFrame | None] = {}
-    try:
-        for name, frame in frames.items():
-            current = _existing_view(spark, name)
-            if current is not None and current.sameSemantics(frame):
-                continue
-            before[name] = current
-            # Dropping a view also drops cached data of the same plan. A filter
-            # that keeps every row tells the view from the caller's frame, and
-            # costs nothing: the optimizer removes it.
-            frame.where(F.lit(True)).createOrReplaceTempView(name)
-        yield
-    finally:
-        for name, frame in before.items():
-            if frame is None:
-                spark.catalog.dropTempView(name)
-            else:
-                frame.createOrReplaceTempView(name)
+    with _VIEWS:
+        try:
+            for name, frame in frames.items():
+                current = _existing_view(spark, name)
+                if current is not None and current.sameSemantics(frame):
+                    continue
+                before[name] = current
+                # Dropping a view also drops cached data of the same plan. A
+                # filter that keeps every row tells the view from the caller's
+                # frame, and costs nothing: the optimizer removes it.
+                frame.where(F.lit(True)).createOrReplaceTempView(name)
+            yield
+        finally:
+            for name, frame in before.items():
+                if frame is None:
+                    spark.catalog.dropTempView(name)
+                else:
+                    frame.createOrReplaceTempView(name)
 
 
 def _existing_view(spark: SparkSession, name: str) -> DataFrame | None:
