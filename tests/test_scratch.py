@@ -1,0 +1,24 @@
+"""Scratch tables go where all executors can reach them."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from gallery.scratch import scratch_path
+
+
+def session(master, folder=None):
+    conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_the_shared_folder_of_the_session_is_used():
+    path = scratch_path(session("yarn", "hdfs:///shared/scratch/"), "t")
+    assert path.startswith("hdfs:///shared/scratch/t-")
+    assert path != scratch_path(session("yarn", "hdfs:///shared/scratch/"), "t")
+
+
+def test_without_one_only_local_mode_may_use_its_own():
+    assert scratch_path(session("local[4]"), "t")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://host:7077"), "t")
