@@ -51,9 +51,9 @@ def _existing_view(spark: SparkSession, name: str) -> DataFrame | None:
     return None
 
 
-def violation_count(spark: SparkSession, rule: Rule) -> DataFrame:
-    """One row with the number of rows the query returns."""
-    return _wrapped(spark, rule, "SELECT COUNT(*) AS failed")
+def violation_count(spark: SparkSession, rule: Rule, name: str) -> DataFrame:
+    """One (name, count) pair with the number of rows the query returns."""
+    return _wrapped(spark, rule, f"SELECT '{name}' AS name, COUNT(*) AS n")
 
 
 def violations(spark: SparkSession, rule: Rule) -> DataFrame:

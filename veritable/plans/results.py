@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,24 +35,23 @@ RESULT_SCHEMA = T.StructType(
 _RULE_COLUMNS = ("rule_id", "rule_type", "column_name", "severity", "description", "failed_records")
 
 
-def side_by_side(parts: Sequence[DataFrame]) -> DataFrame:
-    """Put one-row frames of counts next to each other.
+def side_by_side(
+    parts: Sequence[DataFrame], pairs: Sequence[DataFrame], names: Sequence[str]
+) -> DataFrame:
+    """One row with the counts ``names``, from one-row frames and (name, n) pairs.
 
-    They meet in a union of (name, count) pairs, a handful per part. Its
-    branches are independent, so Spark starts their first stages together.
-    Scalar subqueries would do as well, but a query may hold subqueries of its
-    own, and enough waiting for each other exhaust Spark's subquery threads.
+    They meet in a union of pairs, a handful per frame. Its branches are
+    independent, so Spark starts their first stages together. Scalar subqueries
+    would do as well, but a query may hold subqueries of its own, and enough
+    waiting for each other exhaust Spark's subquery threads.
     """
-    if len(parts) == 1:
+    if len(parts) == 1 and not pairs:
         return parts[0]
-    names = [name for part in parts for name in part.columns]
-    pairs = [
-        part.selectExpr(
-            "inline(array(" + ", ".join(f"struct('{name}' AS name, {name} AS n)" for name in part.columns) + "))"
-        )
-        for part in parts
-    ]
-    counts = reduce(DataFrame.union, pairs).selectExpr(
+    unpivoted = []
+    for part in parts:
+        structs = [f"struct('{name}' AS name, {name} AS n)" for name in part.columns]
+        unpivoted.append(part.selectExpr(f"inline(array({', '.join(structs)}))"))
+    counts = reduce(DataFrame.union, [*unpivoted, *pairs]).selectExpr(
         "map_from_entries(collect_list(struct(name, n))) AS counts"
     )
     return counts.selectExpr(*[f"counts['{name}'] AS {name}" for name in names])
@@ -72,11 +71,12 @@ def long_form(
     A query can return more rows than the dataset holds (a fan-out join);
     passed_records and pass_rate then go below zero, by definition.
     """
+    literal = cache(F.lit)  # most rules share their type, severity and so on
     entries = F.array(
         *[
             F.struct(
                 *[
-                    F.lit(value)
+                    literal(value)
                     for value in (rule.id, rule.type, rule.column, rule.severity, rule.description)
                 ],
                 count,

@@ -98,13 +98,13 @@ class CheckSuite:
         # The group sizes of a unique rule add up to the total as well: whatever
         # comes first provides it.
         parts[1:] = [part.drop(_TOTAL) for part in parts[1:]]
-        parts += [
-            violation_count(df.sparkSession, rule).toDF(names[rule.id])
+        pairs = [
+            violation_count(df.sparkSession, rule, names[rule.id])
             for rule in self.rules
             if rule.type == CUSTOM_SQL
         ]
         failed = [self._failed(rule, names[rule.id]) for rule in self.rules]
-        return side_by_side(parts), failed
+        return side_by_side(parts, pairs, [_TOTAL, *names.values()]), failed
 
     @staticmethod
     def _failed(rule: Rule, name: str) -> Column:
