@@ -1,18 +1,5 @@
 """Where the queries that exercise sinks write their tables."""
 
-from __future__ import annotations
+from veritable.sources.scratch import scratch_path
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder named by ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+__all__ = ["scratch_path"]

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from gallery.oracle import all_oracles
+from gallery.queries import all_queries
 from tests.helpers import plan
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
@@ -35,10 +37,12 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query_matches_sql(spark, duck, key):
     df = queries()[key](spark, SF_DIR)
     expected = duck.execute(oracle_sql()[key])

@@ -1,24 +1,28 @@
-"""Scratch tables go where all executors can reach them."""
-
-from types import SimpleNamespace
-
-import pytest
-
-from gallery.scratch import scratch_path
-
-
-def session(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
-def test_the_shared_folder_of_the_session_is_used():
-    path = scratch_path(session("yarn", "hdfs:///shared/scratch/"), "t")
-    assert path.startswith("hdfs:///shared/scratch/t-")
-    assert path != scratch_path(session("yarn", "hdfs:///shared/scratch/"), "t")
-
-
-def test_without_one_only_local_mode_may_use_its_own():
-    assert scratch_path(session("local[4]"), "t")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(session("spark://host:7077"), "t")
+from veritable.sources.scratch import scratch_path, stored
+
+
+def test_checkpoint_folder_comes_first(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        path = scratch_path(spark, "keys")
+        assert path.startswith(f"{tmp_path}/keys-")
+        assert scratch_path(spark, "keys") != path
+        assert stored(spark.range(5), "five").count() == 5
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["five"]
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
+
+
+def test_warehouse_is_the_fallback(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    if before is not None:
+        spark.conf.unset("spark.checkpoint.dir")
+    try:
+        assert scratch_path(spark, "keys").startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    finally:
+        if before is not None:
+            spark.conf.set("spark.checkpoint.dir", before)
