@@ -1,28 +1,28 @@
+"""Scratch tables go where all executors can reach them."""
+
+from pathlib import Path
+from types import SimpleNamespace
+
 from veritable.sources.scratch import scratch_path, stored
 
 
-def test_checkpoint_folder_comes_first(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        path = scratch_path(spark, "keys")
-        assert path.startswith(f"{tmp_path}/keys-")
-        assert scratch_path(spark, "keys") != path
-        assert stored(spark.range(5), "five").count() == 5
-        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["five"]
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
-
-
-def test_warehouse_is_the_fallback(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    if before is not None:
-        spark.conf.unset("spark.checkpoint.dir")
-    try:
-        assert scratch_path(spark, "keys").startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    finally:
-        if before is not None:
-            spark.conf.set("spark.checkpoint.dir", before)
+def session(settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)))
+
+
+def test_the_checkpoint_folder_comes_first():
+    conf = {"spark.checkpoint.dir": "hdfs:///shared/scratch/", "spark.sql.warehouse.dir": "hdfs:///tables"}
+    path = scratch_path(session(conf), "t")
+    assert path.startswith("hdfs:///shared/scratch/t-")
+    assert path != scratch_path(session(conf), "t")
+
+
+def test_the_warehouse_is_the_fallback():
+    assert scratch_path(session({"spark.sql.warehouse.dir": "hdfs:///tables"}), "t").startswith("hdfs:///tables/t-")
+
+
+def test_stored_tables_are_written_once_and_read_back(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    kept = stored(spark.range(5), "five")
+    assert kept.count() == 5
+    assert [p.name[:5] for p in shared.glob("five-*")] == ["five-"]
