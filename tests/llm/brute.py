@@ -1,0 +1,44 @@
+"""Plain versions to compare with, and small tables with awkward rows."""
+
+import re
+
+
+def words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x20\x09-\x0d]+", lowered)
+
+
+def shingles(text, width):
+    found = words(text)
+    if not found:
+        return frozenset()
+    return frozenset(tuple(found[i : i + width]) for i in range(max(1, len(found) - width + 1)))
+
+
+class Union:
+    def __init__(self):
+        self.parent = {}
+
+    def root(self, x):
+        self.parent.setdefault(x, x)
+        while self.parent[x] != x:
+            x = self.parent[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+
+
+def jaccard_components(docs, width, percent):
+    """doc_id -> (set size, smallest reachable id), comparing every pair."""
+    sets = {d: shingles(t, width) for d, t in docs}
+    union = Union()
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            both = len(sets[a] & sets[b])
+            either = len(sets[a] | sets[b])
+            if either and 100 * both >= percent * either:
+                union.join(a, b)
+    return {d: (len(sets[d]), union.root(d)) for d in ids}

@@ -1,0 +1,90 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.llm import brute
+from veritable.llm.jaccard_join import block_keys, jaccard_components, linked_pairs
+
+VOCABULARY = [f"w{i}" for i in range(400)]
+
+
+def near_copies(rng, n_groups, copies, length, edits):
+    docs = []
+    for _ in range(n_groups):
+        base = rng.choices(VOCABULARY, k=rng.randint(*length))
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.randint(0, edits)):
+                text[rng.randrange(len(text))] = rng.choice(VOCABULARY)
+            docs.append(" ".join(text))
+    rng.shuffle(docs)
+    return list(enumerate(docs, 5))
+
+
+def rows(spark, docs, width, percent, schema="doc_id long, text string"):
+    found = jaccard_components(spark.createDataFrame(docs, schema), width, percent).collect()
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found}
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80), (1, 50)])
+def test_matches_every_pair(spark, width, percent):
+    rng = random.Random(width)
+    docs = near_copies(rng, 12, 12, (1, 90), 5) + [(900, None), (901, ""), (902, " \n"), (903, "a"), (904, "A ")]
+    assert rows(spark, docs, width, percent) == brute.jaccard_components(docs, width, percent)
+
+
+def test_a_large_group_of_near_copies_spreads_over_nodes(spark):
+    docs = near_copies(random.Random(3), 1, 400, (150, 150), 4)
+    assert rows(spark, docs, 3, 90) == brute.jaccard_components(docs, 3, 90)
+
+
+def test_empty_table_extra_columns_and_repeated_rows(spark):
+    assert rows(spark, [], 3, 90) == {}
+    docs = spark.createDataFrame(
+        [(7, "a b c d", 1, 2), (7, "a b c d", 1, 2), (7, "x y z", 1, 2), (3, "A b c d", 1, 2), (None, "a b c d", 1, 2), (None, "q", 1, 2)],
+        "doc_id long, text string, set_id int, key int",
+    )
+    found = sorted(map(tuple, jaccard_components(docs, 3, 90).collect()), key=str)
+    assert found == sorted([(7, 2, 3), (7, 2, 3), (7, 1, 7), (3, 2, 3), (None, 2, 3), (None, 1, None)], key=str)
+
+
+def test_long_texts(spark):
+    rng = random.Random(1)
+    long = rng.choices(VOCABULARY, k=30_000)
+    docs = [(1, " ".join(long)), (2, " ".join(long[300:])), (3, " ".join(long[9000:])), (4, "x" * 300_000)]
+    assert [v[1] for _, v in sorted(rows(spark, docs, 3, 90).items())] == [1, 1, 3, 4]
+
+
+sets = st.sets(st.integers(0, 60), min_size=1, max_size=40)
+
+
+def hashed(numbers):
+    from veritable.llm.words import mix
+
+    return np.unique(mix(np.array(sorted(numbers), np.uint64)))
+
+
+@settings(max_examples=300, deadline=None)
+@given(sets, st.sets(st.integers(0, 60), max_size=4), st.sampled_from([50, 80, 90]))
+def test_linked_sets_share_a_key(one, change, percent):
+    two = (one ^ change) or one
+    if 100 * len(one & two) >= percent * len(one | two):
+        assert set(block_keys(hashed(one), percent)) & set(block_keys(hashed(two), percent))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(sets, min_size=1, max_size=24), st.lists(sets, max_size=24), st.sampled_from([30, 60, 90]))
+def test_traversal_loses_no_link(a, b, percent):
+    whole = a + b
+    found = brute.Union()
+    for p, q in linked_pairs([hashed(s) for s in a], [hashed(s) for s in b] or None, percent):
+        assert 100 * len(whole[p] & whole[q]) >= percent * len(whole[p] | whole[q])
+        assert found.root(p) != found.root(q)
+        found.join(p, q)
+    for p in range(len(a)):
+        for q in range(len(a), len(whole)) if b else range(p):
+            if 100 * len(whole[p] & whole[q]) >= percent * len(whole[p] | whole[q]):
+                assert found.root(p) == found.root(q)
