@@ -4,23 +4,116 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from veritable.llm.byte_bpe import round_trip
 from veritable.llm.common import table
+from veritable.llm.decontaminate import find_leaks
+from veritable.llm.embedding_pairs import near_duplicates
 from veritable.llm.jaccard_join import jaccard_components
+from veritable.llm.language_id import held_out, identify_documents
+from veritable.llm.main_text import extract_main_text
+from veritable.llm.passages import repeated_passages
+from veritable.llm.sharding import shard_documents
+from veritable.llm.url_filter import filter_urls
+from veritable.llm.warc import derivatives, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 24
+# The rules that URLs are judged by.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked records of all pages; of the records themselves their digest."""
+    made = derivatives(responses(table(spark, sf_dir, "pages")))
+    return made.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url")
+    return filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = identify_documents(table(spark, sf_dir, "documents"))
+    return named.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_jaccard_join,
+        op2_warc_derivatives,
+        op3_sharding,
+        op4_url_filter,
+        op5_passages,
+        op6_language_id,
+        op7_main_text,
+        op8_decontamination,
+        op9_embedding_pairs,
+        op10_byte_bpe,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
+
+_URL_FILTER = """
+WITH parsed AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), rules(rule_host, rule_path, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+    ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), judged AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(action, length(rule_host || rule_path)) AS action
+  FROM (SELECT DISTINCT host, path FROM parsed) JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path
+)
+SELECT page_id, parsed.host, parsed.path, rule, coalesce(action, 'allow') AS verdict
+FROM parsed LEFT JOIN judged ON parsed.host = judged.host AND parsed.path = judged.path
+"""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_filter": _URL_FILTER} | (
+    {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+)
