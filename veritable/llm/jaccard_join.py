@@ -11,8 +11,9 @@
    A shared passage does not make two sets agree in a part, so common passages
    cause no hot key; only sets that are alike nearly throughout share keys.
 3. Nodes. Sets that share keys are gathered around the smallest set id they
-   share a key with, and cut into nodes of about ``_NODE_SETS`` sets, however
-   many there are. Nodes are compared if some key occurs in both.
+   reach in a few steps over shared keys, and cut into nodes of about
+   ``_NODE_SETS`` sets or ``_NODE_SHINGLES`` shingles, however many there are.
+   Nodes are compared if some key occurs in both.
 4. Trees. A node pair is one small task: both nodes become trees whose inner
    nodes hold the OR of their sets' bitmaps and the range of their sizes. A dual
    traversal drops tree node pairs whose largest possible overlap is too small;
@@ -40,10 +41,14 @@ from veritable.llm.words import U64, mix, shingle_sets, slices
 from veritable.sources.scratch import stored
 
 _CLASS_RATIO = 1.3
-_SPARE = 2
-_NODE_SETS = 128
+_SPARE = 2  # and one for each _SPARE_SHARE differing shingles allowed
+_SPARE_SHARE = 8
+_HOME_STEPS = 2
+_NODE_SETS = 512
+_NODE_SHINGLES = 1 << 19
 _FANOUT = 8
 _FILTER_BITS = 23
+_CLASS = 1 << 32
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -70,8 +75,12 @@ def size_classes(n: int, percent: int) -> list[int]:
     return found
 
 
-def block_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which two sets with at least ``percent`` % Jaccard share one."""
+def block_keys(shingles: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """(class, need, keys) for each size class of a set.
+
+    Two sets with at least ``percent`` % Jaccard share at least as many keys of
+    one class as either of them needs there, and one at least.
+    """
     n = len(shingles)
     found = []
     mixed = mix(shingles ^ U64(0xA5A5A5A5A5A5A5A5))
@@ -79,17 +88,20 @@ def block_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         # The larger of a pair met in this class is at most this size.
         largest = (class_start(k + 1) - 1) * 100 // percent
         differing = (100 - percent) * 2 * largest // (100 + percent)
-        parts = differing + 1 + (_SPARE if differing else 0)
+        spare = _SPARE + differing // _SPARE_SHARE if differing else 0
+        parts = differing + 1 + spare
         part = ((shingles >> U64(32)) * U64(parts)) >> U64(32)
         begins = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         sums = mix(np.add.reduceat(mixed, begins))
         used = part[begins]
         salt = U64(k) << U64(40)
-        found.append(mix(sums ^ mix(used + salt)))
-        if differing and parts - len(used) > _SPARE:
+        keys = mix(sums ^ mix(used + salt))
+        gaps = parts - len(used)
+        if gaps > spare:
             empty = np.setdiff1d(np.arange(parts, dtype=U64), used)
-            found.append(mix(mix(empty + salt) ^ U64(0x5EED)))
-    return np.concatenate(found)
+            keys = np.concatenate((keys, mix(mix(empty + salt) ^ U64(0x5EED))))
+        found.append((k, max(1, spare + 1 - gaps), keys))
+    return found
 
 
 def _sets(batches: Batches, width: int, *columns: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -120,26 +132,63 @@ def _keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
             seen = {set_id(s): s for s in sets if len(s)}
             if not seen:
                 continue
-            keys = [block_keys(s, percent) for s in seen.values()]
-            ids = np.repeat(np.fromiter(seen, np.int64), [len(k) for k in keys])
-            yield pa.record_batch({"key": np.concatenate(keys).astype(np.int64), "set_id": ids})
+            found = [(one, *keys) for one, s in seen.items() for keys in block_keys(s, percent)]
+            ids, classes, needs, keys = zip(*found)
+            counts = [len(k) for k in keys]
+            yield pa.record_batch(
+                {
+                    "key": np.concatenate(keys).astype(np.int64),
+                    "set_id": np.repeat(np.array(ids, np.int64), counts),
+                    "class_need": np.repeat(np.array(classes, np.int64) * _CLASS + np.array(needs), counts),
+                }
+            )
 
-    return in_arrow(docs.select("text"), emit, "key long, set_id long")
+    return in_arrow(docs.select("text"), emit, "key long, set_id long, class_need long")
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
-    """(key, set_id, home) of the keys that occur in two sets or more; home is the smallest of the sets."""
-    return (
+    """(key, set_id, home) of the keys that occur in two sets or more; home is the smallest of the sets.
+
+    Sets that share fewer keys than they need are left out.
+    """
+    shared = (
         keys.selectExpr(
             "key",
             "set_id",
+            "class_need",
             "min(set_id) OVER (PARTITION BY key) AS home",
             "max(set_id) OVER (PARTITION BY key) AS last",
         )
         .where("home < last")
-        .select("key", "set_id", "home")
+        .drop("last")
         .distinct()
     )
+    shared = stored(shared, "jaccard-keys")
+    enough = (
+        shared.groupBy("set_id", "class_need")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= F.pmod("class_need", F.lit(_CLASS)))
+        .select(F.col("set_id").alias("s"), F.col("class_need").alias("c"))
+    )
+    return shared.join(enough, F.expr("set_id <=> s AND class_need <=> c"), "left_semi").drop("class_need")
+
+
+def _homes(shared: DataFrame) -> DataFrame:
+    """(set_id, home): the smallest set id reached in a few steps over shared keys."""
+    own = shared.select("key", "set_id")
+    homes = stored(shared.groupBy("set_id").agg(F.min("home").alias("home")), "jaccard-homes")
+    for step in range(2 * _HOME_STEPS):
+        above = homes.withColumnsRenamed({"set_id": "k", "home": "up"})
+        if step % 2 == 0:
+            further = homes.join(above, F.expr("home <=> k"), "left")
+            homes = further.select("set_id", F.coalesce("up", "home").alias("home"))
+        else:
+            labelled = own.join(above, F.expr("set_id <=> k")).select("key", "set_id", "up")
+            lowest = labelled.groupBy("key").agg(F.min("up").alias("low"))
+            met = own.join(lowest.withColumnRenamed("key", "k"), F.expr("key <=> k"))
+            homes = met.groupBy("set_id").agg(F.min("low").alias("home"))
+        homes = stored(homes, "jaccard-homes")
+    return homes
 
 
 def _filter_bits(wanted: DataFrame) -> np.ndarray:
@@ -318,11 +367,14 @@ def _links(batches: Batches, percent: int) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _node_pairs(shared: DataFrame) -> DataFrame:
+def _node_pairs(shared: DataFrame, sets: DataFrame) -> DataFrame:
     """(set_id, pair, other): which node pairs a set takes part in, and on which side."""
-    homes = stored(shared.groupBy("set_id").agg(F.min("home").alias("home")), "jaccard-homes")
-    sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("members"))
-    node = F.xxhash64("home", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("members") / _NODE_SETS)))
+    homes = _homes(shared).join(
+        sets.select(F.col("set_id").alias("s"), "n_shingles"), F.expr("set_id <=> s")
+    )
+    cuts = F.greatest(F.count(F.lit(1)) / _NODE_SETS, F.sum("n_shingles") / _NODE_SHINGLES)
+    sizes = homes.groupBy("home").agg(F.ceil(cuts).alias("cuts"))
+    node = F.xxhash64("home", F.pmod(F.xxhash64("set_id"), F.col("cuts")))
     nodes = homes.join(sizes.withColumnRenamed("home", "h"), F.col("home").eqNullSafe(F.col("h")))
     nodes = stored(nodes.select("set_id", node.alias("node")), "jaccard-nodes")
     keyed = (
@@ -350,9 +402,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     least ``percent`` %; component_id is the smallest doc_id reachable by links.
     """
     counts = stored(shingle_counts(docs, width), "jaccard-counts")
-    sets = counts.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    shared = stored(_shared_keys(_keys(docs, width, percent)), "jaccard-keys")
-    partners = _node_pairs(shared)
+    sets = counts.where("n_shingles > 0").groupBy("set_id").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")
+    )
+    shared = stored(_shared_keys(_keys(docs, width, percent)), "jaccard-shared")
+    partners = _node_pairs(shared, sets)
     wanted = sets.join(partners.select("set_id").distinct(), "set_id", "left_semi")
     # A set is read from the row with its smallest id; equal rows come as one.
     shingles = _shingles_of(docs, wanted, width).withColumnRenamed("set_id", "s")
