@@ -3,8 +3,8 @@
 Model. Letters are taken with their neighbours inside the word (trigrams, words
 bounded), hashed into ``FEATURES`` buckets; a language is the smoothed logarithm of
 its bucket frequencies, and the scripts its training words are written in. It is
-fitted on a bounded sample: ``SAMPLE_ROWS`` documents of each language, those with
-the smallest hash of their id. The model has ``FEATURES`` numbers per language,
+fitted on a bounded sample: ``SAMPLE_ROWS`` documents of each language at most, drawn
+by the hash of their id. The model has ``FEATURES`` numbers per language,
 however large the corpus is; only its counts come to the driver.
 
 Prediction. The script of a word narrows its candidates to the languages written
@@ -128,17 +128,17 @@ class Model:
 
 
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(lang, text): at most ``rows`` documents of each language, by the hash of their id."""
-    named = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    # Spark keeps only the first rows of each language before it shuffles.
-    ranked = named.selectExpr(
-        "doc_id", "lang", "row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id), doc_id) AS position"
+    """(lang, text): at most ``rows`` documents of each language, drawn by the hash of their id."""
+    named = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
+    # Thinned out by hash to about three times what is wanted before the texts are
+    # shuffled; one row per language is broadcast, as many as the model has columns.
+    counts = named.groupBy(F.col("lang").alias("counted")).agg((3 * rows / F.count(F.lit(1))).alias("share"))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    thinned = named.join(F.broadcast(counts), F.expr("lang <=> counted")).where(drawn < F.col("share"))
+    ranked = thinned.selectExpr(
+        "lang", "text", "row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id, 1), doc_id, text) AS position"
     )
-    chosen = ranked.where(F.col("position") <= rows).select(
-        F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")
-    )
-    on = F.expr("doc_id <=> chosen_id AND lang <=> chosen_lang")
-    return named.select("doc_id", "lang", "text").join(chosen, on, "left_semi").select("lang", "text")
+    return ranked.where(F.col("position") <= rows).select("lang", "text")
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
