@@ -240,7 +240,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity
     laid = stored(found.distinct() if blocks > 1 else found, "leak-windows")
     parts = F.array(*[F.struct(F.lit(p).alias("part"), F.shiftright("fingerprint", p * _PART_BITS).bitwiseAND(F.lit(0xFFFF)).alias("value")) for p in range(_PARTS)])
     probes = laid.select("fingerprint", "n_words").distinct().select("fingerprint", "n_words", F.inline(parts))
-    met = probes.join(_index(items, radius), F.expr("n_words = size AND part = at AND value = near"))
+    # Spark takes the index for as small as the items; it is some thousand times larger.
+    met = probes.join(_index(items, radius).hint("merge"), F.expr("n_words = size AND part = at AND value = near"))
     hamming = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("print"))).cast("int")
     near = met.withColumn("hamming", hamming).where(F.col("hamming") <= radius).select("fingerprint", "n_words", "number", "print", "hamming").distinct()
     pairs = laid.join(near.withColumnsRenamed({"fingerprint": "f", "n_words": "w"}), F.expr("fingerprint <=> f AND n_words <=> w"))
