@@ -64,6 +64,7 @@ SINGLE = {
     "rule_not_null_fail": ("labelled", "not_null", "quality", count(LABELLED, "quality IS NULL")),
     "rule_unique_pass": ("orders", "unique", "o_orderkey", repeated("orders", "o_orderkey")),
     "rule_unique_fail": ("documents", "unique", "text", repeated("documents", "text")),
+    "rule_unique_digest": ("documents", "unique", "text", repeated("documents", "text")),
     "rule_unique_nulls": ("labelled", "unique", "quality", repeated(LABELLED, "quality")),
     "rule_unique_heavy": ("orders", "unique", "o_custkey", repeated("orders", "o_custkey")),
     "rule_min_max_both": (
@@ -281,8 +282,8 @@ def history() -> str:
     )
 
 
-LINEITEM_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
-ORDER_KEYS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+LINEITEM = "* REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate)"
+ORDERS = "* REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate)"
 
 
 def all_oracles() -> dict[str, str]:
@@ -305,22 +306,26 @@ def all_oracles() -> dict[str, str]:
             f"FROM ({results('orders', orders_suite())}) WHERE status = 'FAIL' AND severity = 'error'"
         ),
         "failing_rows_row_level": (
-            f"SELECT {LINEITEM_KEYS} FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45"
+            f"SELECT {LINEITEM} FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45"
         ),
         "failing_rows_pushed_down": (
-            f"SELECT {LINEITEM_KEYS} FROM lineitem WHERE l_linenumber < 2 OR l_linenumber > 6"
+            f"SELECT {LINEITEM} FROM lineitem WHERE l_linenumber < 2 OR l_linenumber > 6"
         ),
         "failing_rows_regex": "SELECT * FROM pages WHERE NOT regexp_matches(url, '^https://')",
         "failing_rows_null_verdict": (
-            f"SELECT doc_id, text, lang, source, n_chars FROM {LABELLED} "
+            f"SELECT * FROM {LABELLED} "
             "WHERE quality IS NULL OR quality <> 1"
         ),
         "failing_rows_unique": (
             "SELECT * FROM documents WHERE text IN "
             "(SELECT text FROM documents GROUP BY text HAVING COUNT(*) > 1)"
         ),
+        "failing_rows_unique_digest": (
+            "SELECT * FROM documents WHERE text IN "
+            "(SELECT text FROM documents GROUP BY text HAVING COUNT(*) > 1)"
+        ),
         "failing_rows_custom_sql": (
-            f"SELECT {ORDER_KEYS} FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"
+            f"SELECT {ORDERS} FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"
         ),
         "scan_csv": "SELECT * FROM customer",
         "scan_csv_schema": "SELECT * FROM customer",

@@ -189,3 +189,10 @@ def test_empty_dataset_passes_although_the_query_returns_rows(parcels):
     assert failed(empty, sql("SELECT * FROM data")) == 0
     assert verdicts(empty, [{"id": "r", **sql("SELECT 1")}])["r"]["failed_records"] == 0
     assert v.failing_rows(empty, "data", {"id": "r", **sql("SELECT 1")}).count() == 1
+
+
+@pytest.mark.parametrize("end", [";", " ; ", "; -- note", "; /* note; */ ;\n", " -- note ;"])
+def test_what_may_follow_the_last_word(spark, end):
+    df = spark.range(5).withColumnRenamed("id", "n")
+    query = "SELECT n, ';' AS `;` FROM data WHERE n > 2 AND ';--' <> \"a;\"" + end
+    assert failed(df, {"type": "custom_sql", "query": query}) == 2

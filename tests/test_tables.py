@@ -82,14 +82,14 @@ def test_partitioned_write_makes_one_file_per_partition(sample, tmp_path):
 
 @pytest.mark.parametrize("partition_by", [None, [], ()])
 def test_unpartitioned_write(sample, tmp_path, partition_by):
-    v.write_table(sample.repartition(4), str(tmp_path / "t"), partition_by=partition_by)
+    v.write_table(sample.repartition(4), str(tmp_path / "t"), partition_by=partition_by, num_files=1)
     assert len(list((tmp_path / "t").glob("*.parquet"))) == 1
 
 
 def test_file_count_is_free_to_choose(spark, tmp_path):
     rows = spark.range(0, 1000, 1, 4)
     v.write_table(rows, str(tmp_path / "three"), num_files=3)
-    v.write_table(rows, str(tmp_path / "own"), num_files=None)
+    v.write_table(rows, str(tmp_path / "own"))
     assert len(list((tmp_path / "three").glob("*.parquet"))) == 3
     assert len(list((tmp_path / "own").glob("*.parquet"))) == 4
 
@@ -102,7 +102,7 @@ def test_overwrite_replaces_every_partition(spark, sample, tmp_path):
 
 
 def test_uri_and_directory_paths(spark, sample, tmp_path):
-    v.write_table(sample, f"file://{tmp_path}/t")
+    v.write_table(sample, f"file://{tmp_path}/t", num_files=1)
     assert v.read_table(spark, (tmp_path / "t").as_uri(), "parquet").count() == 2
     one_file = next(Path(tmp_path / "t").glob("*.parquet"))
     assert v.read_table(spark, str(one_file), "parquet").count() == 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -64,11 +65,25 @@ def violations(spark: SparkSession, rule: Rule) -> DataFrame:
 def _wrapped(spark: SparkSession, rule: Rule, head: str) -> DataFrame:
     # As a subquery only a query parses: a statement with side effects is
     # refused. The line breaks keep a trailing comment inside.
-    query = rule.params["query"].rstrip("; \t\r\n")
+    query = without_end(rule.params["query"])
     with temp_views(spark, _reference_tables(spark, rule)):
         return spark.sql(f"{head} FROM (\n{query}\n)")
 
 
+_TOKENS = re.compile(
+    r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?P<note>--[^\n]*|/\*.*?\*/)|\S""", re.DOTALL
+)
+
+
+def without_end(query: str) -> str:
+    """The query without the semicolons behind its last word; comments may follow them."""
+    words = [m for m in _TOKENS.finditer(query) if m["note"] is None]
+    while words and words[-1][0] == ";":
+        at = words.pop().start()
+        query = f"{query[:at]} {query[at + 1 :]}"
+    return query
+
+
 def _reference_tables(spark: SparkSession, rule: Rule) -> dict[str, DataFrame]:
     tables = rule.params.get("reference_tables") or {}
     return {

@@ -9,44 +9,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritable.functions.columns import column_type
+from veritable.rules import Rule
 from veritable.sources.tables import read_table, write_table
 
 _KEY = "__unique_key"
 _REPEATED = "__repeated_key"
 _COPIES = "__copies"
 _SET = "__grouping_set"
-_DIGEST_BYTES = 32
 
 
-def group_key(df: DataFrame, column: str) -> Column:
-    """Grouping key that never shuffles a long value.
+def by_digest(rule: Rule) -> bool:
+    """Whether a rule asks for its values to be grouped by digest."""
+    return bool(rule.params.get("digest", False))
 
-    Text and binary values shorter than a SHA-256 digest stand for themselves,
-    longer ones are replaced by their digest. The two kinds differ in length,
-    so a short value can never meet a digest. Other types, and text under a
-    collation (where different bytes may be equal), are grouped as they are.
+
+def group_key(df: DataFrame, column: str, digest: bool = False) -> Column:
+    """What values are grouped by: themselves, or with ``digest`` their SHA-256.
+
+    The digest is for long text and binary values, of which 32 bytes travel
+    then, whatever their length. Other types, and text under a collation (where
+    different bytes may be equal), are grouped as they are.
     """
     value = F.col(column)
+    if not digest:
+        return value
     kind = column_type(df, column)
     binary_text = isinstance(kind, T.StringType) and kind.isUTF8BinaryCollation()
     if not binary_text and not isinstance(kind, T.BinaryType):
         return value
-    return F.when(F.octet_length(value) < _DIGEST_BYTES, value.cast("binary")).otherwise(
-        F.unhex(F.sha2(value.cast("binary"), 256))
-    )
+    return F.unhex(F.sha2(value.cast("binary"), 256))
 
 
-def duplicate_counts(df: DataFrame, columns: Mapping[str, str], total: str) -> DataFrame:
+def duplicate_counts(df: DataFrame, columns: Mapping[str, tuple[str, bool]], total: str) -> DataFrame:
     """One row: the number of rows, and per name the rows whose value repeats.
 
-    ``columns`` maps output names to columns. NULLs form one group, as they do
+    ``columns`` maps output names to a column and whether its values are grouped
+    by digest. NULLs form one group, as they do
     in GROUP BY. Groups are counted map-side first, so a hot value reaches its
     reducer as one row per task. Several columns share one scan by way of
     grouping sets, at the price of shuffling them all at once.
     """
     keys = [f"{_KEY}_{i}" for i in range(len(columns))]
     keyed = df.select(
-        *[group_key(df, column).alias(key) for key, column in zip(keys, columns.values(), strict=True)]
+        *[group_key(df, *column).alias(key) for key, column in zip(keys, columns.values(), strict=True)]
     )
     copies = F.count(F.lit(1)).alias(_COPIES)
     if len(keys) == 1:
@@ -66,7 +71,9 @@ def duplicate_counts(df: DataFrame, columns: Mapping[str, str], total: str) -> D
     )
 
 
-def duplicated_rows(df: DataFrame, column: str, keys_path: str | None = None) -> DataFrame:
+def duplicated_rows(
+    df: DataFrame, column: str, keys_path: str | None = None, digest: bool = False
+) -> DataFrame:
     """All rows whose value occurs more than once.
 
     A semi-join against the repeated keys, one row per key. Where the right
@@ -76,7 +83,7 @@ def duplicated_rows(df: DataFrame, column: str, keys_path: str | None = None) ->
     few, without shuffling the dataset at all.
     """
     repeated = (
-        df.groupBy(group_key(df, column).alias(_REPEATED))
+        df.groupBy(group_key(df, column, digest).alias(_REPEATED))
         .agg(F.count(F.lit(1)).alias(_COPIES))
         .filter(F.col(_COPIES) > 1)
         .select(_REPEATED)
@@ -86,5 +93,5 @@ def duplicated_rows(df: DataFrame, column: str, keys_path: str | None = None) ->
         repeated = read_table(df.sparkSession, keys_path, "parquet", repeated.schema)
     # The key travels as a column: as a join expression it would be computed
     # again for partitioning, for sorting and for every comparison.
-    keyed = df.withColumn(_KEY, group_key(df, column))
+    keyed = df.withColumn(_KEY, group_key(df, column, digest))
     return keyed.join(repeated, F.col(_KEY).eqNullSafe(F.col(_REPEATED)), "left_semi").drop(_KEY)

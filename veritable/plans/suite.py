@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from veritable.operators.queries import temp_views, violation_count, violations
 from veritable.operators.row_level import rejected_rows, valid_counts
-from veritable.operators.uniqueness import duplicate_counts, duplicated_rows
+from veritable.operators.uniqueness import by_digest, duplicate_counts, duplicated_rows
 from veritable.plans.parsing import parse_rules
 from veritable.plans.results import RESULT_SCHEMA, long_form, side_by_side
 from veritable.rules import CUSTOM_SQL, UNIQUE, Rule
 
 _TOTAL = "total"
-_SETS_PER_SCAN = 16
 
 
 class CheckSuite:
@@ -76,7 +75,7 @@ class CheckSuite:
         if rule is None:
             raise ValueError(f"No rule {rule_id!r} in this suite")
         if rule.type == UNIQUE:
-            return duplicated_rows(df, rule.column, keys_path)
+            return duplicated_rows(df, rule.column, keys_path, by_digest(rule))
         with temp_views(df.sparkSession, {self.dataset: df}):
             if rule.type == CUSTOM_SQL:
                 return violations(df.sparkSession, rule)
@@ -86,8 +85,10 @@ class CheckSuite:
         """A one-row frame, and over it each rule's number of failures."""
         names = {rule.id: f"n{i}" for i, rule in enumerate(self.rules)}
         row_level = [rule for rule in self.rules if not rule.dataset_level]
-        uniques = [(names[rule.id], rule.column) for rule in self.rules if rule.type == UNIQUE]
-        size = _SETS_PER_SCAN if shared_scan else 1
+        uniques = [
+            (names[rule.id], (rule.column, by_digest(rule))) for rule in self.rules if rule.type == UNIQUE
+        ]
+        size = max(1, len(uniques)) if shared_scan else 1
         parts = [
             duplicate_counts(df, dict(uniques[start : start + size]), _TOTAL)
             for start in range(0, len(uniques), size)

@@ -16,7 +16,9 @@ TIMESTAMPS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-WRITE_OPTIONS = {"csv": {"header": "true", **TIMESTAMPS}, "json": TIMESTAMPS, "parquet": {}}
+# The CSV writer would trim text.
+UNTRIMMED = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+WRITE_OPTIONS = {"csv": {"header": "true", **UNTRIMMED, **TIMESTAMPS}, "json": TIMESTAMPS, "parquet": {}}
 
 
 def check_format(fmt: str) -> str:
@@ -53,13 +55,14 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "append",
     partition_by: Sequence[str] | None = None,
-    num_files: int | None = 1,
+    num_files: int | None = None,
 ) -> None:
-    """Write a results table, by default as one file per run and partition.
+    """Write a table, by default in the frame's own partitioning.
 
-    ``num_files=None`` keeps the frame's own partitioning, which is what a
-    large frame (failing rows, say) needs. ``overwrite`` follows the session's
-    partition overwrite mode: static by default, replacing every partition.
+    ``num_files`` deals the rows to so many tasks first: one is right for a
+    results table (a row per rule), and for nothing that grows. ``overwrite``
+    follows the session's partition overwrite mode: static by default, replacing
+    every partition.
     """
     fmt = check_format(fmt)
     if num_files is not None:
