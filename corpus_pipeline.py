@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritable.llm.byte_bpe import round_trip
-from veritable.llm.common import table
+from veritable.llm.common import table, without
 from veritable.llm.decontaminate import find_leaks
 from veritable.llm.jaccard_join import jaccard_components
 from veritable.llm.language_id import UNKNOWN, identify_documents
@@ -33,11 +33,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Five words a shingle, a Jaccard of 0.8 or more, whatever the case.
     """
     lowered = docs.select("doc_id", F.lower("text").alias("text"))
-    first = jaccard_components(lowered, width=5, percent=80).where("doc_id = component_id").select(
-        F.col("doc_id").alias("kept_id")
-    )
-    kept = docs.join(first.distinct(), F.expr("doc_id <=> kept_id"), "left_semi")
-    return kept.union(docs.where("doc_id IS NULL"))
+    groups = jaccard_components(lowered, width=5, percent=80).where("doc_id IS NOT NULL")
+    copies = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first")).where("NOT first")
+    return without(docs, "doc_id", stored(copies.select("doc_id"), "pipeline-copies"))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +45,8 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(leaks, F.expr("doc_id <=> leaking_id"), "left_anti")
+    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return without(docs, "doc_id", stored(leaks, "pipeline-leaks"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from veritable.llm.words import slices, text_buffer
 
 VOCABULARY = "byte_bpe_50k.json"
 _PIECE_BYTES = 1 << 15
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E), 0x1C, 0x1D, 0x1E, 0x1F]] = True
 # First bytes of the multi-byte characters that are white space.

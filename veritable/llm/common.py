@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritable.sources.scratch import stored
@@ -43,6 +43,73 @@ def key_runs(batches: Batches, key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+SLOT_BITS = 23
+BROADCAST_BITS = 20
+_PAGE = 1 << 10
+
+
+def slot_of(column: str) -> Column:
+    """A number below 2 ** SLOT_BITS for every value, null included."""
+    return F.xxhash64(column).bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
+
+
+def slot_bits(slots: DataFrame) -> np.ndarray:
+    """One bit per slot that occurs in ``slots`` (slot long): 1 MB, whatever the input.
+
+    Pages of 1 KB are ORed on the executors; at most 1,024 of them reach the driver.
+    A full filter still lets everything through, so it decides about speed only.
+    """
+
+    def flag(batches: Batches) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << SLOT_BITS, bool)
+        for batch in batches:
+            bits[batch.column("slot").to_numpy()] = True
+        pages = np.packbits(bits).reshape(-1, _PAGE)
+        used = np.flatnonzero(pages.any(axis=1))
+        yield pa.record_batch({"page": used.astype(np.int32), "bits": pa.array([pages[i].tobytes() for i in used], pa.binary())})
+
+    def merge(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for run in key_runs(batches, "page"):
+            merged = np.zeros(_PAGE, np.uint8)
+            for raw in run.column("bits").to_pylist():
+                merged |= np.frombuffer(raw, np.uint8)
+            yield pa.record_batch({"page": run.column("page").combine_chunks()[:1], "bits": pa.array([merged.tobytes()], pa.binary())})
+
+    pages = in_arrow(slots.select("slot"), flag, "page int, bits binary")
+    merged = in_arrow(pages.repartition(16, "page").sortWithinPartitions("page"), merge, "page int, bits binary")
+    bits = np.zeros((1 << SLOT_BITS) // 8, np.uint8).reshape(-1, _PAGE)
+    for row in merged.collect():
+        bits[row["page"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.ravel()
+
+
+def has_bit(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 > 0
+
+
+def split_by(rows: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``column`` may be among ``ids`` (one column), and those where it surely is not.
+
+    The second part need not be joined, and so is not shuffled. What is broadcast are
+    hashes below 2 ** BROADCAST_BITS, a million numbers at most whatever the input;
+    if nearly all of them occur, nearly all rows are in the first part.
+    """
+
+    def few(name: str) -> Column:
+        return F.xxhash64(name).bitwiseAND(F.lit((1 << BROADCAST_BITS) - 1))
+
+    known = F.broadcast(ids.select(few(ids.columns[0]).alias("_slot")).distinct())
+    on = few(column) == F.col("_slot")
+    return rows.join(known, on, "left_semi"), rows.join(known, on, "left_anti")
+
+
+def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is not among ``ids`` (one column)."""
+    doubtful, clear = split_by(rows, column, ids)
+    gone = ids.select(F.col(ids.columns[0]).alias("_gone"))
+    return clear.union(doubtful.join(gone, F.col(column).eqNullSafe(F.col("_gone")), "left_anti"))
+
+
 def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """(id, component): the smallest id each end of an edge can reach.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritable.llm.common import Batches, components, in_arrow, key_runs
+from veritable.llm.common import SLOT_BITS, Batches, components, has_bit, in_arrow, key_runs, slot_bits
 from veritable.llm.words import U64, mix, shingle_sets, slices
 from veritable.sources.scratch import stored
 
@@ -47,7 +47,6 @@ _HOME_STEPS = 2
 _NODE_SETS = 512
 _NODE_SHINGLES = 1 << 19
 _FANOUT = 8
-_FILTER_BITS = 23
 _CLASS = 1 << 32
 
 
@@ -191,46 +190,17 @@ def _homes(shared: DataFrame) -> DataFrame:
     return homes
 
 
-def _filter_bits(wanted: DataFrame) -> np.ndarray:
-    """One bit per hash of (set_id, doc_id): 1 MB whatever the input, and false hits only."""
-    size = 1 << _FILTER_BITS
-
-    def flag(batches: Batches) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(size, bool)
-        for batch in batches:
-            bits[batch.column("slot").to_numpy()] = True
-        # Packed in pages, so that tasks with few rows send little.
-        pages = np.packbits(bits).reshape(-1, 1 << 10)
-        used = np.flatnonzero(pages.any(axis=1))
-        yield pa.record_batch({"page": used.astype(np.int32), "bits": pa.array([pages[i].tobytes() for i in used], pa.binary())})
-
-    slot = F.col("set_id").bitwiseXOR(F.xxhash64("doc_id")).bitwiseAND(F.lit(size - 1))
-    pages = in_arrow(wanted.select(slot.alias("slot")), flag, "page int, bits binary")
-    # 1,024 pages of 1 KB: pages of the same place are ORed before they leave the executors.
-    merged = in_arrow(pages.repartition(16, "page").sortWithinPartitions("page"), _or_pages, "page int, bits binary")
-    bits = np.zeros(size // 8, np.uint8).reshape(-1, 1 << 10)
-    for row in merged.collect():
-        bits[row["page"]] = np.frombuffer(row["bits"], np.uint8)
-    return bits.ravel()
-
-
-def _or_pages(batches: Batches) -> Iterator[pa.RecordBatch]:
-    for run in key_runs(batches, "page"):
-        pages = np.frombuffer(b"".join(run.column("bits").to_pylist()), np.uint8).reshape(run.num_rows, -1)
-        merged = np.bitwise_or.reduce(pages, axis=0).tobytes()
-        yield pa.record_batch({"page": run.column("page").combine_chunks()[:1], "bits": pa.array([merged], pa.binary())})
-
-
 def _shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(set_id, shingles) for the wanted (set_id, doc_id), and a few more; texts themselves are not shuffled."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
-    mask = (1 << _FILTER_BITS) - 1
+    mask = (1 << SLOT_BITS) - 1
+    slots = F.col("set_id").bitwiseXOR(F.xxhash64("doc_id")).bitwiseAND(F.lit(mask))
+    bits = docs.sparkSession.sparkContext.broadcast(slot_bits(wanted.select(slots.alias("slot"))))
 
     def emit(batches: Batches) -> Iterator[pa.RecordBatch]:
         for piece, sets in _sets(batches, width):
             ids = np.array([set_id(s) for s in sets], np.int64)
             slot = (ids ^ piece.column("hash").to_numpy()) & mask
-            hit = np.flatnonzero((bits.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+            hit = np.flatnonzero(has_bit(bits.value, slot))
             yield pa.record_batch(
                 {
                     "set_id": ids[hit],
@@ -406,11 +376,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")
     )
     shared = stored(_shared_keys(_keys(docs, width, percent)), "jaccard-shared")
-    partners = _node_pairs(shared, sets)
+    partners = stored(_node_pairs(shared, sets), "jaccard-partners")
     wanted = sets.join(partners.select("set_id").distinct(), "set_id", "left_semi")
     # A set is read from the row with its smallest id; equal rows come as one.
     shingles = _shingles_of(docs, wanted, width).withColumnRenamed("set_id", "s")
-    rows = partners.join(shingles, F.col("set_id").eqNullSafe(F.col("s"))).drop("s")
+    # Neither side's size is known beforehand: the same join at every size.
+    rows = partners.join(shingles.hint("merge"), F.col("set_id").eqNullSafe(F.col("s"))).drop("s")
     dealt = rows.repartition("pair").sortWithinPartitions("pair")
     links = in_arrow(dealt, lambda batches: _links(batches, percent), "a long, b long")
     reached = components(links, "a", "b", "jaccard-links")

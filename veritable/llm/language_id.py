@@ -71,11 +71,10 @@ SCRIPTS = (
 @lru_cache(maxsize=1)
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: whether it is a letter, its lower case, its script."""
-    every = [chr(i) for i in range(0x110000)]
-    letter = np.fromiter((c.isalpha() for c in every), bool, len(every))
+    letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
     lower = np.arange(0x110000, dtype=np.uint32)
     for i in np.flatnonzero(letter).tolist():
-        small = every[i].lower()
+        small = chr(i).lower()
         if len(small) == 1:
             lower[i] = ord(small)
     script = np.zeros(0x110000, np.uint8)

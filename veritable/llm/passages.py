@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritable.llm.common import Batches, in_arrow, key_runs
+from veritable.llm.common import Batches, has_bit, in_arrow, key_runs, slot_bits, slot_of, split_by
 from veritable.llm.words import U64, mix, slices, windows, words_of
 from veritable.sources.scratch import stored
 
@@ -42,7 +42,6 @@ _LARGEST_GAP = 40
 _LEAST_CHAIN = _SEED  # words matched by seeds
 _REACH = 64  # words looked at beyond either end
 _OVERLAP = 8  # words two passages share that count as one
-_FILTER_BITS = 23
 
 
 def seeds_of(hashes: np.ndarray, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -196,17 +195,12 @@ def _words_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     A filter of 1 MB, whatever the input, keeps the other texts from being shuffled.
     """
-    size = 1 << _FILTER_BITS
-    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(size)).alias("slot")).distinct()
-    bits = np.zeros(size, bool)
-    bits[slots.toArrow()["slot"].to_numpy()] = True  # at most ``size`` numbers
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    bits = docs.sparkSession.sparkContext.broadcast(slot_bits(ids.select(slot_of("id").alias("slot"))))
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            hit = (shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
-            for piece in slices(batch.filter(pa.array(hit.astype(bool))), "text"):
+            hit = has_bit(bits.value, batch.column("slot").to_numpy())
+            for piece in slices(batch.filter(pa.array(hit)), "text"):
                 words = words_of(piece.column("text"))
                 packed = (words.hash >> U64(32)).astype(np.uint32)
                 yield pa.record_batch(
@@ -216,8 +210,7 @@ def _words_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                     }
                 )
 
-    hashed = docs.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(size)))
-    return in_arrow(hashed, run, "id long, words binary")
+    return in_arrow(docs.withColumn("slot", slot_of("doc_id")), run, "id long, words binary")
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -330,10 +323,12 @@ def repeated_passages(docs: DataFrame, least_words: int = 51, similarity: float
 def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` without the words of ``passages`` (doc_id, start_word, end_word); all else is kept as it is.
 
-    A document that loses all its words keeps its row.
+    A document that loses all its words keeps its row. Only documents that lose
+    something are shuffled.
     """
+    doubtful, clear = split_by(docs, "doc_id", passages.select("doc_id"))
     spans = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("cut_spans"))
-    joined = docs.join(spans.withColumnRenamed("doc_id", "cut_id"), F.col("doc_id").eqNullSafe(F.col("cut_id")), "left").drop("cut_id")
+    joined = doubtful.join(spans.withColumnRenamed("doc_id", "cut_id"), F.col("doc_id").eqNullSafe(F.col("cut_id")), "left").drop("cut_id")
     names = docs.columns
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -351,4 +346,5 @@ def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return in_arrow(joined, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    cut = in_arrow(joined, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return clear.union(cut)
