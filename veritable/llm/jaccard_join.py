@@ -2,8 +2,9 @@
 
 1. Every text becomes the set of its distinct shingles (``words.shingle_sets``),
    every set a 64-bit id. Equal sets are one vertex from here on.
-2. Blocks. Two sets of sizes a and b with a Jaccard of at least t differ in at
-   most (1 - t) / (1 + t) * (a + b) shingles. Cutting the hash space into more
+2. Blocks. Two sets of sizes a <= b with a Jaccard of at least t differ in at
+   most (1 - t) / (1 + t) * (a + b) shingles, and as b is a / t at most, in no
+   more than (1 - t) / t * a. Cutting the hash space into more
    parts than that leaves at least ``_SPARE + 1`` parts in which both agree. One
    key per non-empty part is emitted; sets with more than ``_SPARE`` empty parts
    emit those as well, so no pair is lost. How many parts there are depends on a
@@ -40,7 +41,7 @@ from veritable.llm.common import SLOT_BITS, Batches, components, has_bit, in_arr
 from veritable.llm.words import U64, mix, shingle_sets, slices
 from veritable.sources.scratch import stored
 
-_CLASS_RATIO = 1.3
+_CLASS_RATIO = 1.4
 _SPARE = 2  # and one for each _SPARE_SHARE differing shingles allowed
 _SPARE_SHARE = 8
 _HOME_STEPS = 2
@@ -84,9 +85,10 @@ def block_keys(shingles: np.ndarray, percent: int) -> list[tuple[int, int, np.nd
     found = []
     mixed = mix(shingles ^ U64(0xA5A5A5A5A5A5A5A5))
     for k in size_classes(n, percent):
-        # The larger of a pair met in this class is at most this size.
-        largest = (class_start(k + 1) - 1) * 100 // percent
-        differing = (100 - percent) * 2 * largest // (100 + percent)
+        # The smaller of a pair met in this class has this size at most, the larger
+        # 100 / percent times as much: a tighter bound than twice the larger one.
+        smaller = class_start(k + 1) - 1
+        differing = (100 - percent) * smaller // percent
         spare = _SPARE + differing // _SPARE_SHARE if differing else 0
         parts = differing + 1 + spare
         part = ((shingles >> U64(32)) * U64(parts)) >> U64(32)
