@@ -53,10 +53,7 @@ def one_rule(key: str, dataset: str, kind: str, column: str | None, failed: str)
 
 SEGMENTS = "('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"
 
-PENDING_SHARE = (
-    "SELECT CASE WHEN SUM(CASE WHEN o_orderstatus IN ({statuses}) THEN 1 ELSE 0 END) > {share} * COUNT(*) "
-    "THEN SUM(CASE WHEN o_orderstatus IN ({statuses}) THEN 1 ELSE 0 END) ELSE 0 END FROM orders"
-)
+BELOW_MEAN = "c_acctbal < (SELECT AVG(c_acctbal) - {} * STDDEV_POP(c_acctbal) FROM customer)"
 
 # key: (dataset, rule type, column, number of failures)
 SINGLE = {
@@ -144,22 +141,25 @@ SINGLE = {
         invalid("events", "CAST(json_extract_string(props, '$.k') AS INTEGER) < 50"),
     ),
     "custom_sql_threshold_fail": (
-        "orders",
+        "customer",
         "custom_sql",
         None,
-        PENDING_SHARE.format(statuses="'P'", share="0.15"),
+        count("customer", BELOW_MEAN.format("1.5")),
     ),
     "custom_sql_threshold_pass": (
-        "orders",
+        "customer",
         "custom_sql",
         None,
-        PENDING_SHARE.format(statuses="'P'", share="0.5"),
+        count("customer", BELOW_MEAN.format("4")),
     ),
     "custom_sql_in_list": (
-        "orders",
+        "customer",
         "custom_sql",
         None,
-        PENDING_SHARE.format(statuses="'F', 'P'", share="0.15"),
+        count(
+            "customer",
+            "c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey NOT IN (3, 7, 11)",
+        ),
     ),
     "custom_sql_anti_join": (
         "orders",
@@ -220,7 +220,7 @@ SINGLE = {
 
 def orders_suite(source: str = "orders") -> list[tuple]:
     total = count(source)
-    pending = f"SELECT COUNT(*) FROM {source} WHERE o_orderstatus = 'P'"
+    days = f"SELECT COUNT(*) AS n FROM {source} GROUP BY o_orderdate"
     return [
         ("order_key_present", "not_null", "o_orderkey", "error", "key is set", total,
          count(source, "o_orderkey IS NULL")),
@@ -234,8 +234,8 @@ def orders_suite(source: str = "orders") -> list[tuple]:
          invalid(source, "regexp_matches(o_orderpriority, '^[1-3]-')")),
         ("price_per_key", "sql_expression", None, "error", "", total,
          invalid(source, "o_totalprice >= o_custkey")),
-        ("pending_share", "custom_sql", None, "warning", "no more than 15 % pending", total,
-         f"SELECT CASE WHEN ({pending}) > 0.15 * ({total}) THEN ({pending}) ELSE 0 END"),
+        ("busy_days", "custom_sql", None, "warning", "days with over twice the orders of the mean day", total,
+         f"SELECT COUNT(*) FROM ({days}) WHERE n > 2 * (SELECT AVG(n) FROM ({days}))"),
     ]
 
 

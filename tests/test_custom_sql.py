@@ -146,6 +146,35 @@ def test_cached_input_stays_cached_and_is_used(spark, parcels, registered):
         spark.catalog.dropTempView("data")
 
 
+def test_views_of_the_caller_are_left_alone(spark, parcels):
+    rule = {"id": "r", **sql("SELECT * FROM Data")}
+    spark.range(4).createOrReplaceTempView("base")
+    spark.sql("CREATE OR REPLACE TEMP VIEW data AS SELECT * FROM base")
+    spark.sql("CACHE TABLE data")
+    try:
+        assert verdicts(parcels, [rule])["r"]["failed_records"] == 5
+        assert spark.catalog.isCached("data")
+        spark.sql("UNCACHE TABLE data")
+        # A view made of text goes on following its base.
+        spark.range(9).createOrReplaceTempView("base")
+        assert spark.table("data").count() == 9
+    finally:
+        spark.catalog.dropTempView("data")
+        spark.catalog.dropTempView("base")
+
+
+def test_no_view_is_left(spark, parcels):
+    before = {t.name for t in spark.catalog.listTables()}
+    verdicts(parcels, [{"id": "r", **sql("WITH data2 AS (SELECT * FROM data) SELECT * FROM data2 JOIN data USING (id)")}])
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_row_rule_with_a_subquery_over_the_dataset(spark, parcels):
+    rule = {"type": "sql_expression", "expression": "id < (SELECT MAX(id) FROM data)"}
+    assert failed(parcels, rule) == parcels.filter(f"id = {parcels.agg({'id': 'max'}).first()[0]}").count()
+    assert not spark.catalog.tableExists("data")
+
+
 def test_threads_do_not_see_each_others_views(spark):
     def run(size):
         rule = {"id": "r", **sql("SELECT * FROM data")}

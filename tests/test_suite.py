@@ -8,27 +8,42 @@ from pyspark.errors import PySparkException
 import veritable as v
 from tests.helpers import WHEN, jobs_started, scan_count, verdicts
 
+# Readings of weather stations.
+ONCE = {"id": "one_reading", "type": "unique", "column": "station", "severity": "warning"}
+QUERIES = [
+    {"id": "wet_but_clear", "type": "custom_sql", "query": "SELECT * FROM data WHERE rain > 0 AND sky = 'clear'"},
+    {
+        "id": "lonely_sky",
+        "type": "custom_sql",
+        "severity": "info",
+        "query": "SELECT sky FROM data GROUP BY sky HAVING COUNT(*) = 1",
+    },
+]
 RULES = [
-    {"id": "key", "type": "not_null", "column": "key"},
-    {"id": "key_once", "type": "unique", "column": "key", "description": "one row per key"},
-    {"id": "mail", "type": "not_null", "column": "mail"},
-    {"id": "mail_form", "type": "regex", "column": "mail", "pattern": r"^\S+@\S+$", "severity": "warning"},
-    {"id": "cost", "type": "min_max", "column": "cost", "min": 0, "max": 50},
-    {"id": "state", "type": "allowed_values", "column": "state", "values": ["NEW", "DONE"]},
-    {"id": "rebate", "type": "sql_expression", "expression": "rebate <= cost"},
-    {"id": "open", "type": "custom_sql", "query": "SELECT * FROM data WHERE state = 'NEW'"},
+    {"id": "dew", "type": "sql_expression", "expression": "dew <= celsius", "description": "dew point"},
+    QUERIES[0],
+    {"id": "not_too_cold", "type": "min_max", "column": "celsius", "min": -60},
+    ONCE,
+    {"id": "some_rain", "type": "not_null", "column": "rain"},
+    {"id": "station_code", "type": "regex", "column": "station", "pattern": "^[A-Z]{3}$", "severity": "warning"},
+    {"id": "rain_limit", "type": "min_max", "column": "rain", "max": 400},
+    {"id": "sky", "type": "allowed_values", "column": "sky", "values": ["clear", "cloudy", "fog"]},
+    {"id": "wind", "type": "sql_expression", "expression": "station <> 'XXX'"},
+    QUERIES[1],
 ]
-SCHEMA = "key BIGINT, mail STRING, cost DOUBLE, rebate DOUBLE, state STRING"
+SCHEMA = "station STRING, celsius DOUBLE, dew DOUBLE, rain BIGINT, sky STRING"
 
 
 @pytest.fixture(scope="module")
 def dirty(spark):
     rows = [
-        (7, "a@b", 10.0, 1.0, "NEW"),
-        (7, "nomail", 99.0, 5.0, "DONE"),
-        (8, None, -3.0, 0.0, "ODD"),
-        (9, "c@d", None, 0.0, "NEW"),
-        (None, "e@f", 20.0, 30.0, None),
+        ("OSL", -4.5, -9.0, 0, "clear"),
+        ("osl", -80.0, 1.0, 12, "cloudy"),
+        ("BER", 17.0, None, None, "clear"),
+        ("BER", 16.0, 16.5, 3, "clear"),
+        ("BER", None, 2.0, 900, "hail"),
+        ("XXX", 30.5, 30.5, 5, None),
+        (None, 8.0, 7.0, 1, "fog"),
     ]
     return spark.createDataFrame(rows, SCHEMA)
 
@@ -36,19 +51,21 @@ def dirty(spark):
 def test_counts_by_hand(dirty):
     rows = verdicts(dirty, RULES)
     assert {key: row["failed_records"] for key, row in rows.items()} == {
-        "key": 1,
-        "key_once": 2,
-        "mail": 1,
-        "mail_form": 2,
-        "cost": 3,
-        "state": 2,
-        "rebate": 3,
-        "open": 2,
+        "dew": 4,
+        "wet_but_clear": 1,
+        "not_too_cold": 2,
+        "one_reading": 3,
+        "some_rain": 1,
+        "station_code": 2,
+        "rain_limit": 2,
+        "sky": 2,
+        "wind": 2,
+        "lonely_sky": 4,
     }
     for row in rows.values():
-        assert row["total_records"] == 5
-        assert row["passed_records"] == 5 - row["failed_records"]
-        assert row["pass_rate"] == row["passed_records"] / 5
+        assert row["total_records"] == 7
+        assert row["passed_records"] == 7 - row["failed_records"]
+        assert row["pass_rate"] == row["passed_records"] / 7
         assert row["status"] == "FAIL"
 
 
@@ -63,7 +80,7 @@ def test_rows_come_in_rule_order_with_their_metadata(dirty):
     assert [r["rule_id"] for r in reverse] == [r["id"] for r in RULES[::-1]]
 
 
-@pytest.mark.parametrize("rules", [RULES, RULES[:1], RULES[1:2], RULES[7:], RULES[1:2] + RULES[7:], []])
+@pytest.mark.parametrize("rules", [RULES, RULES[:1], [ONCE], QUERIES, [ONCE, *QUERIES], []])
 def test_schema_is_fixed_whatever_the_rules(dirty, rules):
     results = v.evaluate(dirty, "data", rules)
     assert [(f.name, f.dataType) for f in results.schema] == [(f.name, f.dataType) for f in v.RESULT_SCHEMA]
@@ -73,7 +90,7 @@ def test_schema_is_fixed_whatever_the_rules(dirty, rules):
 
 
 @pytest.mark.parametrize("shared_scan", [False, True])
-@pytest.mark.parametrize("rules", [RULES, RULES[1:2], RULES[7:]])
+@pytest.mark.parametrize("rules", [RULES, [ONCE], QUERIES])
 def test_empty_dataset_passes_everything(spark, rules, shared_scan):
     empty = spark.createDataFrame([], SCHEMA)
     for row in v.evaluate(empty, "data", rules, shared_scan=shared_scan).collect():
@@ -87,7 +104,7 @@ def test_query_over_other_data_does_not_fail_an_empty_dataset(spark):
 
 
 def test_clean_dataset(spark):
-    rows = [(1, "a@b", 5.0, 1.0, "DONE"), (2, "c@d", 50.0, 50.0, "DONE")]
+    rows = [(code, 11.0, 4.0, rain, sky) for code, rain, sky in zip("ABC BCD CDE DEF".split(), (0, 0, 9, 9), ("clear", "clear", "fog", "fog"))]
     statuses = {r["status"] for r in v.evaluate(spark.createDataFrame(rows, SCHEMA), "data", RULES).collect()}
     assert statuses == {"PASS"}
 
@@ -137,8 +154,8 @@ def test_row_rules_share_one_scan(spark, tmp_path, dirty):
     row_rules = [r for r in RULES if r["type"] not in ("unique", "custom_sql")]
     assert scan_count(v.evaluate(data, "data", row_rules)) == 1
     # A unique rule brings its own total along.
-    assert scan_count(v.evaluate(data, "data", RULES[1:2])) == 1
-    assert scan_count(v.evaluate(data, "data", RULES)) == 3
+    assert scan_count(v.evaluate(data, "data", [ONCE])) == 1
+    assert scan_count(v.evaluate(data, "data", RULES)) == 2 + len(QUERIES)
 
 
 def test_unique_rules_can_share_a_scan(spark, tmp_path, dirty):
@@ -146,9 +163,9 @@ def test_unique_rules_can_share_a_scan(spark, tmp_path, dirty):
     v.write_table(dirty, path)
     data = v.read_table(spark, path, "parquet")
     uniques = [{"id": f"once_{c}", "type": "unique", "column": c} for c in data.columns]
-    uniques.append({"id": "once_again", "type": "unique", "column": "key"})
+    uniques.append({"id": "once_again", "type": "unique", "column": "sky"})
     mixed = [*uniques[:2], *RULES, *uniques[2:]]
-    for rules, apart, together in ((uniques, 6, 1), (mixed, 9, 3)):
+    for rules, apart, together in ((uniques, 6, 1), (mixed, 10, 4)):
         separate, shared = (v.evaluate(data, "data", rules, "r", WHEN, shared_scan=s) for s in (False, True))
         assert (scan_count(separate), scan_count(shared)) == (apart, together)
         assert separate.collect() == shared.collect()
@@ -161,10 +178,10 @@ def test_more_unique_rules_than_one_scan_takes(dirty):
 
 
 def test_many_rules_at_once(dirty):
-    rules = [{"id": f"r{i}", "type": "min_max", "column": "cost", "min": i - 50} for i in range(150)]
+    rules = [{"id": f"r{i}", "type": "min_max", "column": "celsius", "min": i - 90} for i in range(150)]
     rows = v.evaluate(dirty, "data", rules).collect()
-    costs = [10.0, 99.0, -3.0, None, 20.0]
-    expected = [sum(c is None or c < i - 50 for c in costs) for i in range(150)]
+    measured = [-4.5, -80.0, 17.0, 16.0, None, 30.5, 8.0]
+    expected = [sum(c is None or c < i - 90 for c in measured) for i in range(150)]
     assert [r["failed_records"] for r in rows] == expected
 
 
@@ -177,7 +194,7 @@ def test_suite_equals_its_rules_taken_one_by_one(dirty):
 
 
 def test_one_bad_rule_stops_the_run(dirty):
-    bad = {"id": "bad", "type": "sql_expression", "expression": "CAST(mail AS INT) = 1"}
+    bad = {"id": "bad", "type": "sql_expression", "expression": "CAST(station AS INT) = 1"}
     with pytest.raises(PySparkException):
         v.evaluate(dirty, "data", [RULES[0], bad]).collect()
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import threading
-from collections.abc import Iterator, Mapping
+import uuid
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,31 +20,39 @@ _VIEWS = threading.RLock()
 
 
 @contextmanager
-def temp_views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[None]:
-    """Expose frames as temp views, and put back what was there before.
+def dataset_view(spark: SparkSession, name: str, df: DataFrame, rules: Iterable[Rule]) -> Iterator[None]:
+    """Expose a dataset under its name to row-level rules that look it up there.
 
-    Plans analysed inside the block keep their resolved inputs, so the views
-    may go as soon as the query text has been turned into a DataFrame.
+    Only a subquery inside such a rule's SQL needs that, so no view is made unless
+    the name occurs in one. A view of the caller with that name is put back.
     """
-    before: dict[str, DataFrame | None] = {}
+    # Refuses what could not be the name of a view.
+    spark.sql(f"WITH {name} AS (SELECT 1) SELECT 1")
+    if not any(_mentions(rule, name) for rule in rules if not rule.dataset_level):
+        yield
+        return
     with _VIEWS:
+        before = _existing_view(spark, name)
+        if before is not None and before.sameSemantics(df):
+            yield
+            return
+        _make_view(df, name)
         try:
-            for name, frame in frames.items():
-                current = _existing_view(spark, name)
-                if current is not None and current.sameSemantics(frame):
-                    continue
-                before[name] = current
-                # Dropping a view also drops cached data of the same plan. A
-                # filter that keeps every row tells the view from the caller's
-                # frame, and costs nothing: the optimizer removes it.
-                frame.where(F.lit(True)).createOrReplaceTempView(name)
             yield
         finally:
-            for name, frame in before.items():
-                if frame is None:
-                    spark.catalog.dropTempView(name)
-                else:
-                    frame.createOrReplaceTempView(name)
+            if before is None:
+                spark.catalog.dropTempView(name)
+            else:
+                before.createOrReplaceTempView(name)
+
+
+def _mentions(rule: Rule, name: str) -> bool:
+    return any(isinstance(text, str) and _plain(name) in text.lower() for text in rule.params.values())
+
+
+def _plain(name: str) -> str:
+    """A name as Spark compares it by default."""
+    return name.strip("`").lower()
 
 
 def _existing_view(spark: SparkSession, name: str) -> DataFrame | None:
@@ -52,22 +61,45 @@ def _existing_view(spark: SparkSession, name: str) -> DataFrame | None:
     return None
 
 
-def violation_count(spark: SparkSession, rule: Rule, name: str) -> DataFrame:
+def _make_view(df: DataFrame, name: str) -> None:
+    # Dropping a view also drops cached data of the same plan. A filter that keeps
+    # every row tells the view from the caller's frame, and costs nothing: the
+    # optimizer removes it.
+    df.where(F.lit(True)).createOrReplaceTempView(name)
+
+
+def violation_count(spark: SparkSession, rule: Rule, dataset: str, df: DataFrame, name: str) -> DataFrame:
     """One (name, count) pair with the number of rows the query returns."""
-    return _wrapped(spark, rule, f"SELECT '{name}' AS name, COUNT(*) AS n")
+    return _wrapped(spark, rule, dataset, df, f"SELECT '{name}' AS name, COUNT(*) AS n")
 
 
-def violations(spark: SparkSession, rule: Rule) -> DataFrame:
+def violations(spark: SparkSession, rule: Rule, dataset: str, df: DataFrame) -> DataFrame:
     """The rows the query returns."""
-    return _wrapped(spark, rule, "SELECT *")
+    return _wrapped(spark, rule, dataset, df, "SELECT *")
 
 
-def _wrapped(spark: SparkSession, rule: Rule, head: str) -> DataFrame:
-    # As a subquery only a query parses: a statement with side effects is
-    # refused. The line breaks keep a trailing comment inside.
+def _wrapped(spark: SparkSession, rule: Rule, dataset: str, df: DataFrame, head: str) -> DataFrame:
+    """The query as a subquery, with the names of the dataset and of its references bound to it.
+
+    The frames are views under private names while the query is analysed (plans keep
+    their resolved inputs), and WITH gives them the names the query knows. Views of
+    the caller are never touched, whatever they are called. As a subquery only a
+    query parses: a statement with side effects is refused. The line breaks keep a
+    trailing comment inside.
+    """
     query = without_end(rule.params["query"])
-    with temp_views(spark, _reference_tables(spark, rule)):
-        return spark.sql(f"{head} FROM (\n{query}\n)")
+    # An alias hides the dataset.
+    frames = {_plain(dataset): (dataset, df)}
+    frames |= {_plain(alias): (alias, frame) for alias, frame in _reference_tables(spark, rule).items()}
+    private = {f"__{uuid.uuid4().hex}": bound for bound in frames.values()}
+    bound = ", ".join(f"{alias} AS (SELECT * FROM {view})" for view, (alias, _) in private.items())
+    try:
+        for view, (_, frame) in private.items():
+            _make_view(frame, view)
+        return spark.sql(f"WITH {bound} {head} FROM (\n{query}\n)")
+    finally:
+        for view in private:
+            spark.catalog.dropTempView(view)
 
 
 _TOKENS = re.compile(

@@ -45,9 +45,14 @@ def top_history(history: DataFrame, n: int = DEFAULT_TOP) -> DataFrame:
 
 
 def latest_run(history: DataFrame) -> DataFrame:
-    """The results of the newest run; no rows when the history is empty."""
-    newest = top_history(history, 1).select("run_id")
-    return history.filter(F.col("run_id") == newest.scalar())
+    """The results of the newest run; no rows when the history is empty.
+
+    Its date is asked for as well, so that a stored history is read in the newest
+    partition only; a run has one timestamp, hence one date.
+    """
+    newest = top_history(history, 1)
+    same_date = F.col("run_date") == newest.select("run_date").scalar()
+    return history.filter(same_date & (F.col("run_id") == newest.select("run_id").scalar()))
 
 
 def run_summary(results: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritable.operators.queries import temp_views, violation_count, violations
+from veritable.operators.queries import dataset_view, violation_count, violations
 from veritable.operators.row_level import rejected_rows, valid_counts
 from veritable.operators.uniqueness import by_digest, duplicate_counts, duplicated_rows
 from veritable.plans.parsing import parse_rules
@@ -56,7 +56,7 @@ class CheckSuite:
         self._refuse_stream(df)
         if not self.rules:
             return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-        with temp_views(df.sparkSession, {self.dataset: df}):
+        with dataset_view(df.sparkSession, self.dataset, df, self.rules):
             counts, failed = self._counts(df, shared_scan)
         return long_form(
             counts, self.rules, failed, _TOTAL, self.dataset, self.run_id, self.run_timestamp
@@ -76,9 +76,9 @@ class CheckSuite:
             raise ValueError(f"No rule {rule_id!r} in this suite")
         if rule.type == UNIQUE:
             return duplicated_rows(df, rule.column, keys_path, by_digest(rule))
-        with temp_views(df.sparkSession, {self.dataset: df}):
-            if rule.type == CUSTOM_SQL:
-                return violations(df.sparkSession, rule)
+        if rule.type == CUSTOM_SQL:
+            return violations(df.sparkSession, rule, self.dataset, df)
+        with dataset_view(df.sparkSession, self.dataset, df, [rule]):
             return rejected_rows(df, rule)
 
     def _counts(self, df: DataFrame, shared_scan: bool) -> tuple[DataFrame, list[Column]]:
@@ -100,7 +100,7 @@ class CheckSuite:
         # comes first provides it.
         parts[1:] = [part.drop(_TOTAL) for part in parts[1:]]
         pairs = [
-            violation_count(df.sparkSession, rule, names[rule.id])
+            violation_count(df.sparkSession, rule, self.dataset, df, names[rule.id])
             for rule in self.rules
             if rule.type == CUSTOM_SQL
         ]
