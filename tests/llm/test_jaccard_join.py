@@ -79,6 +79,31 @@ def test_linked_sets_share_a_key(one, change, percent):
         )
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90, 95])
+def test_pairs_at_the_bound_share_enough_keys(percent):
+    rng = np.random.default_rng(percent)
+
+    def fresh(n):
+        return rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+
+    for n in [*range(1, 60), *rng.integers(60, 900, 120).tolist()]:
+        one = np.unique(fresh(n))
+        swapped = n * (100 - percent) // (100 + percent)
+        for two in (
+            one[: -(-percent * n // 100)],
+            np.concatenate((one, fresh(n * 100 // percent - n))),
+            np.concatenate((one[swapped:], fresh(swapped))),
+        ):
+            two = np.unique(two)
+            common = len(np.intersect1d(one, two))
+            assert 100 * common >= percent * (len(one) + len(two) - common)
+            others = {k: (need, set(keys.tolist())) for k, need, keys in block_keys(two, percent)}
+            assert any(
+                k in others and len(others[k][1] & set(keys.tolist())) >= max(need, others[k][0])
+                for k, need, keys in block_keys(one, percent)
+            )
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(sets, min_size=1, max_size=24), st.lists(sets, max_size=24), st.sampled_from([30, 60, 90]))
 def test_traversal_loses_no_link(a, b, percent):
