@@ -69,6 +69,23 @@ def test_passages_are_kept_once(spark):
     assert shared in cut[1] and not any(shared in (cut[i] or "") for i in range(2, 6)) and cut[9] == docs[5][1]
 
 
+def uncovered(found, doc, spans):
+    """Those of ``spans`` that are in none of the passages of ``doc``."""
+    own = [(r["start_word"], r["end_word"]) for r in found if r["doc_id"] == doc]
+    return [s for s in spans if not any(low <= s[0] and s[1] <= high for low, high in own)]
+
+
+def test_exact_runs_of_a_poor_chain_are_reported(spark):
+    docs, wanted = [], {}
+    for n in range(40):
+        runs = [prose(1000 + 10 * n + i, 55) for i in range(3)]
+        gap = [prose(5000 + 10 * n + i, 28 + n % 12) for i in range(2)]
+        docs += [(2 * n, f"{runs[0]} {gap[0]} {runs[1]} {gap[1]} {runs[2]}"), (2 * n + 1, " ".join(runs))]
+        wanted[2 * n + 1] = [(0, 55), (55, 110), (110, 165)]
+    found = repeated_passages(spark.createDataFrame(docs, TEXT)).collect()
+    assert not {d: lost for d, spans in wanted.items() if (lost := uncovered(found, d, spans))}
+
+
 def test_leaks(spark):
     items = [(1, prose(1, 30)), (2, prose(2, 3)), (3, None), (4, "")]
     docs = [(1, f"x {items[0][1].upper()} y"), (2, prose(7, 100)), (3, None), (4, f"a {items[1][1]} b"), (5, "")]

@@ -12,7 +12,8 @@
    continued. Chains are cut where a gap exceeds ``_LARGEST_GAP`` words.
 4. Alignment. Only words of documents with chains are fetched. Gaps are filled by a
    longest common subsequence, both ends are extended while they agree well enough;
-   the similarity is the share of matched words on the longer side.
+   the similarity is the share of matched words on the longer side. A chain that
+   falls short is split where most words are unmatched, down to its exact runs.
 5. Passages of one document that overlap, whatever they were matched with, are one;
    it is reported from ``least_words`` words on. The document with the smallest id
    keeps its passage and is not reported.
@@ -239,6 +240,47 @@ def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return (best + 1, int(same[: best + 1].sum())) if score[best] > 0 else (0, 0)
 
 
+def exact(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of words two runs have in common before the first difference."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    return int(differ[0]) if len(differ) else n
+
+
+def _ends(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Ways to go on from an end, (words, matched): as long as the runs agree well enough, or exactly."""
+    return [extend(a, b), (same := exact(a, b), same)]
+
+
+def alignments(parts: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> Iterator[tuple]:
+    """(x0, x1, y0, y1, share) of a chain, or of its parts where the whole is less similar.
+
+    What falls short is split where most words are unmatched, in the end into single
+    exact runs, which always qualify: each segment is in one alignment.
+    """
+    x, y, size = parts.T
+    x_end, y_end = x + size, y + size
+    filled = np.array([common_words(a[x_end[i] : x[i + 1]], b[y_end[i] : y[i + 1]]) for i in range(len(parts) - 1)], np.int64)
+    lost = np.maximum(x[1:] - x_end[:-1], y[1:] - y_end[:-1]) - filled
+    matched = np.concatenate(([0], np.cumsum(size)))
+    between = np.concatenate(([0], np.cumsum(filled)))
+    todo = [(0, len(parts) - 1)]
+    while todo:
+        i, j = todo.pop()
+        own = int(matched[j + 1] - matched[i] + between[j] - between[i])
+        long = int(max(x_end[j] - x[i], y_end[j] - y[i]))
+        lefts = _ends(a[max(0, x[i] - _REACH) : x[i]][::-1], b[max(0, y[i] - _REACH) : y[i]][::-1])
+        rights = _ends(a[x_end[j] : x_end[j] + _REACH], b[y_end[j] : y_end[j] + _REACH])
+        ways = sorted(((l + r, l, r, (own + m + n) / (long + l + r)) for l, m in lefts for r, n in rights), reverse=True)
+        for _, left, right, share in ways:
+            if share >= similarity:
+                yield int(x[i]) - left, int(x_end[j]) + right, int(y[i]) - left, int(y_end[j]) + right, share
+                break
+        else:
+            cut = i + int(lost[i:j].argmax())
+            todo += [(i, cut), (cut + 1, j)]
+
+
 def _aligned(batches: Batches, similarity: float) -> Iterator[pa.RecordBatch]:
     names = ("doc_id", "source_id", "start_word", "end_word", "source_start", "source_end", "similarity")
     kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.float64())
@@ -246,19 +288,10 @@ def _aligned(batches: Batches, similarity: float) -> Iterator[pa.RecordBatch]:
         rows = []
         for r in batch.to_pylist():
             a, b = np.frombuffer(r["a"], np.uint32), np.frombuffer(r["b"], np.uint32)
-            parts = np.frombuffer(r["parts"], np.int32).reshape(-1, 3)
-            x, y = parts[:, 0] - r["a_from"], parts[:, 1] - r["b_from"]
-            matched = int(parts[:, 2].sum())
-            for i in range(len(parts) - 1):
-                matched += common_words(a[x[i] + parts[i, 2] : x[i + 1]], b[y[i] + parts[i, 2] : y[i + 1]])
-            left, more = extend(a[: x[0]][::-1], b[: y[0]][::-1])
-            x_end, y_end = x[-1] + parts[-1, 2], y[-1] + parts[-1, 2]
-            right, most = extend(a[x_end:], b[y_end:])
-            long = max(x_end - x[0], y_end - y[0]) + left + right
-            share = (matched + more + most) / long
-            if share >= similarity:
-                low, high = r["a_from"], r["b_from"]
-                rows.append((r["doc_id"], r["source_id"], x[0] - left + low, x_end + right + low, y[0] - left + high, y_end + right + high, share))
+            low, high = r["a_from"], r["b_from"]
+            parts = np.frombuffer(r["parts"], np.int32).reshape(-1, 3).astype(np.int64) - (low, high, 0)
+            for x0, x1, y0, y1, share in alignments(parts, a, b, similarity):
+                rows.append((r["doc_id"], r["source_id"], x0 + low, x1 + low, y0 + high, y1 + high, share))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(list(map(float if k == pa.float64() else int, c)), k) for c, k in zip(zip(*rows), kinds)], names)
 
