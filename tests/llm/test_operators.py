@@ -86,6 +86,19 @@ def test_exact_runs_of_a_poor_chain_are_reported(spark):
     assert not {d: lost for d, spans in wanted.items() if (lost := uncovered(found, d, spans))}
 
 
+def test_runs_whose_seeds_lead_elsewhere_are_found(spark):
+    docs, wanted = [], {}
+    for n in range(60):
+        one, two = prose(20000 + n, 26 + n % 10), prose(21000 + n, 26 + n % 15)
+        apart = [f"{prose(22000 + n, 60)} {one} {prose(23000 + n, 60)}", f"{prose(24000 + n, 60)} {two} {prose(25000 + n, 60)}"]
+        both = [f"{prose(26000 + 10 * n + i, 30)} {one} {two} {prose(27000 + 10 * n + i, 30)}" for i in range(2)]
+        docs += [(4 * n + i, text) for i, text in enumerate(apart + both)]
+        wanted[4 * n + 3] = [(30, 30 + len(f"{one} {two}".split()))]
+    found = repeated_passages(spark.createDataFrame(docs, TEXT)).collect()
+    assert not {d: lost for d, spans in wanted.items() if (lost := uncovered(found, d, spans))}
+    assert {r["doc_id"] for r in found} == set(wanted)
+
+
 def test_leaks(spark):
     items = [(1, prose(1, 30)), (2, prose(2, 3)), (3, None), (4, "")]
     docs = [(1, f"x {items[0][1].upper()} y"), (2, prose(7, 100)), (3, None), (4, f"a {items[1][1]} b"), (5, "")]

@@ -14,7 +14,13 @@
    longest common subsequence, both ends are extended while they agree well enough;
    the similarity is the share of matched words on the longer side. A chain that
    falls short is split where most words are unmatched, down to its exact runs.
-5. Passages of one document that overlap, whatever they were matched with, are one;
+5. The rest. A run of ``least_words`` that a document shares with one that is not the
+   first for its seeds may be left in pieces, as its seeds lead elsewhere. In every
+   document that has it all its seeds are matched, so it lies in stretches of matches
+   at most ``_WINDOW - _SEED`` words apart, and up to ``_WINDOW - 1`` words around
+   them. Windows of ``least_words`` there that no passage holds yet are looked up, by
+   hash, among all windows there: each is matched with the first document that has it.
+6. Passages of one document that overlap, whatever they were matched with, are one;
    it is reported from ``least_words`` words on. The document with the smallest id
    keeps its passage and is not reported.
 
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritable.llm.common import Batches, has_bit, in_arrow, key_runs, slot_bits, slot_of, split_by
-from veritable.llm.words import U64, mix, slices, windows, words_of
+from veritable.llm.words import _ODD, U64, mix, slices, windows, words_of
 from veritable.sources.scratch import stored
 
 _SEED = 8
@@ -85,14 +91,14 @@ def _seeds(docs: DataFrame) -> DataFrame:
 
 
 def _matches(seeds: DataFrame) -> DataFrame:
-    """(pair, doc_id, source_id, x, y): every occurrence of a seed with its first one."""
+    """(pair, doc_id, source_id, x, y): every occurrence of a seed with its first one, those in one document included."""
     firsts = (
         seeds.groupBy("seed")
         .agg(F.min(F.struct("doc_id", "at")).alias("least"), F.max("doc_id").alias("last"))
         .where("last > least.doc_id")
         .select(F.col("seed").alias("s"), F.col("least.doc_id").alias("source_id"), F.col("least.at").alias("y"))
     )
-    met = seeds.join(firsts, F.expr("seed <=> s AND doc_id > source_id"))
+    met = seeds.join(firsts, F.expr("seed <=> s AND doc_id >= source_id"))
     return met.select(F.xxhash64("doc_id", "source_id").alias("pair"), "doc_id", "source_id", F.col("at").alias("x"), "y")
 
 
@@ -166,10 +172,15 @@ def chains(parts: np.ndarray) -> list[list[int]]:
 
 
 def _chained(batches: Batches) -> Iterator[pa.RecordBatch]:
-    """(doc_id, source_id, x0, x1, y0, y1, parts) of every chain."""
+    """(doc_id, source_id, x0, x1, y0, y1, parts) of every chain; of a document with itself, where it has seeds, without parts."""
     rows: list[tuple] = []
     for run in key_runs(batches, "pair"):
         doc, source = run.column("doc_id")[0].as_py(), run.column("source_id")[0].as_py()
+        if doc == source:
+            at = np.unique(run.column("x").to_numpy())
+            for near in np.split(at, np.flatnonzero(np.diff(at) > _WINDOW) + 1):
+                rows.append((doc, doc, near[0], near[-1] + _SEED, near[0], near[-1] + _SEED, b""))
+            continue
         parts = segments(run.column("x").to_numpy(), run.column("y").to_numpy())
         for chain in chains(parts):
             own = parts[chain]
@@ -305,11 +316,9 @@ def _side(rows: DataFrame, words: DataFrame, key: str, low: str, high: str, name
     ).drop("id", "words")
 
 
-def fuzzy_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, source_id, start_word, end_word, source_start, source_end, similarity) of all alignments.
-
-    ``source_id`` is a document with a smaller id that has the passage as well.
-    """
+def _alignments(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All alignments, see ``fuzzy_passages``; (doc_id, start_word, end_word) of seeds in the
+    first document that has them; (id, words) of the documents that share a seed."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text"))
     seeds = stored(_seeds(texts), "passage-seeds")
     dealt = _matches(seeds).repartition("pair").sortWithinPartitions("pair")
@@ -318,10 +327,95 @@ def fuzzy_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     words = _words_of(texts, found.selectExpr("inline(array(struct(doc_id AS id), struct(source_id AS id)))"))
     # Rows that share an id would multiply the chains.
     words = stored(words.groupBy("id").agg(F.max_by("words", F.length("words")).alias("words")), "passage-words")
-    both = _side(_side(found, words, "doc_id", "x0", "x1", "a"), words, "source_id", "y0", "y1", "b")
+    own = found.where("doc_id = source_id").selectExpr("doc_id", "x0 AS start_word", "x1 AS end_word")
+    both = _side(_side(found.where("doc_id > source_id"), words, "doc_id", "x0", "x1", "a"), words, "source_id", "y0", "y1", "b")
     both = both.select("doc_id", "source_id", "parts", "a", "a_from", "b", "b_from")
     schema = "doc_id long, source_id long, start_word int, end_word int, source_start int, source_end int, similarity double"
-    return in_arrow(both, lambda batches: _aligned(batches, similarity), schema)
+    return in_arrow(both, lambda batches: _aligned(batches, similarity), schema), own, words
+
+
+def fuzzy_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, source_id, start_word, end_word, source_start, source_end, similarity) of all alignments.
+
+    ``source_id`` is a document with a smaller id that has the passage as well.
+    """
+    return _alignments(docs, similarity)[0]
+
+
+def run_hashes(packed: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words of one text, put together from runs of 1, 2, 4, ... words."""
+    n = len(packed) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    own, span, done = mix(packed.astype(U64)), 1, 0
+    value = np.zeros(n, U64)
+    while True:
+        if width & span:
+            value = mix(value * _ODD + own[done : done + n])
+            done += span
+        if 2 * span > width:
+            return value.view(np.int64)
+        own = mix(own[: len(own) - span] * _ODD + own[span:])
+        span *= 2
+
+
+def _grouped(rows: DataFrame, apart: int, name: str) -> DataFrame:
+    """``rows`` with a number ``name``, one for spans of a document that begin at most ``apart`` words behind the others' ends."""
+    by_place = "PARTITION BY doc_id ORDER BY start_word, end_word"
+    reached = f"max(end_word) OVER ({by_place} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    marked = rows.selectExpr("*", f"CASE WHEN start_word - {apart} <= {reached} THEN 0 ELSE 1 END AS new")
+    return marked.selectExpr(
+        "*", f"sum(new) OVER ({by_place} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {name}"
+    ).drop("new")
+
+
+def _islands(rows: DataFrame) -> DataFrame:
+    """(doc_id, start_word, end_word, source_id, similarity): overlapping passages as one."""
+    placed = _grouped(rows, -_OVERLAP, "island")
+    return placed.groupBy("doc_id", "island").agg(
+        F.min("start_word").alias("start_word"),
+        F.max("end_word").alias("end_word"),
+        F.min("source_id").alias("source_id"),
+        F.min("similarity").alias("similarity"),
+    ).drop("island")
+
+
+def _shared_windows(aligned: DataFrame, own: DataFrame, words: DataFrame, width: int) -> DataFrame:
+    """(doc_id, source_id, start_word, end_word, similarity): windows that no passage holds, but an earlier document does."""
+    around = _WINDOW - 1
+    spans = _islands(aligned).select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word") >= width).alias("passage"))
+    placed = _grouped(spans.union(own.withColumn("passage", F.lit(False))), _WINDOW - _SEED, "stretch")
+    stretches = placed.groupBy("doc_id", "stretch").agg(
+        F.greatest(F.min("start_word") - around, F.lit(0)).alias("low"),
+        (F.max("end_word") + around).alias("high"),
+        F.collect_list(F.when(F.col("passage"), F.struct("start_word", "end_word"))).alias("known"),
+    )
+    stretches = stretches.where(F.col("high") - F.col("low") >= width)
+    joined = stretches.join(words, F.col("doc_id").eqNullSafe(F.col("id")))
+    texts = joined.select("doc_id", "low", "known", F.expr("substring(words, 4 * low + 1, 4 * (high - low))").alias("words"))
+
+    def laid(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                value = run_hashes(np.frombuffer(r["words"], np.uint32), width)
+                at = np.arange(len(value)) + r["low"]
+                free = np.ones(len(value), bool)
+                for k in r["known"]:
+                    free &= (at < k["start_word"]) | (at + width > k["end_word"])
+                rows.append((value, np.full(len(value), r["doc_id"], np.int64), at.astype(np.int32), free))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], ["hash", "doc_id", "at", "free"])
+
+    windows = stored(in_arrow(texts, laid, "hash long, doc_id long, at int, free boolean"), "passage-windows")
+    firsts = (
+        windows.groupBy("hash")
+        .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"), F.max("free").alias("asked"))
+        .where("asked AND last > source_id")
+        .select(F.col("hash").alias("h"), "source_id")
+    )
+    met = windows.where("free").join(firsts, F.expr("hash <=> h AND doc_id > source_id"))
+    return met.select("doc_id", "source_id", F.col("at").alias("start_word"), (F.col("at") + width).alias("end_word"), F.lit(1.0).alias("similarity"))
 
 
 def repeated_passages(docs: DataFrame, least_words: int = 51, similarity: float = 0.8) -> DataFrame:
@@ -331,22 +425,11 @@ def repeated_passages(docs: DataFrame, least_words: int = 51, similarity: float
     found in documents with smaller ids; ``source_id`` is the smallest of them,
     ``similarity`` the lowest of the alignments.
     """
-    by_place = "PARTITION BY doc_id ORDER BY start_word, end_word"
-    reached = f"max(end_word) OVER ({by_place} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    marked = fuzzy_passages(docs, similarity).selectExpr(
-        "*", f"CASE WHEN start_word + {_OVERLAP} <= {reached} THEN 0 ELSE 1 END AS new"
-    )
-    placed = marked.selectExpr(
-        "*", f"sum(new) OVER ({by_place} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island"
-    )
+    aligned, own, words = _alignments(docs, similarity)
+    aligned = stored(aligned, "passage-alignments")
+    rows = aligned.select("doc_id", "source_id", "start_word", "end_word", "similarity")
     return (
-        placed.groupBy("doc_id", "island")
-        .agg(
-            F.min("start_word").alias("start_word"),
-            F.max("end_word").alias("end_word"),
-            F.min("source_id").alias("source_id"),
-            F.min("similarity").alias("similarity"),
-        )
+        _islands(rows.union(_shared_windows(rows, own, words, least_words)))
         .withColumn("n_words", F.col("end_word") - F.col("start_word"))
         .where(F.col("n_words") >= least_words)
         .select("doc_id", "start_word", "end_word", "n_words", "source_id", "similarity")
