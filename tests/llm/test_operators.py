@@ -141,6 +141,18 @@ def test_main_text():
     assert main_text(None) == main_text("") == main_text("<script>x</script>") == ""
 
 
+LONG = " ".join(["many words of running text without any tag"] * 40)
+
+
+def test_main_text_keeps_all_of_a_lopsided_article():
+    page = f"<nav><a>Menu</a></nav><article><h1>T</h1><p>Intro.</p><div>{LONG}</div><section>Last.</section></article><div>Imprint</div>"
+    assert main_text(page) == f"T\n\nIntro.\n\n{LONG}\n\nLast."
+    for tag, item in (("ul", "li"), ("blockquote", "p"), ("section", "article")):
+        page = f"<main><h1>T</h1><p>Intro.</p><{tag}><{item}>{LONG}</{item}></{tag}><p>Last.</p></main>"
+        assert main_text(page) == f"T\n\nIntro.\n\n{LONG}\n\nLast."
+    assert main_text(f"<div><h1>T</h1><div>{LONG}</div></div>") == f"T\n\n{LONG}"
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<p>Hi &lt;</p>"), (2, None, None)], "page_id long, url string, html string")
     sources = {r["page_id"]: parse_head(bytes(r["record"]))[1] for r in responses(pages).collect()}

@@ -4,8 +4,9 @@ Parser events of the standard library are streamed into lines, one per block, wi
 the number of tags that fell into each. Their ratios of text to tags are smoothed
 with a Gaussian over neighbouring lines; a threshold (the deviation of all
 smoothed ratios, at most their mean) splits the lines into a rich and a poor
-cluster. The rich lines choose the region: the lowest element that holds at least
-``_COVER`` of their text. All lines of the region are returned, short ones
+cluster. The rich lines choose the region: the outermost article or main element
+that holds at least ``_COVER`` of their text, else the lowest element that holds all
+of them and all headings. All lines of the region are returned, short ones
 included, but for what lies in menus, headers, footers, asides, forms, scripts and
 elements whose class, id or role names adverts, notices, comments and the like.
 
@@ -18,7 +19,6 @@ are read whole. Repeated rows stay repeated; extra columns are not needed.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -50,13 +50,15 @@ NAMES_LEFT_OUT = frozenset(
 )
 ROLES_LEFT_OUT = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SIGMA = 1.5
 _COVER = 0.9
 
 
-def left_out(tag: str, attributes: list, inside_article: bool) -> bool:
-    """Whether an element's content is not main text."""
+def hidden(tag: str, attributes: list, inside_article: bool) -> bool:
+    """Whether an element's content is not main text, by its tag, role or the like."""
     if tag in LEFT_OUT:
         return True
     if tag == "header":
@@ -64,40 +66,51 @@ def left_out(tag: str, attributes: list, inside_article: bool) -> bool:
     for name, value in attributes:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if value and name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if any(part.lower() in NAMES_LEFT_OUT for part in _NAME.findall(value)):
-                return True
         if value and name == "role" and value.lower() in ROLES_LEFT_OUT:
             return True
     return False
 
 
+def named(tag: str, attributes: list) -> bool:
+    """Whether a part of an element's class or id says that its content is not main text."""
+    if tag in ("html", "body", "article", "main"):
+        return False
+    return any(
+        part.lower() in NAMES_LEFT_OUT for name, value in attributes if value and name in ("class", "id") for part in _NAME.findall(value)
+    )
+
+
+class Element:
+    """An open or closed element; ``parent`` is -1 for the page itself."""
+
+    __slots__ = ("tag", "parent", "hidden", "named", "out")
+
+    def __init__(self, tag: str, parent: int, hidden: bool, named: bool) -> None:
+        self.tag, self.parent, self.hidden, self.named = tag, parent, hidden, named
+        self.out = False
+
+
 class Lines(HTMLParser):
-    """Streams parser events into lines: text, number of tags, region."""
+    """Streams parser events into lines: pieces of text with their elements, number of tags, element."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.texts: list[str] = []
-        self.tags: list[int] = []
-        self.regions: list[int] = []
-        self.parents = [-1]
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # name, region, left out
+        self.elements = [Element("", -1, False, False)]
+        self.lines: list[tuple[list[tuple[int, str]], int, int]] = []
+        self.open = [0]
         self.articles = 0
-        self.pending: list[str] = []
+        self.pending: list[tuple[int, str]] = []
         self.count = 0
 
     def flush(self) -> None:
-        text = " ".join("".join(self.pending).split())
-        if text:
-            self.texts.append(text)
-            self.tags.append(self.count)
-            self.regions.append(self.open[-1][1])
+        if any(text and not text.isspace() for _, text in self.pending):
+            self.lines.append((self.pending, self.count, self.open[-1]))
             self.count = 0
         self.pending = []
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
         if tag == "br":
-            self.pending.append(" ")
+            self.pending.append((self.open[-1], " "))
             self.count += 1
             return
         if tag in ENDS_PARAGRAPH:
@@ -109,13 +122,9 @@ class Lines(HTMLParser):
         self.count += 1
         if tag in VOID:
             return
-        _, region, out = self.open[-1]
-        out = out or left_out(tag, attributes, self.articles > 0)
-        if tag in REGIONS and not out:
-            self.parents.append(region)
-            region = len(self.parents) - 1
+        self.elements.append(Element(tag, self.open[-1], hidden(tag, attributes, self.articles > 0), named(tag, attributes)))
         self.articles += tag in ("article", "main")
-        self.open.append((tag, region, out))
+        self.open.append(len(self.elements) - 1)
 
     def handle_startendtag(self, tag: str, attributes: list) -> None:
         self.handle_starttag(tag, attributes)
@@ -129,19 +138,42 @@ class Lines(HTMLParser):
     def _close(self, tag: str, until: frozenset = frozenset()) -> None:
         """Close the innermost open ``tag`` with all inside it; not across one of ``until``."""
         for at in range(len(self.open) - 1, 0, -1):
-            name = self.open[at][0]
+            name = self.elements[self.open[at]].tag
             if name == tag:
                 if tag in BLOCKS:
                     self.flush()
-                self.articles -= sum(n in ("article", "main") for n, _, _ in self.open[at:])
+                self.articles -= sum(self.elements[i].tag in ("article", "main") for i in self.open[at:])
                 del self.open[at:]
                 return
             if name in until:
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.open[-1][2]:
-            self.pending.append(data)
+        self.pending.append((self.open[-1], data))
+
+    def kept(self) -> tuple[list[str], list[int], list[int]]:
+        """Text, tags and element of the lines that are in no element left out."""
+        for element in self.elements[1:]:
+            element.out = element.out or self.elements[element.parent].out
+        texts, tags, places, count = [], [], [], 0
+        for pieces, own, place in self.lines:
+            count += own
+            text = " ".join("".join(piece for at, piece in pieces if not self.elements[at].out).split())
+            if text:
+                texts.append(text)
+                tags.append(count)
+                places.append(place)
+                count = 0
+        return texts, tags, places
+
+    def held(self, places: list[int], sizes: list[int]) -> list[int]:
+        """What the lines at ``places`` weigh in each element, all inside it counted."""
+        weight = [0] * len(self.elements)
+        for place, size in zip(places, sizes):
+            weight[place] += size
+        for at in range(len(weight) - 1, 0, -1):  # children have larger numbers than parents
+            weight[self.elements[at].parent] += weight[at]
+        return weight
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -152,31 +184,47 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return full / np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]
 
 
+def rich_lines(texts: list[str], tags: list[int]) -> np.ndarray:
+    ratios = smoothed(np.array([len(t) for t in texts]) / np.maximum(tags, 1))
+    return ratios >= min(ratios.std(), ratios.mean())
+
+
+def leave_out(page: Lines) -> None:
+    """Mark what is not main text."""
+    for element in page.elements:
+        element.out = element.hidden or element.named
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page, its blocks joined by an empty line."""
     if not html:
         return ""
-    lines = Lines()
-    lines.feed(html)
-    lines.close()
-    lines.flush()
-    if not lines.texts:
+    page = Lines()
+    page.feed(html)
+    page.close()
+    page.flush()
+    leave_out(page)
+    texts, tags, places = page.kept()
+    if not texts:
         return ""
-    sizes = np.array([len(t) for t in lines.texts])
-    ratios = smoothed(sizes / np.maximum(lines.tags, 1))
-    rich = ratios >= min(ratios.std(), ratios.mean())
-    weight: defaultdict[int, int] = defaultdict(int)
-    for region, size in zip(np.array(lines.regions)[rich].tolist(), sizes[rich].tolist()):
-        weight[region] += size
-    held = [weight[region] for region in range(len(lines.parents))]
-    for region in range(len(held) - 1, 0, -1):  # children have larger numbers than parents
-        held[lines.parents[region]] += held[region]
+    rich = rich_lines(texts, tags)
+    held = page.held(places, [len(t) if r else 0 for t, r in zip(texts, rich)])
+    elements = page.elements
+    headed = [False] * len(elements)
+    for at, element in enumerate(elements):
+        headed[at] = element.tag in HEADINGS or at > 0 and headed[element.parent]
+    wanted = page.held(places, [int(r or headed[place]) for place, r in zip(places, rich)])
     enough = _COVER * held[0]
-    chosen = max(region for region in range(len(held)) if held[region] >= enough)
-    inside = [False] * len(held)
-    for region in range(len(held)):
-        inside[region] = region == chosen or (region > 0 and inside[lines.parents[region]])
-    return "\n\n".join(t for t, region in zip(lines.texts, lines.regions) if inside[region])
+    articles = [at for at, e in enumerate(elements) if e.tag in ("article", "main") and not e.out and held[at] >= enough]
+    if articles:
+        chosen = articles[0]
+    else:
+        regions = (at for at, e in enumerate(elements) if not at or e.tag in REGIONS and not e.out and wanted[at] == wanted[0])
+        chosen = max(regions)
+    inside = [False] * len(elements)
+    for at, element in enumerate(elements):
+        inside[at] = at == chosen or at > 0 and inside[element.parent]
+    return "\n\n".join(t for t, place in zip(texts, places) if inside[place])
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
