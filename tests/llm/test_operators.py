@@ -153,6 +153,14 @@ def test_main_text_keeps_all_of_a_lopsided_article():
     assert main_text(f"<div><h1>T</h1><div>{LONG}</div></div>") == f"T\n\n{LONG}"
 
 
+def test_main_text_of_pages_without_optional_end_tags():
+    article = f"<article><h1>T</h1><p>{LONG}</article>"
+    for head in ("<head><title>x</title><body>", "<head><meta charset=utf-8><title>x</title>", "<head><title>x</title><div>", "<head><title>x</title></head><body><nav><a>Menu</a>"):
+        assert main_text(f"<html>{head}{article}") == f"T\n\n{LONG}"
+    assert main_text(f"<head><title>x</title>{LONG}") == LONG
+    assert main_text(f"<body><p>{LONG}</p><nav><a>Menu</a></nav><footer>x") == LONG
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<p>Hi &lt;</p>"), (2, None, None)], "page_id long, url string, html string")
     sources = {r["page_id"]: parse_head(bytes(r["record"]))[1] for r in responses(pages).collect()}

@@ -10,6 +10,10 @@ of them and all headings. All lines of the region are returned, short ones
 included, but for what lies in menus, headers, footers, asides, forms, scripts and
 elements whose class, id or role names adverts, notices, comments and the like.
 
+An element to be left out that is never closed does not hide an article, main or h1
+element, or most of the rich text unless that is outside the page's article. A head ends at
+the first tag or text that cannot be in one.
+
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by an empty line. A null or empty page, and one without text,
 has an empty text. Broken markup is read as far as it can be; pages of any length
@@ -51,10 +55,12 @@ NAMES_LEFT_OUT = frozenset(
 ROLES_LEFT_OUT = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SIGMA = 1.5
 _COVER = 0.9
+_MOST = 0.5  # of the rich text
 
 
 def hidden(tag: str, attributes: list, inside_article: bool) -> bool:
@@ -83,10 +89,12 @@ def named(tag: str, attributes: list) -> bool:
 class Element:
     """An open or closed element; ``parent`` is -1 for the page itself."""
 
-    __slots__ = ("tag", "parent", "hidden", "named", "out")
+    __slots__ = ("tag", "parent", "hidden", "named", "closed", "holds", "out")
 
     def __init__(self, tag: str, parent: int, hidden: bool, named: bool) -> None:
         self.tag, self.parent, self.hidden, self.named = tag, parent, hidden, named
+        self.closed = False  # by its own end tag
+        self.holds = False  # an article, main or h1
         self.out = False
 
 
@@ -109,6 +117,8 @@ class Lines(HTMLParser):
         self.pending = []
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
+        if tag not in IN_HEAD and tag != "head":
+            self._leave_head(whole=tag == "body")
         if tag == "br":
             self.pending.append((self.open[-1], " "))
             self.count += 1
@@ -123,6 +133,9 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         self.elements.append(Element(tag, self.open[-1], hidden(tag, attributes, self.articles > 0), named(tag, attributes)))
+        if tag in ("article", "main", "h1"):
+            for at in self.open:
+                self.elements[at].holds = True
         self.articles += tag in ("article", "main")
         self.open.append(len(self.elements) - 1)
 
@@ -133,9 +146,9 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.flush()
         self.count += 1
-        self._close(tag)
+        self._close(tag, ended=True)
 
-    def _close(self, tag: str, until: frozenset = frozenset()) -> None:
+    def _close(self, tag: str, until: frozenset = frozenset(), ended: bool = False) -> None:
         """Close the innermost open ``tag`` with all inside it; not across one of ``until``."""
         for at in range(len(self.open) - 1, 0, -1):
             name = self.elements[self.open[at]].tag
@@ -143,12 +156,21 @@ class Lines(HTMLParser):
                 if tag in BLOCKS:
                     self.flush()
                 self.articles -= sum(self.elements[i].tag in ("article", "main") for i in self.open[at:])
+                self.elements[self.open[at]].closed = ended or tag == "head"
                 del self.open[at:]
                 return
             if name in until:
                 return
 
+    def _leave_head(self, whole: bool) -> None:
+        """A head that is still open ends here, unless its content may hold any tag; before a body always."""
+        if any(self.elements[i].tag == "head" for i in self.open):
+            if whole or self.elements[self.open[-1]].tag in ("head", "noscript"):
+                self._close("head")
+
     def handle_data(self, data: str) -> None:
+        if self.elements[self.open[-1]].tag == "head" and not data.isspace():
+            self._leave_head(whole=True)
         self.pending.append((self.open[-1], data))
 
     def kept(self) -> tuple[list[str], list[int], list[int]]:
@@ -190,9 +212,23 @@ def rich_lines(texts: list[str], tags: list[int]) -> np.ndarray:
 
 
 def leave_out(page: Lines) -> None:
-    """Mark what is not main text."""
-    for element in page.elements:
-        element.out = element.hidden or element.named
+    """Mark what is not main text: surely what is hidden and closed, the rest unless it holds the main text."""
+    doubtful = [not e.named and e.hidden and not e.closed and e.tag not in ("script", "style") for e in page.elements]
+    for element, doubt in zip(page.elements, doubtful):
+        element.out = element.named or element.hidden and not doubt
+    if not any(doubtful):
+        return
+    texts, tags, places = page.kept()
+    if not texts:
+        return
+    rich = rich_lines(texts, tags)
+    held = page.held(places, [len(t) if r else 0 for t, r in zip(texts, rich)])
+    # Beside an article or main element, size alone does not make main text.
+    within = [not any(e.tag in ("article", "main") and not e.out for e in page.elements)] * len(page.elements)
+    for at, element in enumerate(page.elements):
+        within[at] = within[at] or element.tag in ("article", "main") or at > 0 and within[element.parent]
+        if doubtful[at] and not element.holds and not (within[at] and held[at] > _MOST * held[0]):
+            element.out = True
 
 
 def main_text(html: str | None) -> str:
