@@ -161,6 +161,16 @@ def test_main_text_of_pages_without_optional_end_tags():
     assert main_text(f"<body><p>{LONG}</p><nav><a>Menu</a></nav><footer>x") == LONG
 
 
+def test_main_text_names_are_whole_tokens_and_never_hide_the_article():
+    inner = f'<div class="article-header"><h1>T</h1></div><h2 class="section-header">S</h2><p class="share-price">9 up</p><p>{LONG}</p><div class="ad">Buy</div>'
+    wanted = f"T\n\nS\n\n9 up\n\n{LONG}"
+    for name in ('class="content with-sidebar"', 'id="no-sidebar"', 'class="widget-content"', 'class="widget"', 'id="Modal"'):
+        assert main_text(f"<body><div {name}><article>{inner}</article></div><div class='x ad'>Buy</div></body>") == wanted
+        assert main_text(f"<body><div {name}>{inner}</div></body>") == wanted
+    assert main_text(f'<div class="widget"><p>{LONG}</p></div>') == LONG
+    assert main_text(f'<div class="ad">{LONG}</div><article><h1>T</h1><p>Few words.</article>') == "T\n\nFew words."
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<p>Hi &lt;</p>"), (2, None, None)], "page_id long, url string, html string")
     sources = {r["page_id"]: parse_head(bytes(r["record"]))[1] for r in responses(pages).collect()}

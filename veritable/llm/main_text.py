@@ -10,8 +10,10 @@ of them and all headings. All lines of the region are returned, short ones
 included, but for what lies in menus, headers, footers, asides, forms, scripts and
 elements whose class, id or role names adverts, notices, comments and the like.
 
-An element to be left out that is never closed does not hide an article, main or h1
-element, or most of the rich text unless that is outside the page's article. A head ends at
+A class or id counts by whole tokens, and not on an element that holds an article,
+main or h1 element, or most of the rich text unless that is outside the page's
+article. The same goes for an element to be left
+out that is never closed: it does not hide what follows. A head ends at
 the first tag or text that cannot be in one.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -22,7 +24,6 @@ are read whole. Repeated rows stay repeated; extra columns are not needed.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -57,7 +58,6 @@ ROLES_LEFT_OUT = frozenset("alert banner complementary contentinfo dialog form m
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 
-_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SIGMA = 1.5
 _COVER = 0.9
 _MOST = 0.5  # of the rich text
@@ -78,11 +78,11 @@ def hidden(tag: str, attributes: list, inside_article: bool) -> bool:
 
 
 def named(tag: str, attributes: list) -> bool:
-    """Whether a part of an element's class or id says that its content is not main text."""
+    """Whether a token of an element's class or id says that its content is not main text."""
     if tag in ("html", "body", "article", "main"):
         return False
     return any(
-        part.lower() in NAMES_LEFT_OUT for name, value in attributes if value and name in ("class", "id") for part in _NAME.findall(value)
+        token in NAMES_LEFT_OUT for name, value in attributes if value and name in ("class", "id") for token in value.lower().split()
     )
 
 
@@ -213,9 +213,9 @@ def rich_lines(texts: list[str], tags: list[int]) -> np.ndarray:
 
 def leave_out(page: Lines) -> None:
     """Mark what is not main text: surely what is hidden and closed, the rest unless it holds the main text."""
-    doubtful = [not e.named and e.hidden and not e.closed and e.tag not in ("script", "style") for e in page.elements]
+    doubtful = [e.named or e.hidden and not e.closed and e.tag not in ("script", "style") for e in page.elements]
     for element, doubt in zip(page.elements, doubtful):
-        element.out = element.named or element.hidden and not doubt
+        element.out = element.hidden and not doubt or element.hidden and element.closed
     if not any(doubtful):
         return
     texts, tags, places = page.kept()
