@@ -106,6 +106,17 @@ def test_leaks(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (4, 2)}
 
 
+def test_leaks_at_the_bound_are_found(spark):
+    items, docs = [], []
+    for n in range(300):
+        words = prose(40000 + n, 29 + n % 6).split()
+        items.append((n, " ".join(words)))
+        words[8 + n % 12] = "changed"  # in 5 of 25 to 30 shingles
+        docs.append((n, f"{prose(41000 + n, 20)} {' '.join(words)} {prose(42000 + n, 20)}"))
+    found = find_leaks(spark.createDataFrame(docs, TEXT), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(n, n) for n in range(300)}
+
+
 @pytest.mark.parametrize("n", [0, 5, 100])
 def test_shards_are_even_and_gapless(spark, n):
     docs = [(i, f"text {i % 30}" if i % 3 else None) for i in range(n)]

@@ -7,8 +7,9 @@
    is broadcast, however many items there are.
 2. Fingerprints. The SimHash of a window has 64 bits, one vote per shingle.
 3. Multi-index Hamming. The fingerprint is cut into ``_PARTS`` parts of 16 bits.
-   If two differ in at most ``RADIUS`` bits, some part differs in at most
-   ``RADIUS // _PARTS`` bits. Items are entered under every value that near, windows
+   If two differ in at most ``radius`` bits, some part differs in at most
+   ``radius // _PARTS`` bits. The radius follows from the similarity, see
+   ``radius_for``: 23 bits for 0.8. Items are entered under every value that near, windows
    are looked up under their own: an equi-join that loses no fingerprint within
    the radius.
 4. Verification. The similarity is the share of an item's shingle weights that
@@ -25,6 +26,7 @@ items with one item_id keep their best match.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -39,7 +41,7 @@ from veritable.llm.words import U64, Words, mix, slices, windows, words_of
 from veritable.sources.scratch import stored
 
 BLOCK_SHINGLES = 1 << 20
-RADIUS = 15
+_DEVIATIONS = 3
 _PARTS, _PART_BITS = 4, 16
 
 
@@ -138,6 +140,15 @@ def _windows(batches: Batches, block: list[Items]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def radius_for(similarity: float) -> int:
+    """Bits in which windows of at least ``similarity`` differ, but for about one in a thousand at that bound.
+
+    A bit differs with a chance of acos(similarity) / pi, independently of the others.
+    """
+    bits, chance = _PARTS * _PART_BITS, math.acos(min(1.0, max(0.0, similarity))) / math.pi
+    return min(bits, math.ceil(bits * chance + _DEVIATIONS * math.sqrt(bits * chance * (1 - chance))))
+
+
 def _near_values(radius: int) -> np.ndarray:
     """All 16-bit masks with at most ``radius`` bits."""
     masks = [sum(1 << b for b in bits) for n in range(radius + 1) for bits in combinations(range(_PART_BITS), n)]
@@ -219,12 +230,13 @@ def _weighted(items: DataFrame) -> DataFrame:
     return in_arrow(listed, packed, "number long, own_print long, item_shingles binary, weights binary")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = RADIUS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int | None = None) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, hamming, similarity): the best window of each item in each document.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Only matches of
-    at least ``similarity`` within ``radius`` bits are returned.
+    at least ``similarity`` within ``radius`` bits (``radius_for``) are returned.
     """
+    radius = radius_for(similarity) if radius is None else radius
     items = stored(_items(benchmark, width), "leak-items")
     total = items.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
     blocks = -(-total // (8 * BLOCK_SHINGLES)) or 1
