@@ -18,7 +18,7 @@ from veritable.llm.main_text import main_text
 from veritable.llm.passages import cut_passages, repeated_passages
 from veritable.llm.sharding import shard_documents
 from veritable.llm.url_filter import filter_urls
-from veritable.llm.warc import derivatives, parse_head, responses
+from veritable.llm.warc import derivatives, derive, head_fields, parse_head, record, responses
 
 TEXT = "doc_id long, text string"
 
@@ -192,3 +192,13 @@ def test_warc(spark):
         assert r["payload_digest"] == sources[r["page_id"]]["warc-payload-digest"]
         if r["record_type"] == "conversion":
             assert parse_head(bytes(r["record"]))[2] == (b"Hi <" if r["page_id"] == 1 else b"") + b"\r\n\r\n"
+
+
+def test_warc_metadata_has_all_http_fields_in_their_order():
+    sent = [("Date", "today"), ("Set-Cookie", "a=1"), ("ETag", '"x:y"'), ("Set-Cookie", "b=2"), ("Content-Type", "text/plain"), ("Location", "/n")]
+    block = "\r\n".join(["HTTP/1.1 301 Moved", *(f"{k}: {v}" for k, v in sent), "", "Hi"]).encode()
+    source = record({"WARC-Type": "response", "WARC-Record-ID": "<urn:x>"}, block)
+    about = next(parse_head(r["record"])[2] for r in derive(source) if r["record_type"] == "metadata")
+    fields = head_fields(b"about\r\n" + about)[1]
+    assert [v for k, v in fields if k == "source-http-header"] == [f"{k}: {v}" for k, v in sent]
+    assert dict(fields)["source-content-type"] == "text/plain"

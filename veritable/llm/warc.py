@@ -4,7 +4,7 @@
 response records and makes two records of each that keep a link to it:
 
 * ``metadata``: warcinfo-fields with the source's target, date, digests, HTTP status
-  and headers that describe the content;
+  and headers, all of them in their order as ``source-http-header``;
 * ``conversion``: the text of the payload as ``text/plain``.
 
 Both have ``WARC-Refers-To`` with the source's record id, its target URI and date,
@@ -65,23 +65,28 @@ def _single_line(value: str) -> str:
     return " ".join(value.split("\n")).replace("\r", " ")
 
 
-def parse_head(data: bytes) -> tuple[str, dict[str, str], bytes]:
-    """First line, fields by lower-case name, and what follows the empty line."""
+def head_fields(data: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """First line, all fields in their order, and what follows the empty line."""
     head, _, rest = data.partition(CRLF + CRLF)
     first, *lines = head.decode(errors="replace").split("\r\n")
-    fields: dict[str, str] = {}
-    last = None
+    fields: list[tuple[str, str]] = []
     for line in lines:
-        if line[:1] in (" ", "\t") and last:
-            fields[last] += " " + line.strip()
+        if line[:1] in (" ", "\t") and fields:
+            name, value = fields[-1]
+            fields[-1] = name, f"{value} {line.strip()}"
             continue
         name, colon, value = line.partition(":")
         if colon:
-            last = name.strip().lower()
-            fields[last] = value.strip()
+            fields.append((name.strip(), value.strip()))
     return first, fields, rest
 
 
+def parse_head(data: bytes) -> tuple[str, dict[str, str], bytes]:
+    """First line, fields by lower-case name, and what follows the empty line."""
+    first, fields, rest = head_fields(data)
+    return first, {name.lower(): value for name, value in fields}, rest
+
+
 def response(url: str | None, body: str | None, key: str) -> bytes:
     """A response record of a page, with HTTP head."""
     payload = (body or "").encode()
@@ -120,7 +125,8 @@ def derive(source: bytes | None) -> list[dict]:
         return []
     size = fields.get("content-length", "")
     block = rest[: int(size)] if size.isdigit() else rest.removesuffix(CRLF + CRLF)
-    status, http, payload = parse_head(block)
+    status, sent, payload = head_fields(block)
+    http = {name.lower(): value for name, value in sent}
     refers = fields.get("warc-record-id")
     linked = {
         "WARC-Date": fields.get("warc-date"),
@@ -139,7 +145,8 @@ def derive(source: bytes | None) -> list[dict]:
         "source-last-modified": http.get("last-modified"),
         "source-language": http.get("content-language"),
     }
-    about = CRLF.join(f"{k}: {_single_line(v)}".encode() for k, v in kept.items() if v is not None) + CRLF
+    named = [(k, v) for k, v in kept.items() if v is not None] + [("source-http-header", f"{k}: {v}") for k, v in sent]
+    about = CRLF.join(f"{k}: {_single_line(v)}".encode() for k, v in named) + CRLF
     made = []
     for kind, media, body in (("metadata", "application/warc-fields", about), ("conversion", "text/plain", text)):
         own = {
