@@ -16,6 +16,7 @@ from veritable.llm.jaccard_join import jaccard_components
 from veritable.llm.language_id import held_out, identify_documents
 from veritable.llm.main_text import extract_main_text
 from veritable.llm.passages import repeated_passages
+from veritable.llm.quality_rules import COUNTS, judge_quality
 from veritable.llm.sharding import shard_documents
 from veritable.llm.url_filter import filter_urls
 from veritable.llm.warc import derivatives, responses
@@ -77,6 +78,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,6 +96,7 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_embedding_pairs,
         op10_byte_bpe,
+        op13_quality_rules,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -114,6 +121,39 @@ SELECT page_id, parsed.host, parsed.path, rule, coalesce(action, 'allow') AS ver
 FROM parsed LEFT JOIN judged ON parsed.host = judged.host AND parsed.path = judged.path
 """
 
-ORACLES: dict[str, str] = {"op4_url_filter": _URL_FILTER} | (
+_QUALITY_RULES = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS copies
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM texts)
+), repeated AS (
+  SELECT r, count(DISTINCT place) AS n
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE copies > 1)
+  GROUP BY r
+), counted AS (
+  SELECT doc_id, words, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN repeated USING (r)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    word_chars < 3 * n_words OR word_chars > 10 * n_words
+    OR 100 * len(list_filter(words, w -> NOT regexp_matches(w, '\\p{L}'))) > 20 * n_words
+    OR 100 * len(list_filter(words, w -> regexp_matches(w, '^[^\\p{Ll}\\p{Lu}]*\\p{Lu}[^\\p{Ll}]+$'))) > 30 * n_words
+    OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_symbols > 10 * n_words AS rejected
+  FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT rejected AS kept
+FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op4_url_filter": _URL_FILTER, "op13_quality_rules": _QUALITY_RULES} | (
     {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 )
