@@ -1,0 +1,93 @@
+"""Hard negatives against a plain version; what the index leaves out; awkward tables."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from veritable.llm.hard_negatives import _Index, _rest_norms, hard_negatives
+
+ROWS = "vec_id long, label long, vector array<double>"
+
+
+def plain(rows, every=10, positives=5, negatives=10):
+    good = [(i, lab, v) for i, lab, v in rows if i is not None and lab is not None and v is not None]
+    good = [r for r in good if all(x is not None and np.isfinite(x) for x in r[2])]
+    size = max((len(v) for _, _, v in good), default=0)
+    padded = np.array([v + [0.0] * (size - len(v)) for _, _, v in good]).reshape(len(good), size)
+    found = []
+    for n, (i, lab, _) in enumerate(good):
+        if i % every:
+            continue
+        score = (padded @ padded[n]).astype(int).tolist()
+        order = sorted((k for k in range(len(good)) if k != n), key=lambda k: (-score[k], good[k][0]))
+        for p in [k for k in order if good[k][1] == lab][:positives]:
+            fits = [k for k in order if good[k][1] != lab and 30 * score[p] <= 100 * score[k] <= 90 * score[p]]
+            found += [(i, good[p][0], r, good[k][0], score[p], score[k]) for r, k in enumerate(fits[:negatives], 1)]
+    return sorted(found)
+
+
+def result(df, every=10):
+    return sorted(tuple(r) for r in hard_negatives(df, F.col("vec_id") % every == 0).collect())
+
+
+def table(seed, n, size=20, near=0.4, labels=3):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(12, size)) * np.linspace(3, 0.2, size)
+    vectors = np.floor(40 * (base[np.arange(n) % 12] + near * rng.normal(size=(n, size))))
+    return [(i, int(rng.integers(labels)), v.tolist()) for i, v in enumerate(vectors)]
+
+
+@pytest.mark.parametrize(("seed", "near"), [(1, 0.2), (2, 1.5), (3, 6.0)])
+def test_equals_a_plain_version(spark, seed, near):
+    rows = table(seed, 400, near=near)
+    assert result(spark.createDataFrame(rows, ROWS).repartition(5)) == plain(rows)
+
+
+def test_several_blocks(spark):
+    rows = table(7, 9000, size=6)
+    assert result(spark.createDataFrame(rows, ROWS).repartition(6), every=900) == plain(rows, every=900)
+
+
+def test_awkward_rows(spark):
+    rows = table(4, 120, size=9)
+    rows += rows[:15] + [(20, 1, rows[3][2]), (200, 0, [0.0] * 9), (210, 0, []), (220, 1, rows[5][2][:4])]
+    bad = [(None, 1, rows[0][2]), (300, None, rows[0][2]), (310, 1, None), (320, 1, [1.0, None]), (330, 1, [float("nan")]), (340, 1, [float("inf")])]
+    df = spark.createDataFrame(rows + bad, ROWS)
+    for name in ("row", "score", "low", "high", "place", "block"):
+        df = df.withColumn(name, F.lit("x"))
+    assert result(df) == plain(rows)
+    assert result(spark.createDataFrame([], ROWS)) == []
+    assert result(spark.createDataFrame(rows[:1], ROWS)) == []
+    alone = [(i, 7, v) for i, _, v in rows[:40]]
+    assert result(spark.createDataFrame(alone, ROWS)) == []
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rows = [(i, i % 2, [10.0, float(i % 4 < 2)]) for i in range(80)] + [(100, 0, [20.0, 0.0])]
+    assert result(spark.createDataFrame(rows, ROWS).repartition(9)) == plain(rows)
+
+
+class Straight:
+    """A layout that keeps the order of the dimensions."""
+
+    def __init__(self, matrix):
+        self.greatest = _rest_norms(matrix).max(axis=0)
+
+    def laid(self, vectors):
+        return np.array(vectors.to_pylist())
+
+
+def test_the_index_omits_dimensions_and_loses_no_pair():
+    rng = np.random.default_rng(5)
+    matrix = np.floor(rng.normal(size=(500, 40)) * 100 * 0.85 ** np.arange(40))
+    batch = pa.record_batch({"row": np.arange(500), "vec_id": np.arange(500), "label": np.zeros(500, int), "vector": pa.array(matrix.tolist())})
+    scores = matrix[:30] @ matrix.T
+    shares = []
+    for least in (-np.inf, 0.0, *np.quantile(scores, [0.5, 0.9, 0.99, 0.999])):
+        index = _Index([batch], Straight(matrix), least)
+        shares.append(sum(index.length) / (5 * 500))
+        who, where, score = index.pairs(matrix[:30], np.full(30, least))
+        wanted = {(i, j, scores[i, j]) for i, j in zip(*np.nonzero(scores >= least))}
+        assert {(i, index.row[j], s) for i, j, s in zip(who, where, score)} == wanted
+    assert shares[0] == 1 and shares == sorted(shares, reverse=True) and shares[-1] < 0.5

@@ -88,4 +88,4 @@ def test_native_and_without_a_shuffle(spark, filtered):
     judged = judge_quality(spark.range(3).select(F.col("id").alias("doc_id"), F.lit(PROSE).alias("text")))
     shown = plan(judged.where("kept") if filtered else judged)
     assert not re.search("Exchange|Python|Pandas|Arrow", shown)
-    assert shown.count("Generate inline") >= 5  # a filter moved nothing out of its step
+    assert shown.count("Arguments: inline") >= 5  # a filter moved nothing out of its step

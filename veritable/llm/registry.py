@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritable.llm.byte_bpe import round_trip
+from veritable.llm.collocations import collocations
 from veritable.llm.common import table
 from veritable.llm.decontaminate import find_leaks
 from veritable.llm.embedding_pairs import near_duplicates
+from veritable.llm.hard_negatives import hard_negatives
 from veritable.llm.jaccard_join import jaccard_components
 from veritable.llm.language_id import held_out, identify_documents
 from veritable.llm.main_text import extract_main_text
@@ -78,6 +80,24 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+
+    def scaled(x: Column) -> Column:
+        y = x.cast("double") * 256
+        whole = y - y % 1  # floor() would return 64 bits
+        return F.when(whole > y, whole - 1).otherwise(whole)
+
+    whole = rows.select("vec_id", label.alias("label"), F.transform("embedding", scaled).alias("vector"))
+    return hard_negatives(whole, F.col("vec_id") % 100 == 0)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")
@@ -96,6 +116,8 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_embedding_pairs,
         op10_byte_bpe,
+        op11_collocations,
+        op12_hard_negatives,
         op13_quality_rules,
     )
 } | {"pipeline": corpus_pipeline.run}
@@ -125,7 +147,7 @@ _QUALITY_RULES = """
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents
 ), windows AS (
   SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS copies
@@ -144,8 +166,8 @@ WITH texts AS (
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     word_chars < 3 * n_words OR word_chars > 10 * n_words
-    OR 100 * len(list_filter(words, w -> NOT regexp_matches(w, '\\p{L}'))) > 20 * n_words
-    OR 100 * len(list_filter(words, w -> regexp_matches(w, '^[^\\p{Ll}\\p{Lu}]*\\p{Lu}[^\\p{Ll}]+$'))) > 30 * n_words
+    OR 100 * len(list_filter(words, lambda w: NOT regexp_matches(w, '\\p{L}'))) > 20 * n_words
+    OR 100 * len(list_filter(words, lambda w: regexp_matches(w, '^[^\\p{Ll}\\p{Lu}]*\\p{Lu}[^\\p{Ll}]+$'))) > 30 * n_words
     OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_symbols > 10 * n_words AS rejected
   FROM counted
 )
@@ -154,6 +176,81 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLES: dict[str, str] = {"op4_url_filter": _URL_FILTER, "op13_quality_rules": _QUALITY_RULES} | (
+_COLLOCATIONS = """
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, words
+  FROM (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words
+    FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+      FROM documents
+    )
+  )
+), placed AS (
+  SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z
+  FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces)
+), one AS (SELECT lang, x, count(*) AS f FROM placed GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
+two AS (SELECT lang, x, y, count(*) AS f FROM placed WHERE y IS NOT NULL GROUP BY ALL),
+three AS (SELECT lang, x, y, z, count(*) AS f FROM placed WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, x, y, max(f) AS most
+  FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three)
+  GROUP BY lang, x, y
+), cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, l.f AS l, r.f AS r, 1 AS k
+  FROM two t JOIN one l ON t.lang = l.lang AND t.x = l.x JOIN one r ON t.lang = r.lang AND t.y = r.x
+    LEFT JOIN longer m ON t.lang = m.lang AND t.x = m.x AND t.y = m.y
+  WHERE t.f >= 10 AND (most IS NULL OR 100 * most < 50 * t.f)
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, l.f, r.f, 1
+  FROM three t JOIN one l ON t.lang = l.lang AND t.x = l.x
+    JOIN two r ON t.lang = r.lang AND t.y = r.x AND t.z = r.y
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, l.f, r.f, 2
+  FROM three t JOIN two l ON t.lang = l.lang AND t.x = l.x AND t.y = l.y
+    JOIN one r ON t.lang = r.lang AND t.z = r.x
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM lowest JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+_HARD_NEGATIVES = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.row, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.row <> b.row
+), positives AS (
+  SELECT row, anchor_id, other_id AS positive_id, score AS positive_score
+  FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY row, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (row, anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_url_filter": _URL_FILTER,
+    "op11_collocations": _COLLOCATIONS,
+    "op12_hard_negatives": _HARD_NEGATIVES,
+    "op13_quality_rules": _QUALITY_RULES,
+} | (
     {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 )
