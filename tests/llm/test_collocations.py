@@ -79,11 +79,12 @@ def test_subsumption_counts_longer_phrases_however_they_are_cut(spark):
 def counted(text, most):
     entries = Counter()
     for part, skip in _parts(text, most):
-        for batch in _stripes("en", part, skip, ["of"]):
-            keys, counters = _merged([batch])
-            for run, following, n in zip(*(counters.column(c).to_pylist() for c in ("run", "next", "n"))):
-                row = keys.slice(run, 1).to_pylist()[0]
-                entries[row["depth"], row["prefix"], row["segment"], following] += n
+        for depth in range(3):
+            for batch in _stripes("en", part, skip, depth, ["of"], None):
+                keys, counters = _merged([batch])
+                for run, following, n in zip(*(counters.column(c).to_pylist() for c in ("run", "next", "n"))):
+                    row = keys.slice(run, 1).to_pylist()[0]
+                    entries[depth, row["prefix"], row["segment"], following] += n
     return entries
 
 

@@ -9,11 +9,15 @@ else is read off the merged stripes: extensions are their entries, prefix totals
 the entries of the stripe one word shorter, and the greatest entry of a stripe, and
 of all stripes that a pair ends, is what decides whether a pair is subsumed.
 
+The texts are read once for each length of prefix. A phrase can only be frequent if what
+it begins and ends with is, so a pass counts only what extends frequent entries of the
+pass before. These are known by a filter of ``2 ** SLOT_BITS`` bits, 1 MB whatever the
+input; when it is full it lets everything through, and more is counted than needed.
+
 Hot prefixes. The empty prefix, and prefixes made only of words that are at least one
-in ``HOT_SHARE`` of all words, are split into segments by the hash of the next word,
-so that neither their merging nor their size lies with one task. There are at most
-``HOT_SHARE`` such words; they are found in a pass of its own over all texts, and
-decide about the layout only. Merging holds the distinct next words of one segment.
+in ``HOT_SHARE`` of all words, of which there are at most ``HOT_SHARE``, are split into
+segments by the hash of the next word, so that neither their merging nor their size
+lies with one task. Merging holds the distinct next words of one segment.
 
 Texts are lower-cased in A-Z, cut into pieces at ``.,;:!?`` and LF to CR, and pieces
 into words at spaces and tabs. A long text is counted in parts that end with a piece;
@@ -40,7 +44,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritable.llm.common import Batches, in_arrow
+from veritable.llm.common import SLOT_BITS, Batches, has_bit, in_arrow, slot_bits
+from veritable.llm.words import mix
 from veritable.sources.scratch import stored
 
 UNKNOWN = "und"
@@ -57,8 +62,11 @@ _SALTS = 256
 BREAKS = b".,;:!?\n\v\f\r"
 GAPS = b" \t"
 
-_KEYS = ("lang", "depth", "prefix", "segment")
-_STRIPES = "lang string, depth int, prefix string, segment int, next array<string>, n array<long>"
+_KEYS = ("lang", "prefix", "segment")
+_STRIPES = "lang string, prefix string, segment int, next array<string>, n array<int>"
+_WIDE = pa.schema(
+    {"lang": pa.string(), "prefix": pa.string(), "segment": pa.int32(), "next": pa.list_(pa.string()), "n": pa.list_(pa.int64())}
+)
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(BREAKS)] = True
@@ -135,57 +143,70 @@ def _runs(*values: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), len(new))
 
 
-def _stripes(lang: str, text: bytes, skip: int, hot: list[str]) -> Iterator[pa.RecordBatch]:
-    """Stripes of one text. What ends before word ``skip`` has been counted before."""
+def _codes(words: pa.Array) -> np.ndarray:
+    return np.fromiter((zlib.crc32(word.as_buffer()) for word in words), np.uint64, len(words))
+
+
+def _slots(*codes: np.ndarray) -> np.ndarray:
+    """A number below 2 ** SLOT_BITS for each run of words, from their codes."""
+    value = np.zeros(len(codes[0]), np.uint64)
+    for code in codes:
+        value = mix(value + code)
+    return (value & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+
+def _stripes(lang: str, text: bytes, skip: int, depth: int, hot: list[str], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Stripes of one text with prefixes of ``depth`` words.
+
+    What ends before word ``skip`` has been counted before. ``bits`` tell the frequent
+    phrases of ``depth`` words.
+    """
     ids, piece, names = _words(text)
     if len(ids) <= skip:
         return
     size = len(names)
+    code = _codes(names)
     is_hot = pc.is_in(names, value_set=pa.array(hot, pa.string())).to_numpy(zero_copy_only=False)
-    code = np.fromiter((zlib.crc32(name.as_buffer()) for name in names), np.int64, size)
-
-    def laid(depth: int, prefix: np.ndarray, following: np.ndarray, n: np.ndarray, segments: np.ndarray, words: pa.Array):
-        segment = code[following] % segments[prefix]
-        order = np.lexsort((segment, prefix))
-        prefix, following, n, segment = prefix[order], following[order], n[order], segment[order]
-        cuts = _runs(prefix, segment)
-        first = cuts[:-1]
-        for low in range(0, len(first), _ROWS_AT_ONCE):
-            part = cuts[low : low + _ROWS_AT_ONCE + 1]
-            inside = slice(part[0], part[-1])
-            offsets = pa.array(part - part[0], pa.int32())
-            rows = len(part) - 1
-            yield pa.record_batch(
-                {
-                    "lang": pa.array([lang] * rows, pa.string()),
-                    "depth": pa.array(np.full(rows, depth), pa.int32()),
-                    "prefix": words.take(pa.array(prefix[part[:-1]])),
-                    "segment": pa.array(segment[part[:-1]], pa.int32()),
-                    "next": pa.ListArray.from_arrays(offsets, names.take(pa.array(following[inside]))),
-                    "n": pa.ListArray.from_arrays(offsets, pa.array(n[inside], pa.int64())),
-                }
-            )
-
-    word, times = np.unique(ids[skip:], return_counts=True)
-    yield from laid(0, np.zeros(len(word), np.int64), word, times, np.array([_SEGMENTS[0]]), pa.array([""]))
-
-    at = np.flatnonzero(piece[1:] == piece[:-1])
-    at = at[at + 1 >= skip]
-    pair, times = np.unique(ids[at] * size + ids[at + 1], return_counts=True)
-    yield from laid(1, pair // size, pair % size, times, np.where(is_hot, _SEGMENTS[1], 1), names)
-
-    at = np.flatnonzero(piece[2:] == piece[:-2])
-    at = at[at + 2 >= skip]
-    pair, which = np.unique(ids[at] * size + ids[at + 1], return_inverse=True)
-    triple, times = np.unique(which * size + ids[at + 2], return_counts=True)
-    one, two = pair // size, pair % size
-    both = pc.binary_join_element_wise(names.take(pa.array(one)), names.take(pa.array(two)), " ")
-    yield from laid(2, triple // size, triple % size, times, np.where(is_hot[one] & is_hot[two], _SEGMENTS[2], 1), both)
+    at = np.arange(skip, len(ids))
+    if depth:
+        at = np.flatnonzero(piece[depth:] == piece[:-depth])
+        at = at[at + depth >= skip]
+        if bits is not None:
+            first = [code[ids[at + k]] for k in range(depth + 1)]
+            at = at[has_bit(bits, _slots(*first[:-1])) & has_bit(bits, _slots(*first[1:]))]
+    if depth == 2:
+        pair, prefix = np.unique(ids[at] * size + ids[at + 1], return_inverse=True)
+        one, two = pair // size, pair % size
+        words = pc.binary_join_element_wise(names.take(pa.array(one)), names.take(pa.array(two)), " ")
+        split = is_hot[one] & is_hot[two]
+    elif depth == 1:
+        prefix, words, split = ids[at], names, is_hot
+    else:
+        prefix, words, split = np.zeros(len(at), np.int64), pa.array([""]), np.ones(1, bool)
+    entry, n = np.unique(prefix * size + ids[at + depth], return_counts=True)
+    prefix, following = entry // size, entry % size
+    segment = (code[following] % np.where(split, _SEGMENTS[depth], 1).astype(np.uint64)[prefix]).astype(np.int32)
+    order = np.lexsort((segment, prefix))
+    prefix, following, n, segment = prefix[order], following[order], n[order], segment[order]
+    cuts = _runs(prefix, segment)
+    for low in range(0, len(cuts) - 1, _ROWS_AT_ONCE):
+        part = cuts[low : low + _ROWS_AT_ONCE + 1]
+        inside = slice(part[0], part[-1])
+        offsets = pa.array(part - part[0], pa.int32())
+        yield pa.record_batch(
+            {
+                "lang": pa.array([lang] * (len(part) - 1), pa.string()),
+                "prefix": words.take(pa.array(prefix[part[:-1]])),
+                "segment": pa.array(segment[part[:-1]], pa.int32()),
+                "next": pa.ListArray.from_arrays(offsets, names.take(pa.array(following[inside]))),
+                "n": pa.ListArray.from_arrays(offsets, pa.array(n[inside], pa.int32())),
+            }
+        )
 
 
 def _merged(rows: list[pa.RecordBatch]) -> tuple[pa.Table, pa.Table]:
     """Keys of adjacent rows, each once, and their counters added up: (run, next, n)."""
-    table = pa.Table.from_batches(rows).combine_chunks()
+    table = pa.concat_tables([pa.Table.from_batches([batch]).cast(_WIDE) for batch in rows]).combine_chunks()
     new = np.zeros(table.num_rows, bool)
     new[:1] = True
     for key in _KEYS:
@@ -201,20 +222,15 @@ def _merged(rows: list[pa.RecordBatch]) -> tuple[pa.Table, pa.Table]:
     return table.select(list(_KEYS)).filter(pa.array(new)), entries
 
 
-def merged_stripes(docs: DataFrame, least: int) -> DataFrame:
-    """(lang, depth, prefix, next, n): entries of merged stripes with ``n >= least``.
+def _counted(texts: DataFrame, depth: int, least: int, hot: dict[str, list[str]], bits: np.ndarray | None) -> DataFrame:
+    """(lang, prefix, next, n): entries with ``n >= least`` of the merged stripes of one length of prefix.
 
-    The row with depth 0 and no next word has a segment's share of the total of all words.
+    For the empty prefix, rows without a next word add up to the number of all words.
     """
-    texts = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    hot = _hot_words(texts)
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
         for lang, text, skip in _texts(batches, _PART_BYTES):
-            yield from _stripes(lang, text, skip, hot.get(lang, []))
+            yield from _stripes(lang, text, skip, depth, hot.get(lang, []), bits)
 
     def merge(batches: Batches) -> Iterator[pa.RecordBatch]:
         rows: list[pa.RecordBatch] = []
@@ -235,47 +251,37 @@ def merged_stripes(docs: DataFrame, least: int) -> DataFrame:
             held = {key: keys.column(key).combine_chunks()[last:] for key in _KEYS}
             for name in ("next", "n"):
                 held[name] = pa.ListArray.from_arrays(offsets, own.column(name).combine_chunks())
-            rows, entries = [pa.record_batch(held, schema=batch.schema)], own.num_rows
+            rows, entries = [pa.record_batch(held)], own.num_rows
             full = max(_MERGED_ENTRIES, 2 * entries)
         if rows:
             yield kept(*_merged(rows))
 
     def kept(keys: pa.Table, counters: pa.Table) -> pa.RecordBatch:
-        top = pc.equal(keys.column("depth").take(counters.column("run")), 0)
-        totals = counters.filter(top).group_by(["run"], use_threads=False).aggregate([("n", "sum")])
         frequent = counters.filter(pc.greater_equal(counters.column("n"), least))
-        runs = pa.concat_arrays([frequent.column("run").combine_chunks(), totals.column("run").combine_chunks()])
-        following = pa.concat_arrays([frequent.column("next").combine_chunks(), pa.nulls(totals.num_rows, pa.string())])
-        n = pa.concat_arrays([frequent.column("n").combine_chunks(), totals.column("n_sum").combine_chunks()])
-        made = {name: keys.column(name).combine_chunks().take(runs) for name in ("lang", "depth", "prefix")}
+        runs, following, n = (frequent.column(name).combine_chunks() for name in ("run", "next", "n"))
+        if not depth:
+            totals = counters.group_by(["run"], use_threads=False).aggregate([("n", "sum")])
+            runs = pa.concat_arrays([runs, totals.column("run").combine_chunks()])
+            following = pa.concat_arrays([following, pa.nulls(totals.num_rows, pa.string())])
+            n = pa.concat_arrays([n, totals.column("n_sum").combine_chunks()])
+        made = {name: keys.column(name).combine_chunks().take(runs) for name in ("lang", "prefix")}
         return pa.record_batch(made | {"next": following, "n": n})
 
     dealt = in_arrow(texts, count, _STRIPES).repartition(*_KEYS).sortWithinPartitions(*_KEYS)
-    return in_arrow(dealt, merge, "lang string, depth int, prefix string, next string, n long")
+    return in_arrow(dealt, merge, "lang string, prefix string, next string, n long")
 
 
-def _hot_words(texts: DataFrame) -> dict[str, list[str]]:
-    """By language the words that are one in ``HOT_SHARE`` of all words, of all languages."""
+def _frequent_bits(phrases: DataFrame) -> np.ndarray:
+    """The filter that tells ``phrases`` (one column, words separated by spaces)."""
 
-    def heavy(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for lang, text, skip in _texts(batches, _PART_BYTES):
-            ids, _, names = _words(text)
-            if len(ids) <= skip:
-                continue
-            times = np.bincount(ids[skip:], minlength=len(names))
-            # Whatever is hot in all texts is as frequent in some part of them.
-            often = np.flatnonzero(times * HOT_SHARE >= len(ids) - skip)
-            words = pa.concat_arrays([names.take(pa.array(often)), pa.nulls(1, pa.string())])
-            n = np.append(times[often], len(ids) - skip)
-            yield pa.record_batch({"lang": pa.array([lang] * len(n), pa.string()), "word": words, "n": pa.array(n, pa.int64())})
-
-    counted = in_arrow(texts, heavy, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counted = stored(counted, "hot-words")
-    total = counted.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
-    found: dict[str, list[str]] = {}
-    for row in counted.where("word IS NOT NULL").where(F.col("n") * HOT_SHARE >= total).collect():
-        found.setdefault(row["lang"], []).append(row["word"])
-    return found
+    def slots(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = pc.split_pattern(batch.column(0), " ")
+            width = len(words[0]) if len(words) else 1
+            codes = _codes(words.flatten()).reshape(-1, width)
+            yield pa.record_batch({"slot": _slots(*codes.T)})
+
+    return slot_bits(in_arrow(phrases, slots, "slot long"))
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -289,17 +295,27 @@ def collocations(docs: DataFrame, least: int = 10, subsumed_percent: int = 50, t
     ``least`` is the count a phrase needs, ``subsumed_percent`` the share of a phrase's
     count that a longer one needs to take its place, ``top`` the ranks reported.
     """
-    entries = stored(merged_stripes(docs, least), "stripes")
-    words = entries.where("depth = 0 AND next IS NOT NULL").select("lang", F.col("next").alias("word"), F.col("n").alias("f"))
-    totals = entries.where("depth = 0 AND next IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    pairs = entries.where("depth = 1").selectExpr("lang", "prefix AS w", "next AS x", "n AS a")
+    texts = docs.select(
+        F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    single = stored(_counted(texts, 0, least, {}, None), "stripes")
+    totals = single.where("next IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    words = single.where("next IS NOT NULL").select("lang", F.col("next").alias("word"), F.col("n").alias("f"))
+    every = totals.agg(F.sum("n")).first()[0] or 0
+    hot: dict[str, list[str]] = {}
+    for row in words.where(F.col("f") * HOT_SHARE >= every).collect():
+        hot.setdefault(row["lang"], []).append(row["word"])
+    entries = stored(_counted(texts, 1, least, hot, _frequent_bits(words.select("word"))), "stripes")
+    bits = _frequent_bits(entries.select(F.concat_ws(" ", "prefix", "next")))
+    pairs = entries.selectExpr("lang", "prefix AS w", "next AS x", "n AS a")
     pairs = (
         pairs.join(words.selectExpr("lang", "word AS w", "f AS l"), ["lang", "w"])
         .join(words.selectExpr("lang", "word AS x", "f AS r"), ["lang", "x"])
         .selectExpr("lang", "concat(w, ' ', x) AS phrase", "a", "l", "r")
     )
     pairs = stored(pairs, "pairs")
-    triples = entries.where("depth = 2").selectExpr(
+    triples = stored(_counted(texts, 2, least, hot, bits), "stripes").selectExpr(
         "lang", "prefix AS head", "concat(substring_index(prefix, ' ', -1), ' ', next) AS rest", "n AS a",
         "concat(prefix, ' ', next) AS phrase",
     )
