@@ -71,6 +71,22 @@ def duplicate_counts(df: DataFrame, columns: Mapping[str, tuple[str, bool]], tot
     )
 
 
+def repeated_keys(
+    df: DataFrame, column: str, digest: bool, name: str, keys_path: str | None = None
+) -> DataFrame:
+    """The keys that occur more than once, one row each, in a column ``name``; stored first if a path is given."""
+    repeated = (
+        df.groupBy(group_key(df, column, digest).alias(name))
+        .agg(F.count(F.lit(1)).alias(_COPIES))
+        .filter(F.col(_COPIES) > 1)
+        .select(name)
+    )
+    if keys_path is None:
+        return repeated
+    write_table(repeated, keys_path, mode="error", num_files=None)
+    return read_table(df.sparkSession, keys_path, "parquet", repeated.schema)
+
+
 def duplicated_rows(
     df: DataFrame, column: str, keys_path: str | None = None, digest: bool = False
 ) -> DataFrame:
@@ -82,15 +98,7 @@ def duplicated_rows(
     knows their size when it plans the join, and broadcasts them if they are
     few, without shuffling the dataset at all.
     """
-    repeated = (
-        df.groupBy(group_key(df, column, digest).alias(_REPEATED))
-        .agg(F.count(F.lit(1)).alias(_COPIES))
-        .filter(F.col(_COPIES) > 1)
-        .select(_REPEATED)
-    )
-    if keys_path is not None:
-        write_table(repeated, keys_path, mode="error", num_files=None)
-        repeated = read_table(df.sparkSession, keys_path, "parquet", repeated.schema)
+    repeated = repeated_keys(df, column, digest, _REPEATED, keys_path)
     # The key travels as a column: as a join expression it would be computed
     # again for partitioning, for sorting and for every comparison.
     keyed = df.withColumn(_KEY, group_key(df, column, digest))

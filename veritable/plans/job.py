@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritable.plans.commits import commit_run
 from veritable.plans.history import stored_results
 from veritable.plans.suite import CheckSuite
 from veritable.rules import Rule
@@ -36,9 +37,9 @@ def run_job(
     ``destination`` takes ``path``, ``format``, ``write_mode`` and
     ``partition_by``. Results are stored whether or not rules fail. What is
     returned is the stored run, so looking at it again rescans a few rows and
-    not the source; a run id that was stored before (a retry) returns this run's
-    rows only, one per rule. Under write mode ``ignore``, which may store nothing, it is
-    the unevaluated plan instead.
+    not the source. Under ``append`` a run is stored once: repeated under its run
+    id, say after it was killed, it replaces what it stored before. Under write mode
+    ``ignore``, which may store nothing, the unevaluated plan is returned instead.
     """
     suite = CheckSuite(dataset, rules, run_id, run_timestamp)
     if not suite.rules:
@@ -50,7 +51,11 @@ def run_job(
     data = read_table(spark, source["path"], source_fmt, source.get("schema"))
     # Text has to be parsed whole by every scan, so the unique rules share one.
     results = suite.evaluate(data, shared_scan=source_fmt != "parquet")
-    write_table(results, path, fmt, mode, destination.get("partition_by", PARTITION_BY), num_files=1)
+    partition_by = destination.get("partition_by", PARTITION_BY) or ()
+    if mode.lower() == "append":
+        commit_run(results, path, dataset, suite.run_id, fmt, partition_by)
+    else:
+        write_table(results, path, fmt, mode, partition_by, num_files=1)
     if mode.lower() == "ignore":
         return results
 
@@ -59,9 +64,5 @@ def run_job(
         stored_results(spark, path, fmt)
         .filter(F.col("run_date") == suite.run_timestamp.date().isoformat())
         .filter((F.col("run_id") == suite.run_id) & (F.col("dataset") == dataset))
-        # A retry under the same id stores its rows again; this run's are told by
-        # their time, and equal in all but that they are stored twice if that repeats.
-        .filter(F.col("run_timestamp") == F.lit(suite.run_timestamp))
-        .dropDuplicates(["rule_id"])
         .orderBy(F.array_position(rule_order, F.col("rule_id")))
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from veritable.operators.queries import dataset_view, violation_count, violations
 from veritable.operators.row_level import rejected_rows, valid_counts
 from veritable.operators.uniqueness import by_digest, duplicate_counts, duplicated_rows
+from veritable.operators.verdicts import FAILED_RULES, rows_by_verdict, with_failed_rules
 from veritable.plans.parsing import parse_rules
 from veritable.plans.results import RESULT_SCHEMA, long_form, side_by_side
 from veritable.rules import CUSTOM_SQL, UNIQUE, Rule
@@ -81,6 +82,36 @@ class CheckSuite:
         with dataset_view(df.sparkSession, self.dataset, df, [rule]):
             return rejected_rows(df, rule)
 
+    def verdicts(self, df: DataFrame, keys_path: str | None = None, column: str = FAILED_RULES) -> DataFrame:
+        """``df`` with an array of the ids of the rules that each row fails, in rule order.
+
+        Row-level and ``unique`` rules take part, which judge rows of the dataset; a
+        ``custom_sql`` rule returns rows of its own and is refused. One scan serves all
+        row-level rules; each ``unique`` rule reads its own column once more. Counting a
+        rule's id gives its ``failed_records``. For ``keys_path`` see ``failing_rows``.
+        """
+        self._refuse_stream(df)
+        queries = [rule.id for rule in self.rules if rule.type == CUSTOM_SQL]
+        if queries:
+            raise ValueError(f"custom_sql rules judge no rows of the dataset: {queries}")
+        if column in df.columns:
+            raise ValueError(f"The dataset has a column {column!r} already")
+        with dataset_view(df.sparkSession, self.dataset, df, self.rules):
+            return with_failed_rules(df, self.rules, column, keys_path)
+
+    def all_failing_rows(self, df: DataFrame, keys_path: str | None = None, column: str = FAILED_RULES) -> DataFrame:
+        """The rows that fail any rule, each once, with the ids of all rules it fails; see ``verdicts``."""
+        return self.verdicts(df, keys_path, column).where(F.size(column) > 0)
+
+    def split_rows(
+        self, df: DataFrame, path: str, keys_path: str | None = None, column: str = FAILED_RULES
+    ) -> tuple[DataFrame, DataFrame]:
+        """The good rows, and the bad ones with the ids of the rules they fail.
+
+        Both come from one pass over ``df``, written to ``path``, a new folder; see ``verdicts``.
+        """
+        return rows_by_verdict(self.verdicts(df, keys_path, column), column, path)
+
     def _counts(self, df: DataFrame, shared_scan: bool) -> tuple[DataFrame, list[Column]]:
         """A one-row frame, and over it each rule's number of failures."""
         names = {rule.id: f"n{i}" for i, rule in enumerate(self.rules)}
