@@ -45,13 +45,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritable.llm.common import SLOT_BITS, Batches, has_bit, in_arrow, slot_bits
-from veritable.llm.words import mix
+from veritable.llm.words import mix, slices
 from veritable.sources.scratch import stored
 
 UNKNOWN = "und"
 HOT_SHARE = 1024
-_PART_BYTES = 8 << 20
-_MERGED_ENTRIES = 1 << 20
+_PART_BYTES = 2 << 20
+_MERGED_ENTRIES = 1 << 18
 _ROWS_AT_ONCE = 1 << 16
 #: Segments of a hot prefix of no, one and two words.
 _SEGMENTS = (256, 64, 16)
@@ -102,7 +102,7 @@ def _texts(batches: Batches, most: int) -> Iterator[tuple[str, bytes, int]]:
     """(language, text, words counted before); texts of a language are joined up to ``most`` bytes."""
     held: dict[str, list[bytes]] = {}
     size = 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", most)):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             raw = text.encode()
             if len(raw) > most:
@@ -125,7 +125,7 @@ def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     start, end = edges[::2], edges[1::2]
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.string())
-    piece = np.cumsum(_BREAK[raw], dtype=np.int64)[start]
+    piece = np.searchsorted(np.flatnonzero(_BREAK[raw]), start)
     offsets = np.concatenate(([0], np.cumsum(end - start)))
     letters = _LOWER[raw[solid]]
     words = pa.Array.from_buffers(
