@@ -74,9 +74,59 @@ _MARKED = f"""
     FROM {o.LABELLED}
 """
 
+# --- stored states ------------------------------------------------------------
+
+
+def unique_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of orders, in three slices as they were appended; the second one came twice."""
+    orders = q.table(spark, sf_dir, "orders")
+    rule = {"id": "customer_once", "type": "unique", "column": "o_custkey"}
+    state = v.UniqueState(spark, scratch_path(spark, "unique-state"), "orders", rule, buckets=8)
+    for part in (0, 1, 1, 2):
+        state.merge(orders.where(F.col("o_orderkey") % 3 == part), f"slice {part}")
+    return state.evaluate().drop(*q.RUN_COLUMNS)
+
+
+def suite_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders laid out by status; after two changes, the partition that changed is evaluated again."""
+    path, state_path = scratch_path(spark, "by-status"), scratch_path(spark, "suite-state")
+    orders = q.table(spark, sf_dir, "orders")
+    v.write_table(orders, path, partition_by=["o_orderstatus"])
+    rules = [rule for rule in q.ORDERS_SUITE if rule["type"] not in ("unique", "custom_sql")]
+    state = v.SuiteState(spark, state_path, "orders", rules, "o_orderstatus")
+    stored = v.read_table(spark, path, "parquet", orders.schema)
+    state.update(stored, ["F", "O", "P"])
+    cheap = orders.where("o_orderstatus = 'O' AND o_totalprice < 200000").drop("o_orderstatus")
+    v.write_table(cheap, f"{path}/o_orderstatus=O", mode="overwrite")
+    state.update(v.read_table(spark, path, "parquet", orders.schema), ["O"])
+    return state.evaluate().drop(*q.RUN_COLUMNS)
+
+
+_CHANGED_ORDERS = "(SELECT * FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice < 200000)"
+
+
+def job_observed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are written anyway, checked by that write."""
+    watch = v.Watch(v.CheckSuite("labelled", [r for r in ROW_SUITE if r["type"] != "unique"]), q.table(spark, sf_dir, "labelled"))
+    v.write_table(watch.rows, scratch_path(spark, "watched"))
+    return watch.results().drop(*q.RUN_COLUMNS)
+
+
 FEATURES: dict[str, tuple[Query, str]] = {
     "job_retry": (job_retry, _job_retry_sql()),
     "failing_rows_suite": (failing_rows_suite, f"SELECT * FROM ({_MARKED}) WHERE failed_rules <> ''"),
+    "unique_incremental": (
+        unique_incremental,
+        o.results("orders", [("customer_once", "unique", "o_custkey", "error", "", o.count("orders"), o.repeated("orders", "o_custkey"))]),
+    ),
+    "suite_incremental": (
+        suite_incremental,
+        o.results("orders", [row for row in o.orders_suite(_CHANGED_ORDERS) if row[1] not in ("unique", "custom_sql")]),
+    ),
+    "job_observed_write": (
+        job_observed_write,
+        o.results("labelled", [row for row in o.documents_suite() if row[1] != "unique"]),
+    ),
     "split_rows": (split_rows, f"SELECT * REPLACE (nullif(failed_rules, '') AS failed_rules) FROM ({_MARKED})"),
 }
 

@@ -8,8 +8,11 @@ from veritable.plans.history import (
     severity_gate,
     top_history,
 )
+from veritable.plans.commits import commit_run
 from veritable.plans.job import run_job
+from veritable.plans.observed import Watch
 from veritable.plans.results import RESULT_SCHEMA
+from veritable.plans.states import SuiteState, UniqueState
 from veritable.plans.suite import CheckSuite, evaluate, failing_rows
 from veritable.rules import Rule
 from veritable.sources.tables import read_table, write_table
@@ -18,6 +21,10 @@ __all__ = [
     "RESULT_SCHEMA",
     "CheckSuite",
     "Rule",
+    "SuiteState",
+    "UniqueState",
+    "Watch",
+    "commit_run",
     "evaluate",
     "failing_rows",
     "latest_run",

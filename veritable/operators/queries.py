@@ -28,7 +28,7 @@ def dataset_view(spark: SparkSession, name: str, df: DataFrame, rules: Iterable[
     """
     # Refuses what could not be the name of a view.
     spark.sql(f"WITH {name} AS (SELECT 1) SELECT 1")
-    if not any(_mentions(rule, name) for rule in rules if not rule.dataset_level):
+    if not any(looks_up(rule, name) for rule in rules if not rule.dataset_level):
         yield
         return
     with _VIEWS:
@@ -46,7 +46,8 @@ def dataset_view(spark: SparkSession, name: str, df: DataFrame, rules: Iterable[
                 before.createOrReplaceTempView(name)
 
 
-def _mentions(rule: Rule, name: str) -> bool:
+def looks_up(rule: Rule, name: str) -> bool:
+    """Whether a rule's SQL may look the dataset up by its name."""
     return any(isinstance(text, str) and _plain(name) in text.lower() for text in rule.params.values())
 
 
