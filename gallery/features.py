@@ -112,6 +112,34 @@ def job_observed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watch.results().drop(*q.RUN_COLUMNS)
 
 
+# --- references ---------------------------------------------------------------
+
+
+def rule_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose customer buys furniture or machines: a reference with gaps, by bitmap."""
+    path = scratch_path(spark, "reference")
+    v.write_table(q.table(spark, sf_dir, "customer").where("c_mktsegment IN ('FURNITURE', 'MACHINERY')").select("c_custkey"), path)
+    rule = {"id": "known", "type": "foreign_key", "column": "o_custkey", "reference": {"path": path, "column": "c_custkey"}}
+    return v.evaluate(q.table(spark, sf_dir, "orders"), "orders", [rule]).drop(*q.RUN_COLUMNS)
+
+
+def rule_foreign_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text no document with a good label has: a text, by distinct values."""
+    path = scratch_path(spark, "reference")
+    v.write_table(q.table(spark, sf_dir, "labelled").where("quality = 1").select("text"), path)
+    rule = {"id": "labelled", "type": "foreign_key", "column": "text", "reference": {"path": path, "column": "text"}}
+    return v.evaluate(q.table(spark, sf_dir, "documents"), "documents", [rule]).drop(*q.RUN_COLUMNS)
+
+
+def failing_rows_foreign_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = {"id": "labelled", "type": "foreign_key", "column": "doc_id", "reference": {"path": f"{sf_dir}/labels.parquet", "column": "doc_id"}}
+    return v.failing_rows(q.table(spark, sf_dir, "documents"), "documents", rule)
+
+
+_KNOWN = "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('FURNITURE', 'MACHINERY')"
+_GOOD_TEXTS = f"SELECT text FROM {o.LABELLED} WHERE quality = 1"
+
+
 FEATURES: dict[str, tuple[Query, str]] = {
     "job_retry": (job_retry, _job_retry_sql()),
     "failing_rows_suite": (failing_rows_suite, f"SELECT * FROM ({_MARKED}) WHERE failed_rules <> ''"),
@@ -127,6 +155,17 @@ FEATURES: dict[str, tuple[Query, str]] = {
         job_observed_write,
         o.results("labelled", [row for row in o.documents_suite() if row[1] != "unique"]),
     ),
+    "rule_foreign_key": (
+        rule_foreign_key,
+        o.one_rule("known", "orders", "foreign_key", "o_custkey", o.count("orders", f"o_custkey NOT IN ({_KNOWN})")),
+    ),
+    "rule_foreign_key_text": (
+        rule_foreign_key_text,
+        o.one_rule("labelled", "documents", "foreign_key", "text", o.count("documents", f"text NOT IN ({_GOOD_TEXTS})")),
+    ),
+    "failing_rows_foreign_key": (
+        failing_rows_foreign_key, "SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    ),
     "split_rows": (split_rows, f"SELECT * REPLACE (nullif(failed_rules, '') AS failed_rules) FROM ({_MARKED})"),
 }
 

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veritable.rules import CUSTOM_SQL, DATASET_LEVEL, UNIQUE, Rule
+from veritable.rules import CUSTOM_SQL, DATASET_LEVEL, FOREIGN_KEY, UNIQUE, Rule
 
 Builder = Callable[[Rule], Column]
 
@@ -20,7 +20,7 @@ class RowCheck(NamedTuple):
 
 _ROW_CHECKS: dict[str, RowCheck] = {}
 
-_DATASET_REQUIRES = {UNIQUE: ("column",), CUSTOM_SQL: ("query",)}
+_DATASET_REQUIRES = {UNIQUE: ("column",), CUSTOM_SQL: ("query",), FOREIGN_KEY: ("column", "reference")}
 
 
 def register_row_check(name: str, build: Builder, requires: tuple[str, ...] = ()) -> None:

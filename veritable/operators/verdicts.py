@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritable.functions.predicates import valid_rows
+from veritable.operators.foreign_keys import with_missing
 from veritable.operators.uniqueness import by_digest, group_key, repeated_keys
-from veritable.rules import UNIQUE, Rule
+from veritable.rules import FOREIGN_KEY, UNIQUE, Rule
 from veritable.sources.files import join
 
 FAILED_RULES = "failed_rules"
@@ -35,6 +36,8 @@ def with_failed_rules(
     for i, rule in enumerate(rules):
         name = f"__failed_{i}"
         marks[rule.id] = name
+        if rule.type == FOREIGN_KEY:
+            marked = with_missing(marked, rule, name)
         if rule.type != UNIQUE:
             continue
         key, repeated = f"__key_{i}", f"__repeated_{i}"

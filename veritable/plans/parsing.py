@@ -6,7 +6,8 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 from veritable.functions.predicates import required_keys
-from veritable.rules import Rule
+from veritable.operators.foreign_keys import check_reference
+from veritable.rules import FOREIGN_KEY, Rule
 
 
 def parse_rules(specs: Iterable[Rule | Mapping[str, Any]]) -> list[Rule]:
@@ -34,4 +35,6 @@ def parse_rules(specs: Iterable[Rule | Mapping[str, Any]]) -> list[Rule]:
                 missing = key not in rule.params
             if missing:
                 raise ValueError(f"{rule.type} rule {rule.id!r} requires a {key!r}")
+        if rule.type == FOREIGN_KEY:
+            check_reference(rule)
     return rules

@@ -10,13 +10,14 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritable.operators.foreign_keys import missing_count, with_missing
 from veritable.operators.queries import dataset_view, violation_count, violations
 from veritable.operators.row_level import rejected_rows, valid_counts
 from veritable.operators.uniqueness import by_digest, duplicate_counts, duplicated_rows
 from veritable.operators.verdicts import FAILED_RULES, rows_by_verdict, with_failed_rules
 from veritable.plans.parsing import parse_rules
 from veritable.plans.results import RESULT_SCHEMA, long_form, side_by_side
-from veritable.rules import CUSTOM_SQL, UNIQUE, Rule
+from veritable.rules import CUSTOM_SQL, FOREIGN_KEY, UNIQUE, Rule
 
 _TOTAL = "total"
 
@@ -45,7 +46,8 @@ class CheckSuite:
 
         Row-level rules share one global aggregate; each of the other rules is
         an aggregate of its own. All of them meet in a union of counts, so
-        Spark runs them side by side in one job and collects nothing between.
+        Spark runs them side by side in one job and collects nothing between. Only a
+        ``foreign_key`` rule runs a job now, over its reference's column.
 
         Every ``unique`` rule reads its own column, which costs no extra input
         on a columnar table. ``shared_scan`` makes them read the input together
@@ -79,14 +81,16 @@ class CheckSuite:
             return duplicated_rows(df, rule.column, keys_path, by_digest(rule))
         if rule.type == CUSTOM_SQL:
             return violations(df.sparkSession, rule, self.dataset, df)
+        if rule.type == FOREIGN_KEY:
+            return with_missing(df, rule, "__missing").where("__missing").drop("__missing")
         with dataset_view(df.sparkSession, self.dataset, df, [rule]):
             return rejected_rows(df, rule)
 
     def verdicts(self, df: DataFrame, keys_path: str | None = None, column: str = FAILED_RULES) -> DataFrame:
         """``df`` with an array of the ids of the rules that each row fails, in rule order.
 
-        Row-level and ``unique`` rules take part, which judge rows of the dataset; a
-        ``custom_sql`` rule returns rows of its own and is refused. One scan serves all
+        Row-level, ``unique`` and ``foreign_key`` rules take part, which judge rows of the
+        dataset; a ``custom_sql`` rule returns rows of its own and is refused. One scan serves all
         row-level rules; each ``unique`` rule reads its own column once more. Counting a
         rule's id gives its ``failed_records``. For ``keys_path`` see ``failing_rows``.
         """
@@ -135,6 +139,7 @@ class CheckSuite:
             for rule in self.rules
             if rule.type == CUSTOM_SQL
         ]
+        pairs += [missing_count(df, rule, names[rule.id]) for rule in self.rules if rule.type == FOREIGN_KEY]
         failed = [self._failed(rule, names[rule.id]) for rule in self.rules]
         return side_by_side(parts, pairs, [_TOTAL, *names.values()]), failed
 

@@ -9,7 +9,8 @@ from typing import Any
 # Rule type names and the default severity.
 UNIQUE = "unique"
 CUSTOM_SQL = "custom_sql"
-DATASET_LEVEL = (UNIQUE, CUSTOM_SQL)
+FOREIGN_KEY = "foreign_key"
+DATASET_LEVEL = (UNIQUE, CUSTOM_SQL, FOREIGN_KEY)
 DEFAULT_SEVERITY = "error"
 
 
