@@ -140,6 +140,57 @@ _KNOWN = "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('FURNITURE', 'MA
 _GOOD_TEXTS = f"SELECT text FROM {o.LABELLED} WHERE quality = 1"
 
 
+# --- input and rules that are not sound ---------------------------------------
+
+_TOO_LONG = "n_chars < 5000"
+
+
+def scan_json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines, of which some are cut off and some have a text for a number."""
+    documents, path = q.table(spark, sf_dir, "documents"), scratch_path(spark, "broken-json")
+    line = F.to_json(F.struct(*documents.columns))
+    cut = F.when(F.col("doc_id") % 10 == 3, F.expr("left(line, 40)"))
+    wrong = F.when(F.col("doc_id") % 10 == 7, F.regexp_replace("line", '"n_chars":[0-9]+', '"n_chars":"many"'))
+    documents.withColumn("line", line).select(F.coalesce(cut, wrong, F.col("line")).alias("value")).write.text(path)
+    rules = [{"id": "line", "type": "readable"}, {"id": "length", "type": "sql_expression", "expression": _TOO_LONG}]
+    read = v.read_table(spark, path, "json", documents.schema, unreadable="__unreadable")
+    return v.evaluate(read, "documents", rules).drop(*q.RUN_COLUMNS)
+
+
+def scan_csv_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV, of which some lack columns and some have a text for a number."""
+    customer, path = q.table(spark, sf_dir, "customer"), scratch_path(spark, "broken-csv")
+    line = F.expr(
+        "CASE c_custkey % 10 WHEN 3 THEN concat_ws(',', c_custkey, c_name) "
+        "WHEN 7 THEN concat_ws(',', c_custkey, c_name, c_nationkey, 'much', c_mktsegment) "
+        "ELSE concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) END"
+    )
+    customer.select(line.alias("value")).write.text(path)
+    rules = [{"id": "line", "type": "readable", "column": "bad"}, {"id": "balance", "type": "not_null", "column": "c_acctbal"}]
+    read = v.read_table(spark, path, "csv", customer.schema, unreadable="bad", header="false")
+    return v.evaluate(read, "customer", rules).drop(*q.RUN_COLUMNS)
+
+
+def suite_with_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A suite of which one rule cannot be computed on some rows, and one not at all."""
+    rules = [
+        {"id": "price", "type": "min_max", "column": "o_totalprice", "min": 1000},
+        {"id": "urgency", "type": "sql_expression", "expression": "CAST(left(o_orderpriority, 1 + o_orderkey % 2) AS INT) < 3"},
+        {"id": "clerk", "type": "not_null", "column": "o_clerk", "description": "there is none"},
+        {"id": "customer_once", "type": "unique", "column": "o_custkey"},
+    ]
+    return v.CheckSuite("orders", rules).evaluate_isolated(q.table(spark, sf_dir, "orders")).drop(*q.RUN_COLUMNS)
+
+
+_URGENT = "o_orderkey % 2 = 0 AND CAST(left(o_orderpriority, 1) AS INTEGER) < 3"
+_WITH_ERROR = o.results("orders", [
+    ("price", "min_max", "o_totalprice", "error", "", o.count("orders"), o.invalid("orders", "o_totalprice >= 1000")),
+    ("urgency", "sql_expression", None, "error", "[CAST_INVALID_INPUT]", o.count("orders"), o.invalid("orders", _URGENT)),
+    ("clerk", "not_null", "o_clerk", "error", "there is none [UNRESOLVED_COLUMN.WITH_SUGGESTION]", o.count("orders"), o.count("orders")),
+    ("customer_once", "unique", "o_custkey", "error", "", o.count("orders"), o.repeated("orders", "o_custkey")),
+])
+
+
 FEATURES: dict[str, tuple[Query, str]] = {
     "job_retry": (job_retry, _job_retry_sql()),
     "failing_rows_suite": (failing_rows_suite, f"SELECT * FROM ({_MARKED}) WHERE failed_rules <> ''"),
@@ -166,6 +217,25 @@ FEATURES: dict[str, tuple[Query, str]] = {
     "failing_rows_foreign_key": (
         failing_rows_foreign_key, "SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     ),
+    "scan_json_corrupt": (
+        scan_json_corrupt,
+        o.results("documents", [
+            ("line", "readable", None, "error", "", o.count("documents"), o.count("documents", "doc_id % 10 IN (3, 7)")),
+            ("length", "sql_expression", None, "error", "", o.count("documents"),
+             o.count("documents", "doc_id % 10 IN (3, 7) OR n_chars >= 5000")),
+        ]),
+    ),
+    "scan_csv_corrupt": (
+        scan_csv_corrupt,
+        o.results("customer", [
+            ("line", "readable", "bad", "error", "", o.count("customer"), o.count("customer", "c_custkey % 10 IN (3, 7)")),
+            ("balance", "not_null", "c_acctbal", "error", "", o.count("customer"), o.count("customer", "c_custkey % 10 IN (3, 7)")),
+        ]),
+    ),
+    "suite_with_error": (
+        suite_with_error,
+        f"SELECT * REPLACE (CASE WHEN rule_id IN ('urgency', 'clerk') THEN 'ERROR' ELSE status END AS status) FROM ({_WITH_ERROR})",
+    ),
     "split_rows": (split_rows, f"SELECT * REPLACE (nullif(failed_rules, '') AS failed_rules) FROM ({_MARKED})"),
 }
 

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veritable.sources.tables import UNREADABLE
 from veritable.rules import CUSTOM_SQL, DATASET_LEVEL, FOREIGN_KEY, UNIQUE, Rule
 
 Builder = Callable[[Rule], Column]
@@ -82,4 +83,6 @@ register_row_check(
     lambda rule: F.col(rule.column).rlike(rule.params["pattern"]),
     ("column", "pattern"),
 )
+# The reader tells in this column what it could not read; see read_table.
+register_row_check("readable", lambda rule: F.col(rule.column or UNREADABLE).isNull())
 register_row_check("sql_expression", lambda rule: F.expr(rule.params["expression"]), ("expression",))

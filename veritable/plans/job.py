@@ -13,7 +13,7 @@ from veritable.plans.commits import commit_run
 from veritable.plans.history import stored_results
 from veritable.plans.suite import CheckSuite
 from veritable.rules import Rule
-from veritable.sources.tables import check_format, read_table, write_table
+from veritable.sources.tables import UNREADABLE, check_format, read_table, write_table
 
 # Defaults of the source and destination settings.
 SOURCE_FORMAT = "csv"
@@ -33,7 +33,8 @@ def run_job(
 ) -> DataFrame:
     """Evaluate ``rules`` on ``source``, store the results, return this run's.
 
-    ``source`` takes ``path``, ``format`` and optionally ``schema``;
+    ``source`` takes ``path``, ``format`` and optionally ``schema``, and ``unreadable``,
+    the column for lines that could not be read (named by a ``readable`` rule otherwise);
     ``destination`` takes ``path``, ``format``, ``write_mode`` and
     ``partition_by``. Results are stored whether or not rules fail. What is
     returned is the stored run, so looking at it again rescans a few rows and
@@ -48,7 +49,11 @@ def run_job(
     fmt = check_format(destination.get("format", DESTINATION_FORMAT))
 
     source_fmt = check_format(source.get("format", SOURCE_FORMAT))
-    data = read_table(spark, source["path"], source_fmt, source.get("schema"))
+    asked = [rule.column or UNREADABLE for rule in suite.rules if rule.type == "readable"]
+    unreadable = source.get("unreadable", asked[0] if asked else None)
+    data = read_table(spark, source["path"], source_fmt, source.get("schema"), unreadable)
+    if unreadable is not None and source_fmt == "parquet":
+        data = data.withColumn(unreadable, F.lit(None).cast("string"))  # unreadable files stop the job
     # Text has to be parsed whole by every scan, so the unique rules share one.
     results = suite.evaluate(data, shared_scan=source_fmt != "parquet")
     partition_by = destination.get("partition_by", PARTITION_BY) or ()

@@ -32,6 +32,9 @@ RESULT_SCHEMA = T.StructType(
     ]
 )
 
+#: The status of a rule that raised, where rules are isolated.
+ERROR = "ERROR"
+
 _RULE_COLUMNS = ("rule_id", "rule_type", "column_name", "severity", "description", "failed_records")
 
 

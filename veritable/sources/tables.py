@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The formats accepted by sources and sinks, and the options
 # each of them is used with.
@@ -21,6 +22,10 @@ UNTRIMMED = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "fa
 WRITE_OPTIONS = {"csv": {"header": "true", **UNTRIMMED, **TIMESTAMPS}, "json": TIMESTAMPS, "parquet": {}}
 
 
+#: The column that holds lines which could not be read, where one is asked for.
+UNREADABLE = "__unreadable"
+
+
 def check_format(fmt: str) -> str:
     name = fmt.lower()
     if name not in FORMATS:
@@ -33,15 +38,22 @@ def read_table(
     path: str,
     fmt: str = "csv",
     schema: StructType | str | None = None,
+    unreadable: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Scan a file or directory.
 
     Without a schema, CSV and JSON types are inferred, which reads the source
     once more; pass one for anything large.
+
+    ``unreadable`` names a further column, for CSV and JSON: the text of a line that
+    does not parse, or does not fit the schema, and NULL for all others. Such a line is
+    a row whose other columns hold what could be read of it.
     """
     fmt = check_format(fmt)
-    reader = spark.read.format(fmt).options(**READ_OPTIONS[fmt], **options)
+    if unreadable is not None and fmt != "parquet":
+        return _with_unreadable(spark, path, fmt, schema, unreadable, options)
+    reader = spark.read.format(fmt).options(**{**READ_OPTIONS[fmt], **options})
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt == "csv":
@@ -49,6 +61,24 @@ def read_table(
     return reader.load(path)
 
 
+def _with_unreadable(
+    spark: SparkSession, path: str, fmt: str, schema: StructType | str | None, name: str, options: dict[str, str]
+) -> DataFrame:
+    if schema is None:
+        schema = read_table(spark, path, fmt, columnNameOfCorruptRecord=name, **options).schema
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    fields = [field for field in schema.fields if field.name != name]
+    reader = spark.read.format(fmt).options(**{**READ_OPTIONS[fmt], **options})
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=name)
+    df = reader.schema(StructType([*fields, StructField(name, StringType())])).load(path)
+    # Only columns that are asked for are parsed, and a line is found bad only by what is
+    # parsed. No text repeated any number of times is no text, but needs all columns.
+    columns = [f"`{field.name.replace('`', '``')}`" for field in fields]
+    nothing = f"repeat('', CAST(xxhash64({', '.join(columns)}) % 8 AS INT))"
+    return df.withColumn(name, F.expr(f"concat(`{name}`, {nothing})"))
+
+
 def write_table(
     df: DataFrame,
     path: str,
