@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 import veritable as v
-from tests.helpers import plan
+from tests.helpers import plan, scan_count
 
 DAY1 = dt.datetime(2024, 1, 1, 8, 0, 0, 250123, tzinfo=dt.timezone.utc)
 DAY2 = DAY1 + dt.timedelta(days=1)
@@ -121,3 +121,10 @@ def test_one_dataset_is_filtered_at_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     store(spark, path)
     assert "EqualTo(dataset,others)" in plan(v.read_history(spark, path, dataset="others"))
+
+
+def test_latest_run_finds_its_row_in_one_pass(spark, history, tmp_path):
+    v.write_table(history, str(tmp_path / "stored"), partition_by=["run_date"])
+    latest = v.latest_run(v.read_history(spark, str(tmp_path / "stored")))
+    assert keys(latest) == [ORDER[0], ORDER[2]]
+    assert scan_count(latest) == 2 and "PartitionFilters: [isnotnull(run_date" in plan(latest)

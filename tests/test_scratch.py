@@ -3,6 +3,8 @@
 from pathlib import Path
 from types import SimpleNamespace
 
+import pytest
+
 from veritable.sources.scratch import scratch_path, stored
 
 
@@ -26,3 +28,12 @@ def test_stored_tables_are_written_once_and_read_back(spark):
     kept = stored(spark.range(5), "five")
     assert kept.count() == 5
     assert [p.name[:5] for p in shared.glob("five-*")] == ["five-"]
+
+
+def test_a_folder_of_the_drivers_machine_is_refused_on_a_cluster():
+    warehouse = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    for master in ("yarn", "spark://host:7077", "k8s://https://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(session(warehouse | {"spark.master": master}), "t")
+        assert scratch_path(session(warehouse | {"spark.master": master, "spark.checkpoint.dir": "file:/nfs"}), "t").startswith("file:/nfs/t-")
+    assert scratch_path(session(warehouse | {"spark.master": "local[8]"}), "t").startswith("file:/home/me")

@@ -211,3 +211,16 @@ def test_failing_rows_by_rule_id(dirty):
         assert suite.failing_rows(dirty, rule_id).count() == row["failed_records"]
     with pytest.raises(ValueError, match="No rule 'nope'"):
         suite.failing_rows(dirty, "nope")
+
+
+@pytest.mark.parametrize("name", ["a AS (SELECT 1), b", "two words", "", "a;b", "a.b", "`a", "select 1) --", "1"])
+def test_names_that_are_no_identifier_are_refused(spark, name):
+    with pytest.raises(Exception, match="name|PARSE"):
+        v.evaluate(spark.range(1), name, [{"id": "r", "type": "not_null", "column": "id"}]).collect()
+
+
+@pytest.mark.parametrize("name", ["orders", "`two words`", "`Été_2`", "_a2", "`a``b`"])
+def test_names_that_are(spark, name):
+    rule = {"id": "q", "type": "custom_sql", "query": f"SELECT * FROM {name}"}
+    low = {"id": "low", "type": "sql_expression", "expression": "id < 5"}
+    assert [r["failed_records"] for r in v.evaluate(spark.range(1), name, [low, rule]).collect()] == [0, 1]

@@ -26,8 +26,7 @@ def dataset_view(spark: SparkSession, name: str, df: DataFrame, rules: Iterable[
     Only a subquery inside such a rule's SQL needs that, so no view is made unless
     the name occurs in one. A view of the caller with that name is put back.
     """
-    # Refuses what could not be the name of a view.
-    spark.sql(f"WITH {name} AS (SELECT 1) SELECT 1")
+    check_name(spark, name)
     if not any(looks_up(rule, name) for rule in rules if not rule.dataset_level):
         yield
         return
@@ -46,6 +45,16 @@ def dataset_view(spark: SparkSession, name: str, df: DataFrame, rules: Iterable[
                 before.createOrReplaceTempView(name)
 
 
+_NAME = re.compile(r"`(?:[^`]|``)+`|\w+")
+
+
+def check_name(spark: SparkSession, name: str) -> None:
+    """Refuse what could not be the name of a view: one identifier, quoted or not, that is no keyword."""
+    if not _NAME.fullmatch(name):
+        raise ValueError(f"Not a name for a dataset: {name!r}")
+    spark.sql(f"WITH {name} AS (SELECT 1) SELECT 1")
+
+
 def looks_up(rule: Rule, name: str) -> bool:
     """Whether a rule's SQL may look the dataset up by its name."""
     return any(isinstance(text, str) and _plain(name) in text.lower() for text in rule.params.values())

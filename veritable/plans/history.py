@@ -47,12 +47,14 @@ def top_history(history: DataFrame, n: int = DEFAULT_TOP) -> DataFrame:
 def latest_run(history: DataFrame) -> DataFrame:
     """The results of the newest run; no rows when the history is empty.
 
-    Its date is asked for as well, so that a stored history is read in the newest
-    partition only; a run has one timestamp, hence one date.
+    The newest row is found by an aggregate, one row a task. Its date is asked for as
+    well, so that a stored history is read in the newest partition only; a run has one
+    timestamp, hence one date.
     """
-    newest = top_history(history, 1)
-    same_date = F.col("run_date") == newest.select("run_date").scalar()
-    return history.filter(same_date & (F.col("run_id") == newest.select("run_id").scalar()))
+    first = F.struct((-F.unix_micros("run_timestamp")).alias("age"), "status", "rule_id", "run_id", "run_date")
+    newest = history.agg(F.min(first).alias("newest")).select(F.struct("newest.run_id", "newest.run_date").alias("run")).scalar()
+    # Both conditions name the same subquery, which is run once.
+    return history.filter((F.col("run_date") == newest["run_date"]) & (F.col("run_id") == newest["run_id"]))
 
 
 def run_summary(results: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,10 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``, else under the warehouse folder.
 
-    Both are shared on a cluster; a machine's temporary folder is never taken.
-    The caller, or the cluster's own cleaning of that folder, removes the tables.
+    The first is taken to be shared, whatever its scheme: that is what it is for. By
+    default the warehouse is a folder of the driver's machine, so without a local master it is refused
+    unless it lies in a file system of its own. The caller, or the cluster's own
+    cleaning of that folder, removes the tables.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.conf.get("spark.master", "local").startswith("local")
+        if not local and urlparse(base).scheme in ("", "file"):
+            raise ValueError(f"Set spark.checkpoint.dir to a folder that all executors share; {base!r} is the driver's own")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
