@@ -1,0 +1,165 @@
+"""Leaks against comparing every window of every document with every item."""
+
+import random
+import subprocess
+import sys
+from collections import Counter, defaultdict
+from math import log2
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.brute import words
+from veritable.llm.decontaminate import _block, _runs, _windows, find_leaks, radius_for, telling
+from veritable.llm.words import U64, words_of
+
+DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
+
+
+def prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(n))
+
+
+def shingles(found, width=5):
+    width = min(width, len(found))
+    return [(width, *found[i : i + width]) for i in range(len(found) - width + 1)] if found else []
+
+
+def best_windows(docs, items):
+    """(doc, item) -> similarity of the best window, comparing all of them."""
+    lists = {i: shingles(words(t)) for i, t in items}
+    spread = Counter(s for own in lists.values() for s in set(own))
+    weight = {s: 1 / log2(1 + n) for s, n in spread.items()}
+    best = defaultdict(float)
+    for d, text in docs:
+        own = words(text)
+        for i, t in items:
+            size, width = len(words(t)), min(5, len(words(t)))
+            if not size or len(own) < width:
+                continue
+            need = Counter(lists[i])
+            whole = sum(weight[s] * n for s, n in need.items())
+            for start in range(max(1, len(own) - size + 1)):
+                part = own[start : start + size]
+                held = Counter((width, *part[k : k + width]) for k in range(len(part) - width + 1))
+                share = sum(weight[s] * min(n, held[s]) for s, n in need.items()) / whole
+                best[d, i] = max(best[d, i], share)
+    return {pair: share for pair, share in best.items() if share >= 0.8}
+
+
+def found(spark, docs, items, **options):
+    made = find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), **options)
+    return {(r["doc_id"], r["item_id"]): r["similarity"] for r in made.collect()}
+
+
+def edited(text, seed, changes):
+    own, rng = text.split(), random.Random(seed)
+    for at in rng.sample(range(len(own)), changes):
+        own[at] = f"other{rng.randint(0, 999)}"
+    return " ".join(own)
+
+
+@pytest.mark.parametrize("prefix", [0, 25])
+@pytest.mark.parametrize("changes", [0, 1, 2])
+def test_recall_against_brute_force(spark, prefix, changes):
+    """Items of 40 own words, with or without a shared beginning; documents hold the own words, edited."""
+    shared = prose(1, prefix)
+    own = [prose(1000 + n, 40 + n % 30) for n in range(250)]
+    items = [(n, f"{shared} {text}".strip()) for n, text in enumerate(own)]
+    docs = [(n, f"{prose(5000 + n, 30)} {edited(text, n, changes)} {prose(9000 + n, 30)}") for n, text in enumerate(own)]
+    got = found(spark, docs, items)
+    expected = {(n, n) for n in range(250) if similarity_of(docs[n][1], items, n) >= 0.8}
+    assert set(got) == {pair for pair in got if pair[0] == pair[1]}
+    assert len(expected) >= 10 and len(expected & set(got)) >= 0.99 * len(expected)
+    assert all(share >= 0.8 for share in got.values())
+
+
+def similarity_of(text, items, n):
+    lists = [shingles(words(t)) for _, t in items]
+    spread = Counter(s for own in lists for s in set(own))
+    need, size = Counter(lists[n]), len(words(items[n][1]))
+    own = words(text)
+    whole = sum(k / log2(1 + spread[s]) for s, k in need.items())
+    best = 0.0
+    for start in range(max(1, len(own) - size + 1)):
+        held = Counter(shingles(own[start : start + size]))
+        best = max(best, sum(min(k, held[s]) / log2(1 + spread[s]) for s, k in need.items()) / whole)
+    return best
+
+
+def test_equals_brute_force_on_a_small_table(spark):
+    items = [(1, prose(1, 30)), (2, prose(2, 3)), (3, None), (4, ""), (5, prose(1, 30) + " and more of it"), (6, "one"), (7, "a b " * 20)]
+    texts = [prose(1, 30), None, "", f"x {prose(1, 30).upper()} y", prose(2, 3), f"{prose(2, 2)} z", "one", "ones", "b a " * 30, prose(1, 12), "a b " * 9]
+    docs = list(enumerate(texts))
+    got, wanted = found(spark, docs, items), best_windows(docs, items)
+    assert set(got) == set(wanted)
+    assert all(abs(got[pair] - wanted[pair]) < 1e-9 for pair in wanted)
+
+
+def test_awkward_tables(spark):
+    items = [(1, prose(1, 30)), (1, prose(2, 30)), (None, prose(3, 30)), (2, prose(4, 30)), (2, prose(4, 30))]
+    docs = [(1, prose(1, 30)), (1, prose(2, 30)), (None, prose(3, 30)), (5, f"{prose(4, 30)} {prose(9, 9)} {prose(4, 30)}")]
+    d, i = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    for name in ("item", "block", "start", "fingerprint", "similarity", "shingles"):
+        d, i = d.withColumn(name, F.lit("x")), i.withColumn(name, F.lit("x"))
+    rows = find_leaks(d, i).collect()
+    assert {(r["doc_id"], r["item_id"]): r["start_word"] for r in rows} == {(1, 1): 0, (None, None): 0, (5, 2): 0}
+    assert len(rows) == 3
+    assert find_leaks(d, i.limit(0)).collect() == [] == find_leaks(d.limit(0), i).collect()
+
+
+def test_blocks_of_items(spark, monkeypatch):
+    monkeypatch.setattr("veritable.llm.decontaminate.BLOCK_SHINGLES", 100)
+    items = [(n, prose(n, 30)) for n in range(20)]
+    docs = [(n, f"{prose(100 + n, 20)} {prose(n, 30)}") for n in range(20)]
+    assert set(found(spark, docs, items)) == {(n, n) for n in range(20)}
+
+
+def test_telling_shingles_outweigh_what_may_be_missing():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        own = rng.integers(0, 12, rng.integers(1, 30)).astype(U64)
+        weights = rng.random(12)[own.astype(int)]
+        chosen = telling(own, weights, 0.8)
+        assert weights[chosen].sum() > 0.2 * weights.sum() * 0.999999
+        assert (own[chosen][:, None] != own[~chosen]).all()
+
+
+def test_radius():
+    assert radius_for(0.8) == 19 and radius_for(1.0) == 0 and radius_for(0.5) > radius_for(0.8)
+
+
+COMMON = """
+import resource, sys
+from tests.llm.test_decontaminate import memory_case
+memory_case(int(sys.argv[1]))
+print("MB", resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)
+"""
+
+
+def memory_case(n_words, items=1500):
+    """Windows of a long text that says over and over what all items begin with."""
+    phrase = "which of the following is true about"
+    rows = []
+    for n in range(items):
+        own, _ = _runs(words_of(pa.array([f"{phrase} {prose(n, 20 + n % 30)}"])), 5)
+        weights = np.where(np.arange(len(own)) < 3, 1 / log2(1 + items), 1.0)
+        rows.append((len(own) + 4, 5, own.tobytes(), weights.tobytes(), telling(own, weights, 0.8).tobytes()))
+    columns = ("n_words", "width", "shingles", "weights", "telling")
+    block = _block(pa.table({name: list(x) for name, x in zip(columns, zip(*rows))}))
+    text = " ".join([phrase] * (n_words // 7))
+    batch = pa.record_batch({"doc_id": [1], "text": [f"{text} {prose(7, 27)}"]})
+    return sum(b.num_rows for b in _windows([batch], 0, block))
+
+
+def test_memory_does_not_grow_with_common_phrases():
+    root = str(Path(__file__).resolve().parents[2])
+    peaks = []
+    for n_words in (2000, 20_000):
+        done = subprocess.run([sys.executable, "-c", COMMON, str(n_words)], cwd=root, capture_output=True, text=True, timeout=200)
+        peaks.append(float(done.stdout.split("MB")[1]) if "MB" in done.stdout else done.stderr[-1500:])
+    assert all(isinstance(p, float) and p < 500 for p in peaks), peaks
