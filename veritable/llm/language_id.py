@@ -5,7 +5,8 @@ bounded), hashed into ``FEATURES`` buckets; a language is the smoothed logarithm
 its bucket frequencies, and the scripts its training words are written in. It is
 fitted on a bounded sample: ``SAMPLE_ROWS`` documents of each language at most, drawn
 by the hash of their id. The model has ``FEATURES`` numbers per language,
-however large the corpus is; only its counts come to the driver.
+however large the corpus is; only its counts come to the driver: ``FEATURES`` numbers
+and a few for each language, 0.5 MB a language as learned.
 
 Prediction. The script of a word narrows its candidates to the languages written
 in it. Viterbi over the words, with ``SWITCH_PENALTY`` for each change of language,
@@ -134,10 +135,16 @@ def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     counts = named.groupBy(F.col("lang").alias("counted")).agg((3 * rows / F.count(F.lit(1))).alias("share"))
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
     thinned = named.join(F.broadcast(counts), F.expr("lang <=> counted")).where(drawn < F.col("share"))
-    ranked = thinned.selectExpr(
-        "lang", "text", "row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id, 1), doc_id, text) AS position"
-    )
-    return ranked.where(F.col("position") <= rows).select("lang", "text")
+    # Ids and digests are ranked; texts are fetched for what is drawn, and never sorted.
+    draw = thinned.select("lang", "doc_id", F.xxhash64("text").alias("mark"), "text")
+    ranked = draw.drop("text").selectExpr(
+        "lang AS l", "doc_id AS d", "mark AS m",
+        "row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id, 1), doc_id, mark) AS position",
+    )
+    # Equal rows are drawn together, each as often as it was ranked.
+    drawn_rows = ranked.where(F.col("position") <= rows).groupBy("l", "d", "m").agg(F.count(F.lit(1)).alias("times"))
+    again = draw.dropDuplicates(["lang", "doc_id", "mark"]).join(drawn_rows, F.expr("lang <=> l AND doc_id <=> d AND mark <=> m"))
+    return again.select("lang", "text", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")).select("lang", "text")
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
@@ -184,13 +191,14 @@ def label_words(scores: np.ndarray, first: np.ndarray, penalty: float = SWITCH_P
     order = np.argsort(-counts, kind="stable")
     begins, counts = first[:-1][order], counts[order]
     steps = int(counts[0]) if len(counts) else 0
-    labels = np.zeros(len(scores), np.int8)
+    number = np.min_scalar_type(max(scores.shape[1] - 1, 0)) if scores.ndim > 1 else np.uint8
+    labels = np.zeros(len(scores), number)
     if not steps:
         return labels
     # How many texts have more than t words.
     active = np.searchsorted(-counts, -np.arange(steps), "left")
     stays = np.zeros(scores.shape, bool)
-    source = np.zeros(len(scores), np.int8)
+    source = np.zeros(len(scores), number)
     best = scores[begins[: active[0]]].copy()
     for t in range(1, steps):
         n = active[t]

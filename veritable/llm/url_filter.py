@@ -2,7 +2,7 @@
 
 Every URL is expanded into (host suffix, path prefix) expressions, one for each
 trailing run of host labels and each length a rule path has. Expressions and
-rules are equi-joined on the first bytes of their SHA-256; the full digests then
+rules are equi-joined on the first bytes of their SHA-256 alone; the full digests then
 decide, and of the rules that remain the longest one (host and path together,
 then host, then block before allow) gives the verdict.
 
@@ -19,14 +19,16 @@ count once. Rules with a null or empty host fit nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_PREFIX_CHARS = 8  # four bytes, in hexadecimal
+PREFIX_CHARS = 8  # four bytes, in hexadecimal
 _SEPARATOR = "\n"  # never part of a rule's host
+_JUDGED = f"judged-{uuid.uuid4().hex}".replace("-", "_")
 
 
 def host_of(url: Column) -> Column:
@@ -43,7 +45,7 @@ def _expression(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, F.lit(_SEPARATOR), path), 256)
 
 
-def rule_table(rules: DataFrame) -> DataFrame:
+def rule_table(rules: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """Rules (host, path, action) with digests, one per expression; block wins over allow."""
     return (
         rules.where("host IS NOT NULL AND host <> '' AND path IS NOT NULL")
@@ -57,12 +59,12 @@ def rule_table(rules: DataFrame) -> DataFrame:
             F.length("path").alias("path_length"),
             _expression(F.col("host"), F.col("path")).alias("rule_digest"),
         )
-        .withColumn("rule_prefix", F.substring("rule_digest", 1, _PREFIX_CHARS))
+        .withColumn("rule_prefix", F.substring("rule_digest", 1, prefix_chars))
     )
 
 
-def _expressions(urls: DataFrame, lengths: Sequence[int]) -> DataFrame:
-    """One row per expression of every (host, path)."""
+def _expressions(urls: DataFrame, lengths: Sequence[int], prefix_chars: int) -> DataFrame:
+    """One row per expression of every (host, path), dealt by URL before it is expanded."""
     labels = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
@@ -71,41 +73,49 @@ def _expressions(urls: DataFrame, lengths: Sequence[int]) -> DataFrame:
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("path"))
     return (
         urls.where("host <> ''")
+        # In a fixed number of parts: by their size before it, Spark would expand many in one task.
+        .repartition(int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions")), "host", "path")
         .withColumn("suffix", F.explode(suffixes))
         .withColumn("path_length", F.explode(fitting))
         .withColumn("digest", _expression(F.col("suffix"), F.expr("left(path, path_length)")))
-        .select("host", "path", "digest", F.substring("digest", 1, _PREFIX_CHARS).alias("prefix"))
+        .select("host", "path", "digest", F.substring("digest", 1, prefix_chars).alias("prefix"))
     )
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
+def confirm(met: DataFrame) -> DataFrame:
+    """Of what met by its prefix, the expressions whose full digest is the rule's.
+
+    Digests are equally long, so one that starts with the other is the same. As an
+    equality of two columns this would become a second key of the join.
+    """
+    return met.where(F.col("digest").startswith(F.col("rule_digest")))
+
+
+def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """``pages`` (any columns, ``url`` among them) with host, path, rule and verdict.
 
     ``rules`` has host, path and action (``allow`` or ``block``); a URL that fits
-    none gets ``default`` and a null rule. Columns of these names are replaced.
+    none gets ``default`` and a null rule. Columns of these names are replaced; other
+    columns are kept, whatever their names. ``prefix_chars`` is the number of hexadecimal
+    digits that are joined on; it changes nothing in the result.
     """
-    known = rule_table(rules)
+    known = rule_table(rules, prefix_chars)
     lengths = sorted(row[0] for row in known.select("path_length").distinct().collect())
     parsed = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     if not lengths:
         return parsed.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
     urls = parsed.select("host", "path").distinct()
-    confirmed = _expressions(urls, lengths).join(
-        known, (F.col("prefix") == F.col("rule_prefix")) & (F.col("digest") == F.col("rule_digest"))
-    )
+    confirmed = confirm(_expressions(urls, lengths, prefix_chars).join(known, F.col("prefix") == F.col("rule_prefix")))
     rank = F.struct(
         (F.col("host_length") + F.col("path_length")).alias("length"), "host_length", "action", "rule"
     )
-    judged = confirmed.groupBy("host", "path").agg(F.max(rank).alias("best")).select(
-        F.col("host").alias("judged_host"),
-        F.col("path").alias("judged_path"),
-        F.col("best.rule").alias("judged_rule"),
-        F.col("best.action").alias("judged_action"),
-    )
-    on = F.col("host").eqNullSafe(F.col("judged_host")) & F.col("path").eqNullSafe(F.col("judged_path"))
+    judged = confirmed.groupBy("host", "path").agg(F.max(rank).alias("best"))
+    # One column of a name that no table has; what is inside cannot clash.
+    judged = judged.select(F.struct("host", "path", "best.rule", "best.action").alias(_JUDGED))
+    on = F.col("host").eqNullSafe(F.col(f"{_JUDGED}.host")) & F.col("path").eqNullSafe(F.col(f"{_JUDGED}.path"))
     return (
         parsed.join(judged, on, "left")
-        .withColumn("rule", F.col("judged_rule"))
-        .withColumn("verdict", F.coalesce("judged_action", F.lit(default)))
-        .drop("judged_host", "judged_path", "judged_rule", "judged_action")
+        .withColumn("rule", F.col(f"{_JUDGED}.rule"))
+        .withColumn("verdict", F.coalesce(f"{_JUDGED}.action", F.lit(default)))
+        .drop(_JUDGED)
     )

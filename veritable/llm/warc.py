@@ -5,7 +5,10 @@ response records and makes two records of each that keep a link to it:
 
 * ``metadata``: warcinfo-fields with the source's target, date, digests, HTTP status
   and headers, all of them in their order as ``source-http-header``;
-* ``conversion``: the text of the payload as ``text/plain``.
+* ``conversion``: the text of the payload as ``text/plain``. Transfer and content codings
+  (chunked, gzip, deflate) are undone first; a payload that breaks off is read as far as
+  it goes, one that is stored without its coding as it is. A payload whose type is not
+  text, or with another coding, has no conversion record, which its metadata says.
 
 Both have ``WARC-Refers-To`` with the source's record id, its target URI and date,
 digests of their own block, and ids derived from the source's, so that a lost task
@@ -15,7 +18,8 @@ shuffled, and records are as large as their page.
 Edge cases: a null page is an empty payload, a null URL an empty target. Records of
 another type, and rows that are no WARC record, have no derivatives. A header that
 is missing is missing in the derivative. Payloads that are not UTF-8 are read with
-U+FFFD for what cannot be decoded. Repeated rows have equal records.
+U+FFFD for what cannot be decoded; a missing type counts as HTML. Lines of a head may
+end in LF alone. Repeated rows have equal records, an empty table has none.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,11 +43,14 @@ VERSION = "WARC/1.0"
 CRLF = b"\r\n"
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:veritable:warc")
+# Media types that hold text without being called text.
+_TEXTUAL = ("application/json", "application/xml", "application/xhtml+xml", "application/javascript", "application/ld+json", "application/rss+xml", "application/atom+xml")
 _HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|\Z)")
 _BLOCK = re.compile(
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html"
     r"|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 )
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>?")
 
 
@@ -67,8 +75,9 @@ def _single_line(value: str) -> str:
 
 def head_fields(data: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """First line, all fields in their order, and what follows the empty line."""
-    head, _, rest = data.partition(CRLF + CRLF)
-    first, *lines = head.decode(errors="replace").split("\r\n")
+    ended = _HEAD_END.search(data)
+    head, rest = (data[: ended.start()], data[ended.end() :]) if ended else (data, b"")
+    first, *lines = re.split("\r?\n", head.decode(errors="replace"))
     fields: list[tuple[str, str]] = []
     for line in lines:
         if line[:1] in (" ", "\t") and fields:
@@ -118,6 +127,64 @@ def plain_text(payload: bytes, content_type: str = "text/html") -> str:
     return "\n".join(line for line in lines if line)
 
 
+def unchunked(payload: bytes) -> bytes:
+    """The data of a chunked payload, as far as it goes; one that is not chunked (any more) stays as it is."""
+    parts, at = [], 0
+    while True:
+        end = payload.find(b"\n", at)
+        size = re.fullmatch(rb"([0-9a-fA-F]+)[ \t]*(?:;.*)?\r?", payload[at:end]) if end >= 0 else None
+        if size is None:
+            return b"".join(parts) if parts else payload
+        length = int(size[1], 16)
+        if not length:
+            return b"".join(parts)
+        parts.append(payload[end + 1 : end + 1 + length])
+        at = end + 1 + length
+        at += 2 if payload[at : at + 2] == CRLF else payload[at : at + 1] == b"\n"
+
+
+def inflated(payload: bytes, coding: str) -> bytes | None:
+    """The data of a gzip or deflate payload, as far as it goes; None for a coding that is not known."""
+    if coding in ("", "identity"):
+        return payload
+    if coding not in ("gzip", "x-gzip", "deflate"):
+        return None
+    # Deflate is sent with and without its header; data may be stored inflated already.
+    for bits in (47, -15) if coding == "deflate" else (47,):
+        reader, made, rest = zlib.decompressobj(bits), b"", payload
+        try:
+            made = reader.decompress(rest)
+            while reader.eof and reader.unused_data[:2] == b"\x1f\x8b":  # members follow each other
+                rest, reader = reader.unused_data, zlib.decompressobj(bits)
+                made += reader.decompress(rest)
+            return made + reader.flush()
+        except zlib.error:
+            if made:
+                return made
+    return payload
+
+
+def content(payload: bytes, fields: list[tuple[str, str]]) -> bytes | None:
+    """The payload without its transfer and content codings, or None if one is not known."""
+
+    def codings(name: str) -> list[str]:
+        listed = ",".join(value for key, value in fields if key.lower() == name)
+        return [coding.strip().lower() for coding in listed.split(",") if coding.strip()]
+
+    # Each list is in the order applied, transfer codings after content codings.
+    for coding in reversed(codings("content-encoding") + codings("transfer-encoding")):
+        decoded = unchunked(payload) if coding == "chunked" else inflated(payload, coding)
+        if decoded is None:
+            return None
+        payload = decoded
+    return payload
+
+
+def is_text(content_type: str) -> bool:
+    media = content_type.partition(";")[0].strip().lower()
+    return media.startswith("text/") or media in _TEXTUAL or media.endswith(("+json", "+xml"))
+
+
 def derive(source: bytes | None) -> list[dict]:
     """The metadata and the conversion record of one response record."""
     version, fields, rest = parse_head(source or b"")
@@ -135,7 +202,8 @@ def derive(source: bytes | None) -> list[dict]:
         "WARC-Refers-To-Target-URI": fields.get("warc-target-uri"),
         "WARC-Refers-To-Date": fields.get("warc-date"),
     }
-    text = plain_text(payload, http.get("content-type", "text/html")).encode()
+    media = http.get("content-type") or "text/html"
+    body = content(payload, sent) if is_text(media) else None
     kept = {
         "source-status": status,
         "source-content-type": http.get("content-type"),
@@ -144,11 +212,15 @@ def derive(source: bytes | None) -> list[dict]:
         "source-block-digest": fields.get("warc-block-digest") or digest(block),
         "source-last-modified": http.get("last-modified"),
         "source-language": http.get("content-language"),
+        "conversion": None if body is not None else "none: the payload is not text" if not is_text(media) else "none: unknown coding",
     }
     named = [(k, v) for k, v in kept.items() if v is not None] + [("source-http-header", f"{k}: {v}") for k, v in sent]
     about = CRLF.join(f"{k}: {_single_line(v)}".encode() for k, v in named) + CRLF
     made = []
-    for kind, media, body in (("metadata", "application/warc-fields", about), ("conversion", "text/plain", text)):
+    wanted = [("metadata", "application/warc-fields", about)]
+    if body is not None:
+        wanted.append(("conversion", "text/plain", plain_text(body, media).encode()))
+    for kind, media, body in wanted:
         own = {
             "WARC-Type": kind,
             "WARC-Record-ID": record_id(kind, refers or digest(block)),
