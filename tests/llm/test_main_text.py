@@ -1,0 +1,103 @@
+"""Main text: names, pages without an article, long pages, whole tables."""
+
+import re
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from veritable.llm import main_text as module
+from veritable.llm.main_text import about, extract_main_text, main_text
+
+LONG = " ".join(["many words of running text without any tag"] * 12)
+BODY = f"<h1>T</h1><p>Intro.</p><p>{LONG}</p><p>Short.</p><p>{LONG} end</p>"
+TEXT = f"T\n\nIntro.\n\n{LONG}\n\nShort.\n\n{LONG} end"
+MENU = "".join(f'<div><a href="/{i}">Entry {i}</a></div>' for i in range(12))
+
+
+@pytest.mark.parametrize(
+    ("token", "thing"),
+    [
+        ("user-comments", "comments"), ("comments-section", "comments"), ("cookie-banner", "banner"), ("site-footer", "footer"),
+        ("userComments", "comments"), ("newsletter_box", "newsletter"), ("page-header", "header"), ("ad", "ad"), ("AD-box", "ad"),
+        ("post-header", ""), ("share-price", ""), ("comment-free", ""), ("no-sidebar", ""), ("with-sidebar", ""), ("advantage", ""),
+        ("lead-in", ""), ("content", ""), ("adBanner", "banner"), ("", ""), ("---", ""),
+    ],
+)
+def test_names(token, thing):
+    assert about(token) == thing
+
+
+@pytest.mark.parametrize("name", ["user-comments", "comments-section", "cookie-banner", "site-footer", "relatedPosts related", "social-share"])
+@pytest.mark.parametrize("place", ["before", "inside", "after"])
+def test_what_compound_names_name_is_left_out(name, place):
+    other = f'<div class="{name}"><p>Reader writes a line. And another one, of several words.</p></div>'
+    page = {"before": f"{other}<article>{BODY}</article>", "inside": f"<article>{BODY}{other}</article>", "after": f"<article>{BODY}</article>{other}"}
+    assert main_text(f"<body>{page[place]}</body>") == TEXT
+
+
+@pytest.mark.parametrize("name", ["post-header", "comment-free", "has-sidebar", "share-price", "section"])
+def test_what_names_only_mention_is_kept(name):
+    assert main_text(f'<body><article><div class="{name}">{BODY}</div></article></body>') == TEXT
+    assert main_text(f'<body><article>{BODY}<p class="{name}">Last.</p></article></body>') == f"{TEXT}\n\nLast."
+
+
+@pytest.mark.parametrize("closing", [True, False])
+def test_without_an_article_the_ratios_find_the_text(monkeypatch, closing):
+    page = f"<body>{MENU}<h1>T</h1><p>{LONG}<p>Short.<p>{LONG} end{MENU}"
+    page = page.replace("<p>Short.", "</p><p>Short.</p>") if closing else page
+    assert main_text(page) == f"T\n\n{LONG}\n\nShort.\n\n{LONG} end"
+    # Text between many tags, outside links: only the clusters tell it from the rest.
+    tags = "".join(f"<div><b>z{i}</b> <i>y</i></div>" for i in range(20))
+    page = f"<body>{tags}<p>{LONG}<p>{LONG} end{tags}"
+    assert "z3 y" not in main_text(page) and f"{LONG}\n\n{LONG} end" in main_text(page)
+    monkeypatch.setattr(module, "rich_lines", lambda ratios: np.ones(len(ratios), bool))
+    assert "z3 y" in main_text(page)
+
+
+def test_links_are_no_text():
+    many = "".join(f'<p><a href="/{i}">A headline of quite a few words, number {i}, to be clicked</a></p>' for i in range(15))
+    assert main_text(f"<body>{many}<h1>T</h1><p>{LONG}</p><p>{LONG} end</p>{many}") == f"T\n\n{LONG}\n\n{LONG} end"
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<b>x", "<p>", "<h1>x", "<li>x", "<td><p><b>x", "<div>x", "<i><p>", "<article><b>", "<a href=x>y", "</b>", "<ul><li>x", "<head>"])
+def test_a_megabyte_of_unclosed_tags(piece):
+    start = time.process_time()
+    main_text(f"<html><body>{piece * (1_000_000 // len(piece))}")
+    assert time.process_time() - start < 5
+
+
+def test_a_long_article_is_kept_whole():
+    paragraphs = [f"Paragraph {i} {LONG}" for i in range(2000)]
+    assert main_text(f"<article>{''.join(f'<p>{p}' for p in paragraphs)}</article>") == "\n\n".join(paragraphs)
+
+
+def test_nested_lists_and_paragraphs_close_as_browsers_do():
+    page = f"<article><h1>T</h1><p>{LONG}<ul><li>one<ul><li>in<li>ner</ul><li>two</ul><p>a<div>b<p>c</div>d</article>"
+    assert main_text(page) == "\n\n".join(["T", LONG, "one", "in", "ner", "two", "a", "b", "c", "d"])
+
+
+def test_tables(spark):
+    rows = [(1, "u", f"<article>{BODY}</article>"), (1, "u", f"<article>{BODY}</article>"), (2, None, None), (None, "v", ""), (3, "w", "<<<>&#x; &amp")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name in ("text", "n_chars", "body"):
+        pages = pages.withColumn(name, F.lit(7))
+    found = extract_main_text(pages).collect()
+    assert [(r["page_id"], r["url"]) for r in found] == [(r[0], r[1]) for r in rows]
+    assert [r["text"] for r in found[:4]] == [TEXT, TEXT, "", ""]
+    assert all(r["n_chars"] == len(r["text"]) for r in found)
+    assert extract_main_text(pages.limit(0)).collect() == []
+
+
+def test_text_is_that_of_a_plain_reading_of_the_article(spark):
+    """Against the words of the article's markup with all tags taken out."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()}
+    for row in pages.collect():
+        inner = re.search(r"(?s)<article[^>]*>(.*)</article>", row["html"])
+        if inner is None or re.search(r"<(?!/?(p|b|br|i|em|strong|h1|h2|a|ul|ol|li|blockquote|div)\b)", inner[1]) or "class=" in inner[1]:
+            continue
+        words = re.sub(r"<[^>]*>", " ", inner[1]).replace("&amp;", "&").replace("&nbsp;", " ").replace("&lt;", "<").split()
+        if "&" not in " ".join(words):
+            assert found[row["page_id"]].replace(" ", "").replace("\n", "") == "".join(words)
