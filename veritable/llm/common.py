@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -15,6 +16,11 @@ from veritable.sources.tables import read_table
 Batches = Iterable[pa.RecordBatch]
 
 
+def fresh_name(name: str) -> str:
+    """A column name that no table has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", "parquet")
 
@@ -98,16 +104,18 @@ def split_by(rows: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, D
     def few(name: str) -> Column:
         return F.xxhash64(name).bitwiseAND(F.lit((1 << BROADCAST_BITS) - 1))
 
-    known = F.broadcast(ids.select(few(ids.columns[0]).alias("_slot")).distinct())
-    on = few(column) == F.col("_slot")
+    slot = fresh_name("slot")
+    known = F.broadcast(ids.select(few(ids.columns[0]).alias(slot)).distinct())
+    on = few(column) == F.col(slot)
     return rows.join(known, on, "left_semi"), rows.join(known, on, "left_anti")
 
 
 def without(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """``rows`` whose ``column`` is not among ``ids`` (one column)."""
     doubtful, clear = split_by(rows, column, ids)
-    gone = ids.select(F.col(ids.columns[0]).alias("_gone"))
-    return clear.union(doubtful.join(gone, F.col(column).eqNullSafe(F.col("_gone")), "left_anti"))
+    name = fresh_name("gone")
+    gone = ids.select(F.col(ids.columns[0]).alias(name))
+    return clear.union(doubtful.join(gone, F.col(column).eqNullSafe(F.col(name)), "left_anti"))
 
 
 def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:

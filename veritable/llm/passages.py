@@ -6,6 +6,10 @@
 2. Join. Every occurrence of a seed is matched with its first one (smallest doc_id,
    then position): as many matches as occurrences, however often a seed occurs. The
    first ones are aggregated map-side and joined back, so a hot seed can be split.
+   Where neighbouring seeds of a document lead to different documents, its passage may
+   stand whole in a further one, whose own seeds lead astray alike. Such a seam is
+   looked up by the ordered pair of seeds around it, up to ``_SEAM`` apart, and matched
+   with the first document that has the same seam: again one match per occurrence.
 3. Chains. The matches of two documents, merged along diagonals, are chained in
    ascending order of both positions. A gap costs ``_GAP_COST`` a word on either
    side; a Fenwick tree over the second position holds the best chain that can be
@@ -20,13 +24,16 @@
    at most ``_WINDOW - _SEED`` words apart, and up to ``_WINDOW - 1`` words around
    them. Windows of ``least_words`` there that no passage holds yet are looked up, by
    hash, among all windows there: each is matched with the first document that has it.
-6. Passages of one document that overlap, whatever they were matched with, are one;
-   it is reported from ``least_words`` words on. The document with the smallest id
-   keeps its passage and is not reported.
+6. An alignment counts if it has ``least_words`` words by itself. Those of one document
+   that overlap, whatever they were matched with, are reported as one. The document
+   with the smallest id keeps its passage and is not reported.
 
 Words are compared in lower case. Edge cases: null, empty and short texts have no
 seeds; rows with a null id are not compared; rows with one id count as one document,
-so repeats inside a document are not reported. Texts are read whole.
+so repeats inside a document are not reported. Of documents that have a passage alike
+the one with the smallest id is its source. Texts are read whole; an empty table has no
+passages. Extra columns are kept by ``cut_passages`` and ignored otherwise, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -35,10 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritable.llm.common import Batches, has_bit, in_arrow, key_runs, slot_bits, slot_of, split_by
+from veritable.llm.common import Batches, fresh_name, has_bit, in_arrow, key_runs, slot_bits, slot_of, split_by
 from veritable.llm.words import _ODD, U64, mix, slices, windows, words_of
 from veritable.sources.scratch import stored
 
@@ -49,6 +57,7 @@ _LARGEST_GAP = 40
 _LEAST_CHAIN = _SEED  # words matched by seeds
 _REACH = 64  # words looked at beyond either end
 _OVERLAP = 8  # words two passages share that count as one
+_SEAM, _SEAM_WORDS = 3, 48  # seeds apart, and words apart
 
 
 def seeds_of(hashes: np.ndarray, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -91,15 +100,41 @@ def _seeds(docs: DataFrame) -> DataFrame:
 
 
 def _matches(seeds: DataFrame) -> DataFrame:
-    """(pair, doc_id, source_id, x, y): every occurrence of a seed with its first one, those in one document included."""
+    """(doc_id, source_id, x, y): every occurrence of a seed with its first one, those in one
+    document included, and of a seam with its first one."""
     firsts = (
         seeds.groupBy("seed")
         .agg(F.min(F.struct("doc_id", "at")).alias("least"), F.max("doc_id").alias("last"))
         .where("last > least.doc_id")
         .select(F.col("seed").alias("s"), F.col("least.doc_id").alias("source_id"), F.col("least.at").alias("y"))
     )
-    met = seeds.join(firsts, F.expr("seed <=> s AND doc_id >= source_id"))
-    return met.select(F.xxhash64("doc_id", "source_id").alias("pair"), "doc_id", "source_id", F.col("at").alias("x"), "y")
+    met = stored(
+        seeds.join(firsts, F.expr("seed <=> s AND doc_id >= source_id")).select("seed", "doc_id", "source_id", F.col("at").alias("x"), "y"),
+        "passage-matches",
+    )
+    return met.drop("seed").union(_seams(met))
+
+
+def _seams(met: DataFrame) -> DataFrame:
+    """(doc_id, source_id, x, y): both seeds of every seam, matched with the first document that has it."""
+    following = [
+        f"struct(lead(seed, {n}) OVER here AS seed, lead(x, {n}) OVER here AS x, lead(source_id, {n}) OVER here AS source_id)"
+        for n in range(1, _SEAM + 1)
+    ]
+    met = met.selectExpr("seed", "doc_id", "source_id", "x", f"array({', '.join(following)}) AS following".replace(
+        "OVER here", "OVER (PARTITION BY doc_id ORDER BY x, seed)"
+    ))
+    seams = met.selectExpr("seed AS one", "doc_id", "source_id AS source_one", "x AS x_one", "inline(following) AS (two, x_two, source_two)")
+    seams = seams.where(F.expr(f"source_one <> source_two AND x_two - x_one <= {_SEAM_WORDS}"))
+    seams = stored(seams.select("one", "two", "doc_id", "x_one", "x_two"), "passage-seams")
+    firsts = (
+        seams.groupBy("one", "two")
+        .agg(F.min(F.struct("doc_id", "x_one", "x_two")).alias("least"), F.max("doc_id").alias("last"))
+        .where("last > least.doc_id")
+        .selectExpr("one AS o", "two AS t", "least.doc_id AS source_id", "least.x_one AS y_one", "least.x_two AS y_two")
+    )
+    again = seams.join(firsts, F.expr("one <=> o AND two <=> t AND doc_id > source_id"))
+    return again.selectExpr("doc_id", "source_id", "inline(array(struct(x_one AS x, y_one AS y), struct(x_two AS x, y_two AS y)))").distinct()
 
 
 class Fenwick:
@@ -171,10 +206,19 @@ def chains(parts: np.ndarray) -> list[list[int]]:
     return found
 
 
+def _pairs(batches: Batches) -> Iterator[pa.Table]:
+    """Matches of one pair of documents after the other."""
+    for own in key_runs(batches, "doc_id"):
+        source = own.column("source_id").to_numpy()
+        cuts = [0, *(np.flatnonzero(source[1:] != source[:-1]) + 1).tolist(), len(source)]
+        for low, high in zip(cuts, cuts[1:]):
+            yield own.slice(low, high - low)
+
+
 def _chained(batches: Batches) -> Iterator[pa.RecordBatch]:
     """(doc_id, source_id, x0, x1, y0, y1, parts) of every chain; of a document with itself, where it has seeds, without parts."""
     rows: list[tuple] = []
-    for run in key_runs(batches, "pair"):
+    for run in _pairs(batches):
         doc, source = run.column("doc_id")[0].as_py(), run.column("source_id")[0].as_py()
         if doc == source:
             at = np.unique(run.column("x").to_numpy())
@@ -292,12 +336,59 @@ def alignments(parts: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: floa
             todo += [(i, cut), (cut + 1, j)]
 
 
+def _words_at(column: pa.Array, first: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_REACH`` words of each list from ``first`` on, forwards or backwards, and which of them exist."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    flat = np.frombuffer(column.buffers()[2], np.uint8)
+    flat = flat[: len(flat) // 4 * 4].view(np.uint32)
+    at = first[:, None] + step * np.arange(_REACH)
+    there = (at >= 0) & (at < np.diff(offsets)[:, None])
+    return flat[np.where(there, at + offsets[:-1, None], 0)] if len(flat) else np.zeros(at.shape, np.uint32), there
+
+
+def single_alignments(rows: pa.RecordBatch, similarity: float) -> list[pa.Array]:
+    """What ``alignments`` makes of chains of one segment, for many of them at once."""
+    parts = np.array([np.frombuffer(p, np.int32) for p in rows.column("parts").to_pylist()], np.int64)
+    x, y, size = parts[:, 0], parts[:, 1], parts[:, 2]
+    low, high = (rows.column(name).to_numpy().astype(np.int64) for name in ("a_from", "b_from"))
+    reach = []  # per end: words and matched words of either way to go on, see _ends
+    for step, a_first, b_first in ((-1, x - low - 1, y - high - 1), (1, x - low + size, y - high + size)):
+        a, there = _words_at(rows.column("a"), a_first, step)
+        b, b_there = _words_at(rows.column("b"), b_first, step)
+        there &= b_there
+        same = there & (a == b)
+        score = np.where(there, np.cumsum(np.where(same, 1, -2), axis=1), np.iinfo(np.int64).min)
+        best = score.argmax(axis=1)
+        far = np.where(score[np.arange(len(best)), best] > 0, best + 1, 0)
+        met = np.where(np.arange(_REACH) < far[:, None], same, False).sum(axis=1)
+        alike = np.where(same.all(axis=1), _REACH, (~same).argmax(axis=1))
+        reach.append(((far, met), (alike, alike)))
+    chosen = np.full(len(x), -1, np.int64)
+    left, right, share = (np.zeros(len(x)) for _ in range(3))
+    for to_left, met_left in reach[0]:
+        for to_right, met_right in reach[1]:
+            own = (size + met_left + met_right) / (size + to_left + to_right)
+            # The longest way; of equals the one that goes further to the left.
+            key = np.where(own >= similarity, (to_left + to_right) * 1000 + to_left, -1)
+            better = (key > chosen) | (key == chosen) & (own > share)
+            for kept, new in ((chosen, key), (left, to_left), (right, to_right), (share, own)):
+                kept[better] = new[better]
+    ends = (x - left, x + size + right, y - left, y + size + right)
+    return [*(pa.array(end.astype(np.int32)) for end in ends), pa.array(share)]
+
+
 def _aligned(batches: Batches, similarity: float) -> Iterator[pa.RecordBatch]:
     names = ("doc_id", "source_id", "start_word", "end_word", "source_start", "source_end", "similarity")
     kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.float64())
-    for batch in batches:
+    for whole in batches:
+        alone = pc.equal(pc.binary_length(whole.column("parts")), 12)
+        single = whole.filter(alone)
+        if single.num_rows:
+            yield pa.RecordBatch.from_arrays(
+                [single.column("doc_id"), single.column("source_id"), *single_alignments(single, similarity)], names
+            )
         rows = []
-        for r in batch.to_pylist():
+        for r in whole.filter(pc.invert(alone)).to_pylist():
             a, b = np.frombuffer(r["a"], np.uint32), np.frombuffer(r["b"], np.uint32)
             low, high = r["a_from"], r["b_from"]
             parts = np.frombuffer(r["parts"], np.int32).reshape(-1, 3).astype(np.int64) - (low, high, 0)
@@ -321,7 +412,7 @@ def _alignments(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFram
     first document that has them; (id, words) of the documents that share a seed."""
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.lower(F.col("text").cast("string")).alias("text"))
     seeds = stored(_seeds(texts), "passage-seeds")
-    dealt = _matches(seeds).repartition("pair").sortWithinPartitions("pair")
+    dealt = _matches(seeds).repartition("doc_id", "source_id").sortWithinPartitions("doc_id", "source_id")
     found = in_arrow(dealt, _chained, "doc_id long, source_id long, x0 int, x1 int, y0 int, y1 int, parts binary")
     found = stored(found, "passage-chains")
     words = _words_of(texts, found.selectExpr("inline(array(struct(doc_id AS id), struct(source_id AS id)))"))
@@ -380,11 +471,12 @@ def _islands(rows: DataFrame) -> DataFrame:
     ).drop("island")
 
 
-def _shared_windows(aligned: DataFrame, own: DataFrame, words: DataFrame, width: int) -> DataFrame:
+def _shared_windows(aligned: DataFrame, counted: DataFrame, own: DataFrame, words: DataFrame, width: int) -> DataFrame:
     """(doc_id, source_id, start_word, end_word, similarity): windows that no passage holds, but an earlier document does."""
     around = _WINDOW - 1
-    spans = _islands(aligned).select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word") >= width).alias("passage"))
-    placed = _grouped(spans.union(own.withColumn("passage", F.lit(False))), _WINDOW - _SEED, "stretch")
+    spans = aligned.select("doc_id", "start_word", "end_word").union(own).withColumn("passage", F.lit(False))
+    passages = _islands(counted).select("doc_id", "start_word", "end_word", F.lit(True).alias("passage"))
+    placed = _grouped(spans.union(passages), _WINDOW - _SEED, "stretch")
     stretches = placed.groupBy("doc_id", "stretch").agg(
         F.greatest(F.min("start_word") - around, F.lit(0)).alias("low"),
         (F.max("end_word") + around).alias("high"),
@@ -428,10 +520,11 @@ def repeated_passages(docs: DataFrame, least_words: int = 51, similarity: float
     aligned, own, words = _alignments(docs, similarity)
     aligned = stored(aligned, "passage-alignments")
     rows = aligned.select("doc_id", "source_id", "start_word", "end_word", "similarity")
+    # What counts has to be found with one document; pieces of several make no passage.
+    counted = rows.where(F.col("end_word") - F.col("start_word") >= least_words)
     return (
-        _islands(rows.union(_shared_windows(rows, own, words, least_words)))
+        _islands(counted.union(_shared_windows(rows, counted, own, words, least_words)))
         .withColumn("n_words", F.col("end_word") - F.col("start_word"))
-        .where(F.col("n_words") >= least_words)
         .select("doc_id", "start_word", "end_word", "n_words", "source_id", "similarity")
     )
 
@@ -443,14 +536,15 @@ def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     something are shuffled.
     """
     doubtful, clear = split_by(docs, "doc_id", passages.select("doc_id"))
-    spans = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("cut_spans"))
-    joined = doubtful.join(spans.withColumnRenamed("doc_id", "cut_id"), F.col("doc_id").eqNullSafe(F.col("cut_id")), "left").drop("cut_id")
+    cut_id, cut_spans = fresh_name("cut_id"), fresh_name("cut_spans")
+    spans = passages.groupBy(F.col("doc_id").alias(cut_id)).agg(F.collect_list(F.struct("start_word", "end_word")).alias(cut_spans))
+    joined = doubtful.join(spans, F.col("doc_id").eqNullSafe(F.col(cut_id)), "left").drop(cut_id)
     names = docs.columns
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            spans = batch.column("cut_spans").to_pylist()
+            spans = batch.column(cut_spans).to_pylist()
             for i in [i for i, s in enumerate(spans) if s and texts[i]]:
                 words = words_of(pa.array([texts[i]], pa.string()))
                 raw, kept, at = texts[i].encode(), [], 0
