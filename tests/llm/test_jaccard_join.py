@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm import brute
+from veritable.llm import jaccard_join
 from veritable.llm.jaccard_join import block_keys, jaccard_components, linked_pairs
 
 VOCABULARY = [f"w{i}" for i in range(400)]
@@ -117,3 +118,39 @@ def test_traversal_loses_no_link(a, b, percent):
         for q in range(len(a), len(whole)) if b else range(p):
             if 100 * len(whole[p] & whole[q]) >= percent * len(whole[p] | whole[q]):
                 assert found.root(p) == found.root(q)
+
+
+def changed_copies(n, groups=1):
+    """Texts of 150 words, of which one is changed in each."""
+    texts = []
+    for i in range(n):
+        own = [f"w{k % 97}g{i % groups}x{k}" for k in range(150)]
+        own[i * 7 % 150] = f"other{i}"
+        texts.append((i, " ".join(own)))
+    return texts
+
+
+def test_sets_sent_for_a_group_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    sent = []
+
+    def counted(partners, shingles, find, plain=jaccard_join._linked):
+        sent[-1] += partners.count()
+        return plain(partners, shingles, find)
+
+    monkeypatch.setattr(jaccard_join, "_linked", counted)
+    for n in (1500, 3000, 6000):
+        sent.append(0)
+        rows = jaccard_components(spark.createDataFrame(changed_copies(n), "doc_id long, text string").repartition(8), 5, 80).collect()
+        assert {r["component_id"] for r in rows} == {0}
+    assert sent[1] <= 2.3 * sent[0] and sent[2] <= 2.3 * sent[1]
+
+
+def test_groups_of_one_home_stay_apart(spark):
+    """Two groups that share a common beginning: alike, but not alike enough."""
+    docs = []
+    for i in range(1200):
+        own = [f"c{k}" for k in range(70)] + [f"g{i % 2}k{k}" for k in range(30)]
+        own[i * 3 % 100] = f"other{i}"
+        docs.append((i, " ".join(own)))
+    rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), 3, 80).collect()
+    assert {(r["doc_id"] % 2, r["component_id"]) for r in rows} == {(0, 0), (1, 1)}

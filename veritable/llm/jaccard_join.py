@@ -14,7 +14,11 @@
 3. Nodes. Sets that share keys are gathered around the smallest set id they
    reach in a few steps over shared keys, and cut into nodes of about
    ``_NODE_SETS`` sets or ``_NODE_SHINGLES`` shingles, however many there are.
-   Nodes are compared if some key occurs in both.
+   The sets of a node are linked first; then one set for each group found so far is
+   gathered into nodes anew, until those of a home have met. Sets linked by then
+   carry one label. Nodes are compared if some key occurs in both, unless all sets of
+   both have the same label: a large group of near copies is settled by sets in
+   proportion to its size, and only nodes that may still hold two groups are paired.
 4. Trees. A node pair is one small task: both nodes become trees whose inner
    nodes hold the OR of their sets' bitmaps and the range of their sizes. A dual
    traversal drops tree node pairs whose largest possible overlap is too small;
@@ -30,7 +34,7 @@ all ids of the component are null.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +52,7 @@ _HOME_STEPS = 2
 _NODE_SETS = 512
 _NODE_SHINGLES = 1 << 19
 _FANOUT = 8
+_ROUNDS = 6
 _CLASS = 1 << 32
 
 
@@ -339,8 +344,27 @@ def _links(batches: Batches, percent: int) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _node_pairs(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """(set_id, pair, other): which node pairs a set takes part in, and on which side."""
+def _stars(batches: Batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b): every set of a node, and the smallest set id that it reaches by links inside the node."""
+    for run in key_runs(batches, "pair"):
+        sides = dict(zip(run.column("set_id").to_pylist(), run.column("shingles").to_pylist()))
+        ids = sorted(sides)
+        parent = list(range(len(ids)))
+
+        def root(i: int, parent: list[int] = parent) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        for p, q in linked_pairs([np.frombuffer(sides[one], U64) for one in ids], None, percent):
+            p, q = root(p), root(q)
+            parent[max(p, q)] = min(p, q)
+        yield pa.record_batch({"a": pa.array(ids, pa.int64()), "b": pa.array([ids[root(i)] for i in range(len(ids))], pa.int64())})
+
+
+def _nodes(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, home, node): where each set with partners is kept."""
     homes = _homes(shared).join(
         sets.select(F.col("set_id").alias("s"), "n_shingles"), F.expr("set_id <=> s")
     )
@@ -348,23 +372,70 @@ def _node_pairs(shared: DataFrame, sets: DataFrame) -> DataFrame:
     sizes = homes.groupBy("home").agg(F.ceil(cuts).alias("cuts"))
     node = F.xxhash64("home", F.pmod(F.xxhash64("set_id"), F.col("cuts")))
     nodes = homes.join(sizes.withColumnRenamed("home", "h"), F.col("home").eqNullSafe(F.col("h")))
-    nodes = stored(nodes.select("set_id", node.alias("node")), "jaccard-nodes")
+    return nodes.select("set_id", "home", node.alias("node"))
+
+
+def _linked(partners: DataFrame, shingles: DataFrame, find: Callable) -> DataFrame:
+    """(a, b): what ``find`` makes of the sets of each ``pair`` in ``partners`` (set_id, pair, ...)."""
+    # Neither side's size is known beforehand: the same join at every size.
+    rows = partners.join(shingles.hint("merge"), F.col("set_id").eqNullSafe(F.col("s"))).drop("s")
+    return in_arrow(rows.repartition("pair").sortWithinPartitions("pair"), find, "a long, b long")
+
+
+def _contracted(nodes: DataFrame, shingles: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links inside nodes and between their representatives; (set_id, node, label) by these links.
+
+    Sets with one label are known to be linked. Every round gathers one set of each
+    label and home into nodes anew, so a group of near copies has one label after a number of
+    rounds that grows with the logarithm of its size, and few sets are sent for it.
+    """
+    alone = nodes.select("set_id", F.col("node").alias("pair"))
+    links = stored(_linked(alone, shingles, lambda batches: _stars(batches, percent)), "jaccard-stars")
+    labels = nodes.join(links.select(F.col("a").alias("s"), F.col("b").alias("label")), F.expr("set_id <=> s")).drop("s")
+    labels = stored(labels, "jaccard-labels")
+    for step in range(_ROUNDS):
+        left = labels.select("home", "label").distinct()
+        several = left.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        several = stored(several.select(F.col("home").alias("h"), F.ceil(F.col("n") / _NODE_SETS).alias("cuts")), "jaccard-homes")
+        most = several.agg(F.max("cuts")).first()[0]
+        if most is None:
+            break
+        place = F.pmod(F.xxhash64("label", F.lit(step)), F.col("cuts"))
+        met = left.join(several, F.expr("home <=> h")).select(F.col("label").alias("set_id"), F.xxhash64("home", place, F.lit(step)).alias("pair"))
+        found = stored(_linked(met, shingles, lambda batches: _stars(batches, percent)).where("a <> b"), "jaccard-stars")
+        links = links.union(found)
+        labels = labels.join(found.select(F.col("a").alias("s"), F.col("b").alias("next")), F.expr("label <=> s"), "left")
+        labels = stored(labels.select("set_id", "home", "node", F.coalesce("next", "label").alias("label")), "jaccard-labels")
+        if most == 1:
+            break  # all representatives of a home have met
+    return links, labels
+
+
+def _crossing(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(set_id, pair, other): node pairs with a common key that are not linked throughout already."""
+    spread = labels.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    spread = stored(spread, "jaccard-spread")
     keyed = (
         shared.select("key", "set_id")
-        .join(nodes.withColumnRenamed("set_id", "s"), F.col("set_id").eqNullSafe(F.col("s")))
+        .join(labels.select(F.col("set_id").alias("s"), "node"), F.col("set_id").eqNullSafe(F.col("s")))
         .select("key", "node")
         .distinct()
+        .join(spread.withColumnRenamed("node", "of"), F.expr("node <=> of"))
+        .drop("of")
     )
-    across = keyed.join(keyed.withColumnsRenamed({"key": "k", "node": "m"}), F.expr("key <=> k AND node < m"))
+    keyed = stored(keyed, "jaccard-keyed")
+    # A key all of whose nodes have one and the same label asks for nothing.
+    mixed = keyed.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select(F.col("key").alias("asked"))
+    keyed = keyed.join(mixed, F.expr("key <=> asked"), "left_semi")
+    other = keyed.withColumnsRenamed({"key": "k", "node": "m", "low": "m_low", "high": "m_high"})
+    across = keyed.join(other, F.expr("key <=> k AND node < m AND NOT (low = high AND m_low = m_high AND low = m_low)"))
     pairs = stored(across.select("node", "m").distinct(), "jaccard-pairs")
     pair = F.xxhash64("node", "m")
     sides = pairs.select(F.inline(F.array(
         F.struct(F.col("node").alias("of"), pair.alias("pair"), F.lit(0).alias("other")),
         F.struct(F.col("m").alias("of"), pair.alias("pair"), F.lit(1).alias("other")),
     )))
-    crossing = nodes.join(sides, F.col("node").eqNullSafe(F.col("of"))).select("set_id", "pair", "other")
-    alone = nodes.select("set_id", F.xxhash64("node", "node").alias("pair"), F.lit(0).alias("other"))
-    return alone.union(crossing)
+    return labels.join(sides, F.col("node").eqNullSafe(F.col("of"))).select("set_id", "pair", "other")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -378,15 +449,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")
     )
     shared = stored(_shared_keys(_keys(docs, width, percent)), "jaccard-shared")
-    partners = stored(_node_pairs(shared, sets), "jaccard-partners")
-    wanted = sets.join(partners.select("set_id").distinct(), "set_id", "left_semi")
-    # A set is read from the row with its smallest id; equal rows come as one.
+    nodes = stored(_nodes(shared, sets), "jaccard-nodes")
+    wanted = sets.join(nodes.select("set_id"), "set_id", "left_semi")
+    # Equal rows come as one.
     shingles = _shingles_of(docs, wanted, width).withColumnRenamed("set_id", "s")
-    # Neither side's size is known beforehand: the same join at every size.
-    rows = partners.join(shingles.hint("merge"), F.col("set_id").eqNullSafe(F.col("s"))).drop("s")
-    dealt = rows.repartition("pair").sortWithinPartitions("pair")
-    links = in_arrow(dealt, lambda batches: _links(batches, percent), "a long, b long")
-    reached = components(links, "a", "b", "jaccard-links")
+    shingles = stored(shingles.dropDuplicates(["s"]), "jaccard-shingles")
+    inside, labels = _contracted(nodes, shingles, percent)
+    between = _linked(_crossing(shared, labels), shingles, lambda batches: _links(batches, percent))
+    reached = components(inside.union(between), "a", "b", "jaccard-links")
     named = (
         reached.join(sets, F.col("id").eqNullSafe(F.col("set_id")))
         .groupBy("component")
