@@ -41,6 +41,24 @@ def _job_retry_sql() -> str:
     return f"{o.results('orders', suite[:4], run('run-a', 7))} UNION ALL BY NAME {o.results('orders', suite[3:7], run('run-b', 8))}"
 
 
+def history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of two days, compacted after two; then the first is repeated, and all compacted again."""
+    path = scratch_path(spark, "compacted")
+
+    def commit(run: tuple) -> None:
+        run_id, when, name, rules = run
+        results = v.evaluate(q.table(spark, sf_dir, name), name, rules, run_id, when)
+        v.commit_run(results, path, name, run_id, partition_by=["run_date"])
+
+    for run in q.RUNS[1:]:
+        commit(run)
+    v.compact_history(spark, path)
+    commit(q.RUNS[0])
+    commit(q.RUNS[1])
+    v.compact_history(spark, path)
+    return q.with_epoch(v.read_history(spark, path))
+
+
 # --- verdicts of rows ---------------------------------------------------------
 
 ROW_SUITE = [rule for rule in q.DOCUMENTS_SUITE]
@@ -193,6 +211,7 @@ _WITH_ERROR = o.results("orders", [
 
 FEATURES: dict[str, tuple[Query, str]] = {
     "job_retry": (job_retry, _job_retry_sql()),
+    "history_compacted": (history_compacted, o.history()),
     "failing_rows_suite": (failing_rows_suite, f"SELECT * FROM ({_MARKED}) WHERE failed_rules <> ''"),
     "unique_incremental": (
         unique_incremental,

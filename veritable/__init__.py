@@ -3,12 +3,14 @@
 from veritable.functions.predicates import register_row_check, row_check, valid_rows
 from veritable.plans.history import (
     latest_run,
+    latest_stored_run,
     read_history,
     run_summary,
     severity_gate,
     top_history,
 )
 from veritable.plans.commits import commit_run
+from veritable.plans.compaction import compact_history
 from veritable.plans.job import run_job
 from veritable.plans.observed import Watch
 from veritable.plans.results import RESULT_SCHEMA
@@ -25,9 +27,11 @@ __all__ = [
     "UniqueState",
     "Watch",
     "commit_run",
+    "compact_history",
     "evaluate",
     "failing_rows",
     "latest_run",
+    "latest_stored_run",
     "read_history",
     "read_table",
     "register_row_check",

@@ -22,11 +22,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from veritable.plans.compaction import STAGING, take_out_run
 from veritable.sources.files import Folder, join
 from veritable.sources.tables import check_format, write_table
 
-STAGING = "_staging"
-
 
 def run_name(dataset: str, run_id: str) -> str:
     """The beginning of the names of a run's files."""
@@ -49,6 +48,7 @@ def commit_run(
     table = Folder(results.sparkSession, path)
     attempt = f"{name}-{uuid.uuid4().hex}"
     write_table(results, join(path, STAGING, attempt), fmt, "error", partition_by, num_files)
+    take_out_run(results.sparkSession, path, fmt, name, dataset, run_id, partition_by)
     _publish(table, name, attempt, len(partition_by))
 
 
@@ -56,13 +56,15 @@ def _publish(table: Folder, name: str, attempt: str, depth: int) -> None:
     partitions = "*/" * depth
     staged = f"{STAGING}/{attempt}"
     fresh = table.files(f"{staged}/{partitions}part-*")
+    # A name of its own: the former one may be among those that a compaction has replaced.
+    own = f"{name}-{attempt[-8:]}"
     for former in table.files(f"{partitions}{name}-*"):
         if not former.startswith(STAGING):
             table.remove(former)
     for number, file in enumerate(fresh):
         folder, _, leaf = file.removeprefix(f"{staged}/").rpartition("/")
         _, dot, endings = leaf.partition(".")
-        table.move(file, f"{folder}/{name}-{number}{dot}{endings}".lstrip("/"))
+        table.move(file, f"{folder}/{own}-{number}{dot}{endings}".lstrip("/"))
     # What this and earlier attempts at the run have left behind.
     for left in table.files(f"{STAGING}/{name}-*"):
         table.remove(left)

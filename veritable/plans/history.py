@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritable.plans.compaction import CSV_OPTIONS, Manifest, live_files, read_files, read_manifest
 from veritable.plans.results import RESULT_SCHEMA
+from veritable.sources.files import Folder
 from veritable.sources.tables import check_format, read_table
 
 # Statuses, the severity that blocks, rows shown by default.
@@ -13,10 +15,6 @@ FAIL = "FAIL"
 BLOCKING_SEVERITY = "error"
 DEFAULT_TOP = 200
 
-# Read-back options that keep a CSV history equal to what was written: empty
-# text stays apart from NULL, and a description may span lines.
-_CSV_OPTIONS = {"nullValue": "\u0000", "multiLine": "true"}
-
 
 def history_order() -> list:
     """Newest run first, failures before passes, then a stable order."""
@@ -26,9 +24,18 @@ def history_order() -> list:
 def stored_results(
     spark: SparkSession, path: str, fmt: str = "parquet", dataset: str | None = None
 ) -> DataFrame:
-    """All stored results, unordered, under the fixed schema (no inference)."""
-    options = _CSV_OPTIONS if check_format(fmt) == "csv" else {}
-    stored = read_table(spark, path, fmt, RESULT_SCHEMA, **options).select(*RESULT_SCHEMA.fieldNames())
+    """All stored results, unordered, under the fixed schema (no inference).
+
+    Of a compacted history the files are listed now, and those that count are read.
+    """
+    fmt = check_format(fmt)
+    folder = Folder(spark, path)
+    manifest = read_manifest(folder)
+    if manifest is None:
+        options = CSV_OPTIONS if fmt == "csv" else {}
+        stored = read_table(spark, path, fmt, RESULT_SCHEMA, **options).select(*RESULT_SCHEMA.fieldNames())
+    else:
+        stored = read_files(spark, path, fmt, live_files(folder, manifest))
     return stored if dataset is None else stored.filter(F.col("dataset") == dataset)
 
 
@@ -57,6 +64,19 @@ def latest_run(history: DataFrame) -> DataFrame:
     return history.filter((F.col("run_date") == newest["run_date"]) & (F.col("run_id") == newest["run_id"]))
 
 
+def latest_stored_run(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest run of a history that is partitioned by ``run_date``, from its newest partition alone.
+
+    The dates are the names of folders, so nothing else is read to find it.
+    """
+    folder = Folder(spark, path)
+    manifest = read_manifest(folder)
+    files = live_files(folder, manifest or Manifest(depth=1))
+    dates = [name.split("/")[0] for name in files if name.startswith("run_date=")]
+    newest = [name for name in files if name.split("/")[0] == max(dates, default="")]
+    return latest_run(read_files(spark, path, check_format(fmt), newest))
+
+
 def run_summary(results: DataFrame) -> DataFrame:
     """Failed and total number of rules per run and dataset."""
     return results.groupBy("run_id", "dataset").agg(

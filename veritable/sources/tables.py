@@ -35,7 +35,7 @@ def check_format(fmt: str) -> str:
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "csv",
     schema: StructType | str | None = None,
     unreadable: str | None = None,
