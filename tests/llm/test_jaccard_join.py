@@ -138,7 +138,7 @@ def test_sets_sent_for_a_group_of_near_copies_grow_with_the_group(spark, monkeyp
         return plain(partners, shingles, find)
 
     monkeypatch.setattr(jaccard_join, "_linked", counted)
-    for n in (1500, 3000, 6000):
+    for n in (1000, 2000, 4000):
         sent.append(0)
         rows = jaccard_components(spark.createDataFrame(changed_copies(n), "doc_id long, text string").repartition(8), 5, 80).collect()
         assert {r["component_id"] for r in rows} == {0}

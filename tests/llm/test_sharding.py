@@ -1,0 +1,67 @@
+"""Shards: even, gapless, groups together, awkward rows."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from tests.helpers import plan
+from veritable.llm.sharding import buckets_for, shard_documents
+
+TEXT = "doc_id long, text string"
+
+
+def even(rows, shards):
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert set(slots) <= set(range(shards))
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+    sizes = [len(slots[s]) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_groups_stay_together_and_sizes_even(spark):
+    docs = [(i, f"text {i // 5}" if i < 500 else f"alone {i}") for i in range(1500)]
+    rows = shard_documents(spark.createDataFrame(docs, TEXT).repartition(5), 8).collect()
+    even(rows, 8)
+    text = dict(docs)
+    places = defaultdict(set)
+    for r in rows:
+        places[text[r["doc_id"]]].add(r["shard"])
+    whole = sum(len(p) == 1 for t, p in places.items() if t.startswith("text"))
+    assert whole >= 95  # of 100 groups; chance would leave about none
+
+
+def test_a_group_larger_than_a_shard_is_gathered(spark):
+    docs = [(i, "hot") for i in range(400)] + [(1000 + i, f"t{i}") for i in range(800)]
+    rows = shard_documents(spark.createDataFrame(docs, TEXT).repartition(5), 12).collect()
+    even(rows, 12)
+    assert len({r["shard"] for r in rows if r["doc_id"] < 400}) < 12  # it starts in all of them, and needs four
+
+
+def test_awkward_rows(spark):
+    docs = [(None, "a"), (None, "a"), (1, "a"), (1, "a"), (1, None), (1, None), (2, ""), (3, ""), (4, "é" * 10)]
+    df = spark.createDataFrame(docs, TEXT)
+    for name in ("size", "grp", "shard", "bucket", "digest", "tie", "quota", "n"):
+        df = df.withColumn(name, F.lit("x"))
+    rows = shard_documents(df, 4).collect()
+    even(rows, 4)
+
+    def facts(text):
+        raw = (text or "").encode()
+        return len(raw) + 8, zlib.crc32(raw)
+
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == Counter((d, *facts(t)) for d, t in docs)
+    assert {r["law"] for r in rows} == {"rows"} and {r["grown_shard"] for r in rows} == {None}
+    assert shard_documents(df.limit(0), 4).collect() == []
+
+
+def test_native(spark):
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('t', id % 7) AS text")
+    assert not re.search("Python|Pandas|Arrow", plan(shard_documents(docs, 3)))
+
+
+def test_buckets_grow_with_the_rows():
+    assert buckets_for(10) == 1024 and buckets_for(10**10) == 200_000

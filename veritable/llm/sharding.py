@@ -13,7 +13,8 @@ shard's quota and unlinked ones are numbered and dealt into the free places, so
 law holds exactly, whatever the rounds achieved.
 
 Numbers within a shard come from counts of hashed buckets, a table of shards x
-buckets, plus a rank inside the bucket: no window holds more than a bucket, and a
+buckets, plus a rank inside the bucket: no window holds more than a bucket, of which
+there are more the more rows there are, and a
 group that holds a third of all rows is spread over the buckets of its shards.
 
 Edge cases: null texts have size 8, checksum 0 and are linked with nothing; empty
@@ -29,11 +30,17 @@ from pyspark.sql import functions as F
 from veritable.sources.scratch import stored
 
 _BUCKETS = 1024
+_BUCKET_ROWS = 50_000
 _ROUNDS = 3
 
 
-def _bucket(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns, F.lit("bucket")), F.lit(_BUCKETS))
+def buckets_for(rows: int) -> int:
+    """Enough buckets that one holds some ten thousand rows, however many there are."""
+    return max(_BUCKETS, -(-rows // _BUCKET_ROWS))
+
+
+def _bucket(buckets: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns, F.lit("bucket")), F.lit(buckets))
 
 
 def _numbered(rows: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -72,7 +79,7 @@ def _cells(linked: DataFrame) -> DataFrame:
     return linked.groupBy("grp", "origin").agg(F.count(F.lit(1)).alias("n")).withColumn("shard", F.col("origin"))
 
 
-def _round(cells: DataFrame, shards: int, quota: int) -> DataFrame:
+def _round(cells: DataFrame, shards: int, quota: int, buckets: int) -> DataFrame:
     """One round of label propagation over (grp, origin, n, shard)."""
     here = cells.groupBy("grp", "shard").agg(F.sum("n").alias("here"))
     load = here.groupBy("shard").agg(F.sum("here").alias("load"))
@@ -92,7 +99,7 @@ def _round(cells: DataFrame, shards: int, quota: int) -> DataFrame:
     moves = cells.join(targets, F.expr("grp <=> g AND shard <=> s")).drop("g", "s")
     # Small groups come first: one that is larger than the room left blocks nothing.
     moves = moves.withColumn(
-        "bucket", F.floor(F.log2(F.sum("n").over(Window.partitionBy("grp")))) * _BUCKETS + _bucket("grp")
+        "bucket", F.floor(F.log2(F.sum("n").over(Window.partitionBy("grp")))) * buckets + _bucket(buckets, "grp")
     )
     staying = moves.where("target = shard").groupBy("shard").agg(F.sum("n").alias("stay"))
     asked = moves.where("target <> shard").groupBy("target", "bucket", "origin").agg(F.sum("n").alias("asking"))
@@ -121,17 +128,18 @@ def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = _ROUNDS) ->
     rows = rows.withColumn("origin", F.pmod(F.xxhash64("tie"), F.lit(shards)).cast("int"))
     rows = stored(rows, "shard-linked")
     total = rows.count()
+    buckets = buckets_for(total)
     low, more = divmod(total, shards)  # the first ``more`` shards take one row more
     cells = stored(_cells(rows.where("grp IS NOT NULL")), "shard-cells")
     for _ in range(rounds if total else 0):
-        cells = stored(_round(cells, shards, max(low, 1)), "shard-cells")
+        cells = stored(_round(cells, shards, max(low, 1), buckets), "shard-cells")
     moved = rows.join(
         cells.select(F.col("grp").alias("g"), F.col("origin").alias("o"), F.col("shard").cast("int").alias("shard")),
         F.expr("grp <=> g AND origin <=> o"),
         "left",
     ).drop("g", "o")
     # Groups stay together in buckets of their own; only one bucket of a full shard is cut.
-    moved = moved.withColumn("bucket", F.when(F.col("grp").isNotNull(), _bucket("grp", "tie")).otherwise(_bucket("tie")))
+    moved = moved.withColumn("bucket", F.when(F.col("grp").isNotNull(), _bucket(buckets, "grp", "tie")).otherwise(_bucket(buckets, "tie")))
     moved = stored(moved, "shard-moved")
     quotas = spark.range(shards).select(
         F.col("id").cast("int").alias("quota_shard"), (F.lit(low) + (F.col("id") < more).cast("int")).alias("quota")
@@ -153,7 +161,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = _ROUNDS) ->
     target = F.expr("filter(places, p -> p.upto > position)[0].quota_shard")
     dealt = dealt.join(F.broadcast(places)).withColumn("shard", target).drop("places", "position")
     kept = held.where("fits").select(*dealt.columns)
-    final = kept.union(dealt).withColumn("bucket", _bucket("tie"))
+    final = kept.union(dealt).withColumn("bucket", _bucket(buckets, "tie"))
     final = _numbered(stored(final, "shard-final"), ["shard"], "slot")
     return final.select(
         "doc_id",
