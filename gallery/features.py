@@ -158,6 +158,19 @@ _KNOWN = "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('FURNITURE', 'MA
 _GOOD_TEXTS = f"SELECT text FROM {o.LABELLED} WHERE quality = 1"
 
 
+# --- one read for all rules ---------------------------------------------------
+
+
+def suite_shared_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite of the orders over CSV, which is parsed once."""
+    path = scratch_path(spark, "shared-source")
+    orders = q.table(spark, sf_dir, "orders")
+    v.write_table(orders, path, "csv")
+    read = v.read_table(spark, path, "csv", orders.schema)
+    suite = v.CheckSuite("orders", q.ORDERS_SUITE)
+    return suite.evaluate(read, shared_input=scratch_path(spark, "shared")).drop(*q.RUN_COLUMNS)
+
+
 # --- input and rules that are not sound ---------------------------------------
 
 _TOO_LONG = "n_chars < 5000"
@@ -236,6 +249,7 @@ FEATURES: dict[str, tuple[Query, str]] = {
     "failing_rows_foreign_key": (
         failing_rows_foreign_key, "SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     ),
+    "suite_shared_input": (suite_shared_input, o.results("orders", o.orders_suite())),
     "scan_json_corrupt": (
         scan_json_corrupt,
         o.results("documents", [

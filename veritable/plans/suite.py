@@ -17,6 +17,7 @@ from veritable.operators.row_level import rejected_rows, valid_counts
 from veritable.operators.uniqueness import by_digest, duplicate_counts, duplicated_rows
 from veritable.operators.verdicts import FAILED_RULES, rows_by_verdict, with_failed_rules
 from veritable.plans.parsing import parse_rules
+from veritable.plans.shared import stored_columns
 from veritable.plans.results import ERROR, RESULT_SCHEMA, long_form, side_by_side
 from veritable.rules import CUSTOM_SQL, FOREIGN_KEY, UNIQUE, Rule
 
@@ -42,7 +43,7 @@ class CheckSuite:
         self.run_id = run_id or str(uuid.uuid4())
         self.run_timestamp = run_timestamp or dt.datetime.now(dt.timezone.utc)
 
-    def evaluate(self, df: DataFrame, shared_scan: bool = False) -> DataFrame:
+    def evaluate(self, df: DataFrame, shared_scan: bool = False, shared_input: str | None = None) -> DataFrame:
         """Results frame, one row per rule in rule order. Nothing runs yet.
 
         Row-level rules share one global aggregate; each of the other rules is
@@ -54,12 +55,18 @@ class CheckSuite:
         on a columnar table. ``shared_scan`` makes them read the input together
         instead; choose it where reading is dear (text formats, joins).
 
+        ``shared_input`` names a new folder, for an input that is dear to read: the columns
+        that any rule or query of the suite reads are found in its plan and written there now, in
+        one read of ``df``, and all rules are evaluated on that. The caller removes the folder.
+
         Acting on the frame twice evaluates the rules twice: write it first
         (as ``run_job`` does) and read the table.
         """
         self._refuse_stream(df)
         if not self.rules:
             return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+        if shared_input is not None:
+            df = stored_columns(df, self.evaluate, shared_input)
         with dataset_view(df.sparkSession, self.dataset, df, self.rules):
             counts, failed = self._counts(df, shared_scan)
         return long_form(
@@ -217,9 +224,10 @@ def evaluate(
     run_id: str | None = None,
     run_timestamp: dt.datetime | None = None,
     shared_scan: bool = False,
+    shared_input: str | None = None,
 ) -> DataFrame:
-    """Shorthand for ``CheckSuite(dataset, rules, ...).evaluate(df, shared_scan)``."""
-    return CheckSuite(dataset, rules, run_id, run_timestamp).evaluate(df, shared_scan)
+    """Shorthand for ``CheckSuite(dataset, rules, ...).evaluate(df, shared_scan, shared_input)``."""
+    return CheckSuite(dataset, rules, run_id, run_timestamp).evaluate(df, shared_scan, shared_input)
 
 
 def failing_rows(
