@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from veritable.sources.scratch import scratch_path, stored
+from veritable.sources.scratch import recorded, remove_tables, scratch_path, stored
 
 
 def session(settings):
@@ -37,3 +37,17 @@ def test_a_folder_of_the_drivers_machine_is_refused_on_a_cluster():
             scratch_path(session(warehouse | {"spark.master": master}), "t")
         assert scratch_path(session(warehouse | {"spark.master": master, "spark.checkpoint.dir": "file:/nfs"}), "t").startswith("file:/nfs/t-")
     assert scratch_path(session(warehouse | {"spark.master": "local[8]"}), "t").startswith("file:/home/me")
+
+
+def test_recorded_tables_can_be_removed(spark):
+    outside = stored(spark.range(2), "outside")
+    with recorded() as made:
+        inside = stored(spark.range(3), "inside")
+        with recorded() as inner:
+            stored(spark.range(4), "inner")
+        assert len(inner) == 1
+    assert inside.count() == 3 and len(made) == 1
+    remove_tables(spark, [*made, *inner])
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not list(shared.glob("inside-*")) + list(shared.glob("inner-*"))
+    assert outside.count() == 2
