@@ -15,7 +15,7 @@ from veritable.llm.decontaminate import find_leaks
 from veritable.llm.jaccard_join import jaccard_components
 from veritable.llm.language_id import UNKNOWN, identify_documents
 from veritable.llm.passages import cut_passages, repeated_passages
-from veritable.sources.scratch import stored
+from veritable.sources.scratch import recorded, remove_tables, stored
 
 #: Documents whose language holds less than this share of their letters are rejected.
 LEAST_LANGUAGE_SHARE = 0.3
@@ -85,7 +85,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages, one after the other; of the tables in between, the last one stays, which the result reads."""
+    docs, former = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with recorded() as used:
+            result = stage(spark, docs, sf_dir)
+        with recorded() as kept:
+            docs = stored(result, f"pipeline-{name}")
+        remove_tables(spark, [*used, *former])
+        former = kept
     return STAGES[-1][1](spark, docs, sf_dir)
