@@ -1,6 +1,7 @@
 """The corpus pipeline on small tables, stage by stage and as a whole."""
 
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,7 +35,12 @@ def test_stages_are_named_and_ordered():
     assert [name for name, _ in p.STAGES] == ["language", "near_duplicates", "passages", "decontaminated", "tokens"]
 
 
+def scratch(spark):
+    return {path.name for path in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+
 def test_the_whole(spark, tables):
+    before = scratch(spark)
     base = rows_of([(i, sentence(i, 160)) for i in range(40)]) + rows_of([(50 + i, sentence(200 + i, 160, "de")) for i in range(40)], "de")
     shared = sentence(999, 90)
     special = rows_of(
@@ -52,6 +58,7 @@ def test_the_whole(spark, tables):
     assert rows[0]["decoded_sha256"] == hashlib.sha256(base[0][1].encode()).hexdigest()
     assert rows[103]["decoded_sha256"] == hashlib.sha256(special[3][1].encode()).hexdigest()
     left = [sentence(302, 80), f" {sentence(302, 80)}"]  # 104 loses the passage that 103 has
+    assert [name.rpartition("-")[0] for name in scratch(spark) - before] == ["pipeline-decontaminated"]
     assert rows[104]["decoded_sha256"] in {hashlib.sha256(t.encode()).hexdigest() for t in left}
 
 

@@ -204,10 +204,13 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(slot_bits(wanted.select(slots.alias("slot"))))
 
     def emit(batches: Batches) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # equal rows of a task come as one, and their copies meet by set id
         for piece, sets in _sets(batches, width):
             ids = np.array([set_id(s) for s in sets], np.int64)
             slot = (ids ^ piece.column("hash").to_numpy()) & mask
-            hit = np.flatnonzero(has_bit(bits.value, slot))
+            hit = [i for i in np.flatnonzero(has_bit(bits.value, slot)).tolist() if ids[i] not in sent]
+            hit = list({int(ids[i]): i for i in hit}.values())
+            sent.update(ids[hit].tolist())
             yield pa.record_batch(
                 {
                     "set_id": ids[hit],
@@ -451,9 +454,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     shared = stored(_shared_keys(_keys(docs, width, percent)), "jaccard-shared")
     nodes = stored(_nodes(shared, sets), "jaccard-nodes")
     wanted = sets.join(nodes.select("set_id"), "set_id", "left_semi")
-    # Equal rows come as one.
-    shingles = _shingles_of(docs, wanted, width).withColumnRenamed("set_id", "s")
-    shingles = stored(shingles.dropDuplicates(["s"]), "jaccard-shingles")
+    shingles = stored(_shingles_of(docs, wanted, width).withColumnRenamed("set_id", "s"), "jaccard-shingles")
     inside, labels = _contracted(nodes, shingles, percent)
     between = _linked(_crossing(shared, labels), shingles, lambda batches: _links(batches, percent))
     reached = components(inside.union(between), "a", "b", "jaccard-links")
