@@ -50,9 +50,10 @@ _NAME = re.compile(r"`(?:[^`]|``)+`|\w+")
 
 def check_name(spark: SparkSession, name: str) -> None:
     """Refuse what could not be the name of a view: one identifier, quoted or not, that is no keyword."""
+    spark.sql(f"WITH {name} AS (SELECT 1) SELECT 1")
+    # What Spark takes there may be more than a name.
     if not _NAME.fullmatch(name):
         raise ValueError(f"Not a name for a dataset: {name!r}")
-    spark.sql(f"WITH {name} AS (SELECT 1) SELECT 1")
 
 
 def looks_up(rule: Rule, name: str) -> bool:
