@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -26,8 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def in_arrow(df: DataFrame, function: Callable[[Batches], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow``, under the name used throughout."""
-    return df.mapInArrow(function, schema)
+    """``mapInArrow``; what a task has freed goes back to the machine when it ends."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    """A worker outlives its tasks, and memory that it merely keeps counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def key_runs(batches: Batches, key: str) -> Iterator[pa.Table]:
