@@ -154,3 +154,47 @@ def test_groups_of_one_home_stay_apart(spark):
         docs.append((i, " ".join(own)))
     rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(8), 3, 80).collect()
     assert {(r["doc_id"] % 2, r["component_id"]) for r in rows} == {(0, 0), (1, 1)}
+
+
+def test_sets_of_settled_homes_are_sent_once(spark, monkeypatch):
+    """Pairs that are alike, but not alike enough, beside a group of such texts that fills several nodes."""
+    docs = []
+    for i in range(120):
+        group, own = (i // 2, i) if i < 80 else (100, i)
+        docs.append((i, " ".join([f"c{k}g{group}" for k in range(82)] + [f"o{k}d{own}" for k in range(18)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    ids = {r["set_id"]: r["doc_id"] for r in jaccard_join.shingle_counts(df, 3).collect()}
+    sent = []
+
+    def counted(partners, shingles, find, plain=jaccard_join._linked):
+        sent.append([ids[r["set_id"]] for r in partners.collect()])
+        return plain(partners, shingles, find)
+
+    monkeypatch.setattr(jaccard_join, "_linked", counted)
+    monkeypatch.setattr(jaccard_join, "_NODE_SETS", 8)
+    assert {r["component_id"] for r in jaccard_components(df, 3, 80).collect()} == set(range(120))
+    times = [sum(row.count(i) for row in sent) for i in range(120)]
+    assert max(times[:80]) == 1 and min(times[80:]) > 1
+
+
+def test_of_two_nodes_only_sets_that_may_link_are_sent(spark):
+    need = jaccard_join._CLASS
+    shared = [
+        (100, 1, need + 1, 1), (100, 11, need + 1, 1),  # alike enough
+        (200, 2, need + 2, 2), (200, 12, need + 2, 2),  # one key of two
+        (300, 3, need + 1, 3), (300, 13, need + 1, 3),  # linked already
+        *[(400 + i, i, need + 1, i) for i in range(1, 21)], (405, 6, need + 1, 5),  # one node
+    ]
+    labels = [(i, i, 1 + (i > 10), 3 if i == 13 else i) for i in range(1, 21)]
+    found = jaccard_join._crossing(
+        spark.createDataFrame(shared, "key long, set_id long, class_need long, home long"),
+        spark.createDataFrame(labels, "set_id long, home long, node long, label long"),
+    ).collect()
+    assert sorted((r["set_id"], r["other"]) for r in found) == [(1, 0), (11, 1)]
+    assert len({r["pair"] for r in found}) == 1
+
+
+def test_shingles_that_no_partner_needs_are_left_out(spark):
+    shingles = spark.createDataFrame([(i, bytes([i % 256])) for i in range(1000)], "s long, shingles binary")
+    left = jaccard_join._needed(shingles, spark.createDataFrame([(5, 1), (7, 1)], "set_id long, pair long")).collect()
+    assert {(5, b"\x05"), (7, b"\x07")} <= {(r["s"], bytes(r["shingles"])) for r in left} and len(left) < 20

@@ -14,11 +14,12 @@
 3. Nodes. Sets that share keys are gathered around the smallest set id they
    reach in a few steps over shared keys, and cut into nodes of about
    ``_NODE_SETS`` sets or ``_NODE_SHINGLES`` shingles, however many there are.
-   The sets of a node are linked first; then one set for each group found so far is
-   gathered into nodes anew, until those of a home have met. Sets linked by then
-   carry one label. Nodes are compared if some key occurs in both, unless all sets of
-   both have the same label: a large group of near copies is settled by sets in
-   proportion to its size, and only nodes that may still hold two groups are paired.
+   The sets of a node are linked first; then, for homes of several nodes, one set for
+   each group found so far is gathered into nodes anew, until those of a home have met.
+   Sets linked by then carry one label. Two nodes are compared by those of their sets
+   that share enough keys with sets of the other node and of another label: a large
+   group of near copies is settled by sets in proportion to its size, and only sets
+   that may still link two groups are sent.
 4. Trees. A node pair is one small task: both nodes become trees whose inner
    nodes hold the OR of their sets' bitmaps and the range of their sizes. A dual
    traversal drops tree node pairs whose largest possible overlap is too small;
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritable.llm.common import SLOT_BITS, Batches, components, has_bit, in_arrow, key_runs, slot_bits
+from veritable.llm.common import SLOT_BITS, Batches, components, has_bit, in_arrow, key_runs, slot_bits, slot_of
 from veritable.llm.words import U64, mix, shingle_sets, slices
 from veritable.sources.scratch import stored
 
@@ -153,7 +154,7 @@ def _keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
-    """(key, set_id, home) of the keys that occur in two sets or more; home is the smallest of the sets.
+    """(key, set_id, class_need, home) of the keys that occur in two sets or more; home is the smallest of the sets.
 
     Sets that share fewer keys than they need are left out.
     """
@@ -176,7 +177,7 @@ def _shared_keys(keys: DataFrame) -> DataFrame:
         .where(F.col("n") >= F.pmod("class_need", F.lit(_CLASS)))
         .select(F.col("set_id").alias("s"), F.col("class_need").alias("c"))
     )
-    return shared.join(enough, F.expr("set_id <=> s AND class_need <=> c"), "left_semi").drop("class_need")
+    return shared.join(enough, F.expr("set_id <=> s AND class_need <=> c"), "left_semi")
 
 
 def _homes(shared: DataFrame) -> DataFrame:
@@ -337,7 +338,7 @@ def _links(batches: Batches, percent: int) -> Iterator[pa.RecordBatch]:
         for other, one, raw in rows:
             sides[other][one] = np.frombuffer(raw, U64)
         ids = [*sides[0], *sides[1]]
-        found = list(linked_pairs([*sides[0].values()], [*sides[1].values()] or None, percent)) if sides[0] else []
+        found = list(linked_pairs([*sides[0].values()], [*sides[1].values()], percent)) if all(sides) else []
         if found:
             yield pa.record_batch(
                 {
@@ -378,6 +379,18 @@ def _nodes(shared: DataFrame, sets: DataFrame) -> DataFrame:
     return nodes.select("set_id", "home", node.alias("node"))
 
 
+def _needed(shingles: DataFrame, partners: DataFrame) -> DataFrame:
+    """``shingles`` of the sets in ``partners`` (set_id, ...) and of a few more, so that the others are not shuffled."""
+    bits = shingles.sparkSession.sparkContext.broadcast(slot_bits(partners.select(slot_of("set_id").alias("slot"))))
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = has_bit(bits.value, batch.column("slot").to_numpy())
+            yield batch.select(["s", "shingles"]).filter(pa.array(hit))
+
+    return in_arrow(shingles.withColumn("slot", slot_of("s")), run, "s long, shingles binary")
+
+
 def _linked(partners: DataFrame, shingles: DataFrame, find: Callable) -> DataFrame:
     """(a, b): what ``find`` makes of the sets of each ``pair`` in ``partners`` (set_id, pair, ...)."""
     # Neither side's size is known beforehand: the same join at every size.
@@ -390,14 +403,17 @@ def _contracted(nodes: DataFrame, shingles: DataFrame, percent: int) -> tuple[Da
 
     Sets with one label are known to be linked. Every round gathers one set of each
     label and home into nodes anew, so a group of near copies has one label after a number of
-    rounds that grows with the logarithm of its size, and few sets are sent for it.
+    rounds that grows with the logarithm of its size, and few sets are sent for it. Homes
+    whose representatives have all met in one node are settled and not gathered again.
     """
     alone = nodes.select("set_id", F.col("node").alias("pair"))
     links = stored(_linked(alone, shingles, lambda batches: _stars(batches, percent)), "jaccard-stars")
     labels = nodes.join(links.select(F.col("a").alias("s"), F.col("b").alias("label")), F.expr("set_id <=> s")).drop("s")
     labels = stored(labels, "jaccard-labels")
+    spread = nodes.groupBy("home").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    unsettled = spread.where("low < high").select(F.col("home").alias("u"))
     for step in range(_ROUNDS):
-        left = labels.select("home", "label").distinct()
+        left = labels.join(unsettled, F.expr("home <=> u"), "left_semi").select("home", "label").distinct()
         several = left.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         several = stored(several.select(F.col("home").alias("h"), F.ceil(F.col("n") / _NODE_SETS).alias("cuts")), "jaccard-homes")
         most = several.agg(F.max("cuts")).first()[0]
@@ -405,40 +421,50 @@ def _contracted(nodes: DataFrame, shingles: DataFrame, percent: int) -> tuple[Da
             break
         place = F.pmod(F.xxhash64("label", F.lit(step)), F.col("cuts"))
         met = left.join(several, F.expr("home <=> h")).select(F.col("label").alias("set_id"), F.xxhash64("home", place, F.lit(step)).alias("pair"))
-        found = stored(_linked(met, shingles, lambda batches: _stars(batches, percent)).where("a <> b"), "jaccard-stars")
+        met = stored(met, "jaccard-met")
+        found = stored(_linked(met, _needed(shingles, met), lambda batches: _stars(batches, percent)).where("a <> b"), "jaccard-stars")
         links = links.union(found)
         labels = labels.join(found.select(F.col("a").alias("s"), F.col("b").alias("next")), F.expr("label <=> s"), "left")
         labels = stored(labels.select("set_id", "home", "node", F.coalesce("next", "label").alias("label")), "jaccard-labels")
         if most == 1:
             break  # all representatives of a home have met
+        unsettled = several.where("cuts > 1").select(F.col("h").alias("u"))
     return links, labels
 
 
 def _crossing(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(set_id, pair, other): node pairs with a common key that are not linked throughout already."""
-    spread = labels.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    spread = stored(spread, "jaccard-spread")
+    """(set_id, pair, other): for pairs of nodes, the sets of either that may link with one of another label in the other.
+
+    Two sets that link share as many keys of one class as either needs there, see
+    ``block_keys``; so each of them shares as many with the node of the other.
+    """
+    places = labels.select(F.col("set_id").alias("s"), "node", "label")
     keyed = (
-        shared.select("key", "set_id")
-        .join(labels.select(F.col("set_id").alias("s"), "node"), F.col("set_id").eqNullSafe(F.col("s")))
-        .select("key", "node")
-        .distinct()
-        .join(spread.withColumnRenamed("node", "of"), F.expr("node <=> of"))
-        .drop("of")
+        shared.join(places, F.col("set_id").eqNullSafe(F.col("s")))
+        .selectExpr(
+            "key",
+            "set_id",
+            "class_need",
+            "node",
+            "label",
+            "min(node) OVER (PARTITION BY key) < max(node) OVER (PARTITION BY key) AS apart",
+            "min(label) OVER (PARTITION BY key) < max(label) OVER (PARTITION BY key) AS unlike",
+        )
+        # A key all of whose sets have one and the same node or label asks for nothing.
+        .where("apart AND unlike")
+        .drop("apart", "unlike")
     )
     keyed = stored(keyed, "jaccard-keyed")
-    # A key all of whose nodes have one and the same label asks for nothing.
-    mixed = keyed.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l < h").select(F.col("key").alias("asked"))
-    keyed = keyed.join(mixed, F.expr("key <=> asked"), "left_semi")
-    other = keyed.withColumnsRenamed({"key": "k", "node": "m", "low": "m_low", "high": "m_high"})
-    across = keyed.join(other, F.expr("key <=> k AND node < m AND NOT (low = high AND m_low = m_high AND low = m_low)"))
-    pairs = stored(across.select("node", "m").distinct(), "jaccard-pairs")
-    pair = F.xxhash64("node", "m")
-    sides = pairs.select(F.inline(F.array(
-        F.struct(F.col("node").alias("of"), pair.alias("pair"), F.lit(0).alias("other")),
-        F.struct(F.col("m").alias("of"), pair.alias("pair"), F.lit(1).alias("other")),
-    )))
-    return labels.join(sides, F.col("node").eqNullSafe(F.col("of"))).select("set_id", "pair", "other")
+    others = keyed.groupBy(F.col("key").alias("k"), F.col("node").alias("m")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    across = keyed.join(others, F.expr("key <=> k AND node <> m AND NOT (low = high AND low = label)"))
+    enough = (
+        across.groupBy("set_id", "class_need", "node", "m")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= F.pmod("class_need", F.lit(_CLASS)))
+    )
+    pair = F.xxhash64(F.least("node", "m"), F.greatest("node", "m"))
+    sides = enough.select("set_id", pair.alias("pair"), (F.col("node") > F.col("m")).cast("int").alias("other"))
+    return stored(sides.distinct(), "jaccard-pairs")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -456,7 +482,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     wanted = sets.join(nodes.select("set_id"), "set_id", "left_semi")
     shingles = stored(_shingles_of(docs, wanted, width).withColumnRenamed("set_id", "s"), "jaccard-shingles")
     inside, labels = _contracted(nodes, shingles, percent)
-    between = _linked(_crossing(shared, labels), shingles, lambda batches: _links(batches, percent))
+    pairs = _crossing(shared, labels)
+    between = _linked(pairs, _needed(shingles, pairs), lambda batches: _links(batches, percent))
     reached = components(inside.union(between), "a", "b", "jaccard-links")
     named = (
         reached.join(sets, F.col("id").eqNullSafe(F.col("set_id")))
