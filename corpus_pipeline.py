@@ -19,6 +19,8 @@ from veritable.sources.scratch import recorded, remove_tables, stored
 
 #: Documents whose language holds less than this share of their letters are rejected.
 LEAST_LANGUAGE_SHARE = 0.3
+#: The executors come to the last stage with full heaps; smaller slices leave room for them.
+TOKEN_SLICE_BYTES = 1 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +72,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE of what is left: number and digest of the ids, and of the text decoded again."""
-    return round_trip(docs)
+    return round_trip(docs, TOKEN_SLICE_BYTES)
 
 
 STAGES = [

@@ -85,3 +85,9 @@ def test_empty_tables_and_columns_of_other_names(spark, tables, stage):
         assert set(range(12)) <= {r["doc_id"] for r in made.collect()}
     nothing = function(spark, df.limit(0), path)
     assert nothing.collect() == [] and nothing.columns == made.columns
+
+
+def test_the_size_of_slices_changes_no_token(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", "a", sentence(1, 400), "grün  und\n\n" * 50, sentence(2, 30)])], "doc_id long, text string")
+    whole, *others = (sorted(map(tuple, p.round_trip(docs, n).collect())) for n in (4 << 20, 1 << 10, 1))
+    assert len(whole) == 6 and others == [whole, whole]

@@ -205,13 +205,16 @@ def _numbers(count: int) -> list[bytes]:
     return [str(i).encode() for i in range(count)]
 
 
-def round_trip(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoded and decoded in one pass over the texts."""
+def round_trip(docs: DataFrame, slice_bytes: int = _SLICE_BYTES) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoded and decoded in one pass over the texts.
+
+    Texts are taken in slices of ``slice_bytes``: smaller ones need less memory and more time.
+    """
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         number = _numbers(tokenizer().get_vocab_size()).__getitem__
         for batch in batches:
-            for piece in slices(batch, "text", _SLICE_BYTES):
+            for piece in slices(batch, "text", slice_bytes):
                 ids, first = encode_texts(piece.column("text"))
                 raw, at = decode_ids(ids, first)
                 listed, rows = ids.tolist(), range(piece.num_rows)
